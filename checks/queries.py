@@ -60,6 +60,13 @@ def parts(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [part(rows, n) for n in names]
 
 
+def stored(df: DataFrame, purpose: str, files: int | None = None) -> DataFrame:
+    """The rows as a table in the shared folder, as the jobs keep them between steps."""
+    path = scratch_path(df.sparkSession, purpose)
+    (df.repartition(files) if files else df).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # --- monitoring ---------------------------------------------------------------------------------
 
 LABELS = ("train", "normal", "skewed")
@@ -124,7 +131,7 @@ def _(spark, d):
 def _(spark, d):
     known = scan.conform(credit(spark, d), feature_table_schema())
     rows = refresh.monitored(payload(spark, d), parts(spark, d, *LABELS), known)
-    return monitor.window_column_profile(rows, ["prediction", *FEATURES])
+    return monitor.window_column_profile(stored(rows, "monitoring"), ["prediction", *FEATURES])
 
 
 @register("drift_psi")

@@ -20,32 +20,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def credit_raw(spark: SparkSession, sf_dir: str, stamped: bool = False) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    year, price = F.year("o_orderdate"), F.col("o_totalprice")
-    paid = F.col("o_orderstatus") == "F"
-    sums = [F.round(F.sum(F.when(year == 1994 + i, price).otherwise(0.0)), 2).alias(f"BILL_AMT{i}") for i in YEARS]
-    sums += [
-        F.round(F.sum(F.when((year == 1994 + i) & paid, price).otherwise(0.0)), 2).alias(f"PAY_AMT{i}") for i in YEARS
-    ]
-    orders = o.groupBy("o_custkey").agg(F.max("o_orderdate").cast("timestamp").alias("ts"), *sums)
-    k = F.col("c_custkey")
-    late = ((k * 7) % 11 - 2 >= 6) != (k % 5 == 0)
-    columns = [
-        k.cast("int").alias("ID"),
-        F.col("c_acctbal").alias("LIMIT_BAL"),
-        (1 + k % 2).cast("int").alias("SEX"),
-        (k % 7).cast("int").alias("EDUCATION"),
-        (k % 4).cast("int").alias("MARRIAGE"),
-        (21 + (k * 13) % 56).cast("int").alias("AGE"),
-        *(((k * (7 + i) + i) % 11 - 2).cast("int").alias(f"PAY_{i}") for i in KS),
-        *(F.col(f"BILL_AMT{i}") for i in YEARS),
-        *(F.col(f"PAY_AMT{i}") for i in YEARS),
-        F.when(late, 1).otherwise(0).alias(RAW_TARGET),
+def _sums(alias: str, condition: str) -> list[str]:
+    return [
+        f"ROUND(SUM(CASE WHEN YEAR(o_orderdate) = {1994 + i}{condition} THEN o_totalprice ELSE 0 END), 2) AS {alias}{i}"
+        for i in YEARS
     ]
-    if stamped:
-        columns.append(F.col("ts").alias(CREDIT.updated_at))
-    return table(spark, sf_dir, "customer").join(orders, k == F.col("o_custkey")).select(*columns)
+
+
+ORDER_SUMS = _sums("BILL_AMT", "") + _sums("PAY_AMT", " AND o_orderstatus = 'F'")
+RAW_EXPRESSIONS = [
+    "CAST(c_custkey AS INT) AS ID",
+    "c_acctbal AS LIMIT_BAL",
+    "CAST(1 + c_custkey % 2 AS INT) AS SEX",
+    "CAST(c_custkey % 7 AS INT) AS EDUCATION",
+    "CAST(c_custkey % 4 AS INT) AS MARRIAGE",
+    "CAST(21 + (c_custkey * 13) % 56 AS INT) AS AGE",
+    *(f"CAST((c_custkey * {7 + i} + {i}) % 11 - 2 AS INT) AS PAY_{i}" for i in KS),
+    *(f"BILL_AMT{i}" for i in YEARS),
+    *(f"PAY_AMT{i}" for i in YEARS),
+]
+LATE = "CAST(CASE WHEN ((c_custkey * 7) % 11 - 2 >= 6) <> (c_custkey % 5 = 0) THEN 1 ELSE 0 END AS INT)"
+
+
+def credit_raw(spark: SparkSession, sf_dir: str, stamped: bool = False) -> DataFrame:
+    sums = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.expr("CAST(MAX(o_orderdate) AS TIMESTAMP)").alias(CREDIT.updated_at), *map(F.expr, ORDER_SUMS)
+    )
+    columns = [*RAW_EXPRESSIONS, f"{LATE} AS `{RAW_TARGET}`"] + ([CREDIT.updated_at] if stamped else [])
+    return table(spark, sf_dir, "customer").join(sums, F.expr("c_custkey = o_custkey")).selectExpr(*columns)
 
 
 def credit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,30 +92,10 @@ def payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _sums(alias: str, condition: str) -> str:
-    return ", ".join(
-        f"ROUND(SUM(CASE WHEN YEAR(o_orderdate) = {1994 + i}{condition} THEN o_totalprice ELSE 0 END), 2)"
-        f" AS {alias}{i}"
-        for i in YEARS
-    )
-
-
 CREDIT_RAW_SQL = f"""
-b AS (
-  SELECT o_custkey, MAX(o_orderdate) AS ts,
-         {_sums("BILL_AMT", "")},
-         {_sums("PAY_AMT", " AND o_orderstatus = 'F'")}
-  FROM orders GROUP BY o_custkey
-),
+b AS (SELECT o_custkey, MAX(o_orderdate) AS ts, {", ".join(ORDER_SUMS)} FROM orders GROUP BY o_custkey),
 credit_raw AS (
-  SELECT CAST(c_custkey AS INT) AS ID, c_acctbal AS LIMIT_BAL, CAST(1 + c_custkey % 2 AS INT) AS SEX,
-         CAST(c_custkey % 7 AS INT) AS EDUCATION, CAST(c_custkey % 4 AS INT) AS MARRIAGE,
-         CAST(21 + (c_custkey * 13) % 56 AS INT) AS AGE,
-         {", ".join(f"CAST((c_custkey * {7 + i} + {i}) % 11 - 2 AS INT) AS PAY_{i}" for i in KS)},
-         {", ".join(f"BILL_AMT{i}" for i in YEARS)}, {", ".join(f"PAY_AMT{i}" for i in YEARS)},
-         CAST(CASE WHEN ((c_custkey * 7) % 11 - 2 >= 6) <> (c_custkey % 5 = 0) THEN 1 ELSE 0 END AS INT)
-           AS "{RAW_TARGET}",
-         ts AS Update_timestamp_utc
+  SELECT {", ".join(RAW_EXPRESSIONS)}, {LATE} AS "{RAW_TARGET}", ts AS Update_timestamp_utc
   FROM customer JOIN b ON c_custkey = o_custkey
 )"""
 

@@ -1,39 +1,102 @@
-"""Exact order statistics and prefix sums without a global sort.
-
-Values are cut into a few hundred ordered buckets at approximate quantiles (fitted once, a short list
-of numbers). Bucket counts say which bucket holds a wanted rank; only that bucket is ranked, on
-distinct values with their counts. No task sees a whole column or a whole hot group.
-"""
+"""Exact order statistics and ordered buckets without a global sort."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.functions.ratios import long_form
+
 BUCKETS = 512
 ACCURACY = 10_000
+MARGIN = 8 / ACCURACY
+SMALL_GROUP = 5_000
+
+
+def quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    by: Sequence[str] = (),
+    small_group: int = SMALL_GROUP,
+) -> DataFrame:
+    """Exact linear-interpolated quantiles: (by..., column, quantiles array in the order asked).
+
+    A sketch brackets every quantile within 0.08 % of the rows, eight times its error. A second pass
+    collapses the values below each bracket to a count and ranks only the values inside. No task sorts
+    a whole column or a whole hot group. Groups of up to ``small_group`` rows are ranked as they are.
+    A value missed by its bracket would be an error, never a wrong number.
+    """
+    by, group, n = list(by), [*by, "column"], len(probabilities)
+    values = df.select(*long_form(list(columns), *by)).filter(F.col("value").isNotNull())
+    shares = [q for p in probabilities for q in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
+    brackets = values.groupBy(*group).agg(
+        F.percentile_approx("value", shares, ACCURACY).alias("ends"), F.count(F.lit(1)).alias("total")
+    )
+    if not by:
+        brackets = F.broadcast(brackets)  # one row per column
+    few = F.col("total") <= small_group
+    value, ends = F.col("value"), F.col("ends")
+
+    def cell(i: int) -> Column:
+        """The value if it lies inside bracket i, null instead of the value if below, nothing if above."""
+        inside = F.when(value >= ends[2 * i], value)
+        return F.when(value <= ends[2 * i + 1], F.struct(F.lit(i).alias("i"), inside.alias("value")))
+
+    whole = F.array(F.struct(F.lit(0).alias("i"), value.alias("value")))
+    cells = F.when(few, whole).otherwise(F.array_compact(F.array(*map(cell, range(n)))))
+    counted = (
+        values.join(brackets, group)
+        .select(*group, "total", F.inline(cells))
+        .groupBy(*group, "total", "i", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    upto = F.sum("n").over(Window.partitionBy(*group, "i").orderBy(F.col("value").asc_nulls_first()))
+    ranked = counted.withColumn("upto", upto)
+
+    def position(i: int) -> Column:
+        return F.lit(float(probabilities[i])) * (F.col("total") - 1)
+
+    def at(i: int, rank: Column) -> Column:
+        here = (few | (F.col("i") == i)) & (rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto"))
+        return F.max(F.when(here, value))
+
+    read = ranked.groupBy(*group, "total").agg(*(
+        c for i in range(n)
+        for c in (at(i, F.floor(position(i))).alias(f"low{i}"), at(i, F.ceil(position(i))).alias(f"high{i}"))
+    ))
+    missed = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
+    return read.select(*group, F.array(*(
+        F.coalesce(
+            F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * (position(i) - F.floor(position(i))), missed
+        ) for i in range(n)
+    )).alias("quantiles"))
+
+
+def quartiles(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., column, q25, q50, q75)."""
+    q = quantiles(df, columns, [0.25, 0.5, 0.75], by)
+    return q.select(*by, "column", *(F.col("quantiles")[i].alias(n) for i, n in enumerate(["q25", "q50", "q75"])))
 
 
 def value_splits(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> dict[str, list[float]]:
-    """Inner bucket limits per column, from one approximate pass."""
-    shares = [i / buckets for i in range(1, buckets)]
-    row = df.agg(
-        *(F.percentile_approx(F.col(f"`{c}`").cast("double"), shares, ACCURACY).alias(f"s{i}")
-          for i, c in enumerate(columns))
+    """Inner limits of nearly equally filled buckets per column, from one approximate pass."""
+    shares = "array(" + ", ".join(f"{i / buckets!r}D" for i in range(1, buckets)) + ")"
+    row = df.select(*(F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns))).agg(
+        *(F.expr(f"percentile_approx(v{i}, {shares}, {ACCURACY})").alias(f"s{i}") for i in range(len(columns)))
     ).first()
-    return {c: sorted({s for s in row[f"s{i}"] or [0.0] if s == s and abs(s) != float("inf")}) or [0.0]
-            for i, c in enumerate(columns)}
+    return {c: sorted({v for v in row[i] or [] if math.isfinite(v)}) or [0.0] for i, c in enumerate(columns)}
 
 
 def bucketed_long(df: DataFrame, columns: Sequence[str], splits: Mapping[str, list[float]], keep: Sequence[str] = ()):
     """Rows (keep..., column, value, bucket) for the non-null values of the listed columns."""
     numbers = df.select(*keep, *(F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)))
-    ends = float("inf")
     cut = Bucketizer(
-        splitsArray=[[-ends, *splits[c], ends] for c in columns],
+        splitsArray=[[-math.inf, *splits[c], math.inf] for c in columns],
         inputCols=[f"v{i}" for i in range(len(columns))],
         outputCols=[f"b{i}" for i in range(len(columns))],
         handleInvalid="keep",
@@ -43,60 +106,3 @@ def bucketed_long(df: DataFrame, columns: Sequence[str], splits: Mapping[str, li
         for i, c in enumerate(columns)
     ]
     return cut.select(*keep, F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
-
-
-def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    by: Sequence[str] = (),
-    buckets: int = BUCKETS,
-) -> DataFrame:
-    """Exact linear-interpolated quantiles: (by..., column, quantiles array in the order asked)."""
-    columns, by = list(columns), list(by)
-    values = bucketed_long(df, columns, value_splits(df, columns, buckets), by)
-    group = [*by, "column"]
-
-    counts = values.groupBy(*group, "bucket").agg(F.count(F.lit(1)).alias("n"))
-    ordered = Window.partitionBy(*group).orderBy("bucket")
-    everything = Window.partitionBy(*group)
-    placed = counts.select(
-        *group, "bucket", "n",
-        (F.sum("n").over(ordered) - F.col("n")).alias("before"),
-        F.sum("n").over(everything).alias("total"),
-    )
-    positions = [F.lit(float(p)) * (F.col("total") - 1) for p in probabilities]
-
-    def holds(rank, start, size):
-        return (rank >= start) & (rank < start + size)
-
-    wanted = F.lit(False)
-    for p in positions:
-        wanted = wanted | holds(F.floor(p), F.col("before"), F.col("n")) | holds(F.ceil(p), F.col("before"), F.col("n"))
-    needed = placed.filter(wanted).select(*group, "bucket", "before", "total")
-    if not by:
-        needed = F.broadcast(needed)  # at most 2 rows per column and probability
-
-    distinct = (
-        values.join(needed, [*group, "bucket"])
-        .groupBy(*group, "bucket", "before", "total", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    inside = Window.partitionBy(*group, "bucket").orderBy("value")
-    ranked = distinct.withColumn("start", F.col("before") + F.sum("n").over(inside) - F.col("n"))
-    picked = []
-    for i, p in enumerate(positions):
-        low, high = F.floor(p), F.ceil(p)
-        picked.append(F.max(F.when(holds(low, F.col("start"), F.col("n")), F.col("value"))).alias(f"low{i}"))
-        picked.append(F.max(F.when(holds(high, F.col("start"), F.col("n")), F.col("value"))).alias(f"high{i}"))
-    ends = ranked.groupBy(*group, "total").agg(*picked)
-    interpolated = [
-        F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * (p - F.floor(p)) for i, p in enumerate(positions)
-    ]
-    return ends.select(*group, F.array(*interpolated).alias("quantiles"))
-
-
-def quartiles(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., column, q25, q50, q75)."""
-    q = quantiles(df, columns, [0.25, 0.5, 0.75], by)
-    return q.select(*by, "column", *(F.col("quantiles")[i].alias(n) for i, n in enumerate(["q25", "q50", "q75"])))

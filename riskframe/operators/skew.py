@@ -29,10 +29,11 @@ def salted_join(
     marked_left = left.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0).cast("long"))
     ).drop("_hot")
-    places = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+    places = F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0).cast("long")))
     marked_right = (
         right.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.explode(places).cast("long"))
+        .withColumn("_salt", F.explode(places))
         .drop("_hot")
     )
     return marked_left.join(marked_right, [key, "_salt"], how).drop("_salt")
