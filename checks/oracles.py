@@ -418,7 +418,7 @@ add("synthetic_skewed", f"""SELECT * EXCLUDE ({", ".join(DRIFT_COLUMNS)}), {DRIF
 # --- models and scoring -------------------------------------------------------------------------
 
 add("score_python_model", """
-    SELECT Id, "Default", Pay_0 * 0.1::DOUBLE + Age * 0.01::DOUBLE + Limit_bal / 1e5 AS prediction FROM credit""",
+    SELECT Id, "Default", Pay_0 * 0.1::DOUBLE + Age * 0.01::DOUBLE + Limit_bal / 1e4 AS prediction FROM credit""",
     CREDIT_SQL, s="Id", i="Default", d="prediction")
 add("ab_route", """
     SELECT Id, CASE WHEN substr(md5(Id), 32, 1) IN ('1', '3', '5', '7', '9', 'b', 'd', 'f') THEN 'A' ELSE 'B' END

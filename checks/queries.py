@@ -576,7 +576,7 @@ def _(spark, d):
 @register("score_python_model")
 def _(spark, d):
     def linear(batch):
-        return batch["Pay_0"] * 0.1 + batch["Age"] * 0.01 + batch["Limit_bal"] / 1e5
+        return batch["Pay_0"] * 0.1 + batch["Age"] * 0.01 + batch["Limit_bal"] / 1e4
 
     return models.score_with(credit(spark, d), linear, FEATURES, ["Id", "Default"])
 

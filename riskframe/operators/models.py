@@ -45,7 +45,7 @@ def boosted_trees(
 ) -> Pipeline:
     """Assemble features in scaled order and boost trees on the logistic loss."""
     trees = GBTClassifier(
-        featuresCol="assembled", labelCol="target", stepSize=rate, maxIter=rounds, seed=spec.seed, cacheNodeIds=True
+        featuresCol="assembled", labelCol="target", stepSize=rate, maxIter=rounds, seed=spec.seed
     )
     if validation:
         trees = trees.setValidationIndicatorCol(validation)
