@@ -89,24 +89,18 @@ def accuracy_alert(profile: DataFrame, below_percent: float = ALERT_BELOW_PERCEN
 
 def window_column_profile(rows: DataFrame, columns: Sequence[str], width: str = MONITOR_WINDOW) -> DataFrame:
     """Per window and column: rows, nulls, mean, deviation, min, max and exact quartiles."""
-    columns = list(columns)
-    timed = rows.select(windowed(width), *columns)
     value = F.col("value")
-    plain = (
-        timed.select(*long_form(columns, "window_start"))
-        .groupBy("window_start", "column")
-        .agg(
-            F.count(F.lit(1)).alias("rows"), count_where(value.isNull()).alias("nulls"), F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"),
-        )
-    )
-    return plain.join(quartiles(timed, columns, ["window_start"]), ["window_start", "column"], "left")
+    figures = {
+        "rows": F.count(F.lit(1)), "nulls": count_where(value.isNull()), "mean": F.avg(value),
+        "std": F.stddev_samp(value), "min": F.min(value), "max": F.max(value),
+    }
+    return quartiles(rows.select(windowed(width), *columns), columns, ["window_start"], figures)
 
 
 def bin_edges(baseline: DataFrame, columns: Sequence[str], bins: int = 10) -> dict[str, list[float]]:
     """Inner bin limits per column at exact baseline quantiles; bins - 1 numbers per column."""
     shares = [i / bins for i in range(1, bins)]
-    return {r["column"]: sorted(set(r["quantiles"])) for r in quantiles(baseline, columns, shares).collect()}
+    return {r["column"]: sorted({q for q in r["quantiles"] if q is not None}) for r in quantiles(baseline, columns, shares).collect()}
 
 
 def binned_shares(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
@@ -175,12 +169,10 @@ def latency_profile(log: DataFrame, width: str = MONITOR_WINDOW) -> DataFrame:
     timed = log.select(log_second(F.col("timestamp_ms")).alias("timestamp"), "execution_time_ms").select(
         windowed(width), "execution_time_ms"
     )
-    plain = timed.groupBy("window_start").agg(
-        F.count(F.lit(1)).alias("requests"), F.avg("execution_time_ms").alias("mean_ms"),
-        F.max("execution_time_ms").alias("max_ms"),
-    )
-    q = quantiles(timed, ["execution_time_ms"], [0.5, 0.95], ["window_start"])
-    return plain.join(
-        q.select("window_start", F.col("quantiles")[0].alias("p50_ms"), F.col("quantiles")[1].alias("p95_ms")),
-        "window_start", "left",
+    value = F.col("value")
+    q = quantiles(timed, ["execution_time_ms"], [0.5, 0.95], ["window_start"],
+                  also={"requests": F.count(F.lit(1)), "mean_ms": F.avg(value), "max_ms": F.max(value)})
+    return q.select(
+        "window_start", "requests", "mean_ms", F.col("max_ms").cast("bigint").alias("max_ms"),
+        F.col("quantiles")[0].alias("p50_ms"), F.col("quantiles")[1].alias("p95_ms"),
     )

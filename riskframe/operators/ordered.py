@@ -12,9 +12,53 @@ from pyspark.sql import functions as F
 from riskframe.functions.ratios import long_form
 
 BUCKETS = 512
-ACCURACY = 10_000
-MARGIN = 8 / ACCURACY
-SMALL_GROUP = 5_000
+ACCURACY = 2_000
+POINTS = 1_000
+SALTS = 32
+MARGIN = 4e-3
+CELLS = 1_024
+SMALL_GROUP = 100_000
+
+
+def number_list(numbers: Sequence[float]) -> str:
+    """SQL text of an array of doubles: one expression instead of one call per number."""
+    return "array(" + ", ".join(f"{float(v)!r}D" for v in numbers) + ")"
+
+
+def grouped_brackets(
+    values: DataFrame, group: list[str], probabilities: Sequence[float], also: Mapping[str, Column]
+) -> DataFrame:
+    """(group..., ends, total, also...): two values around every quantile of every group."""
+    shares = [q for p in probabilities for q in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
+    return values.groupBy(*group).agg(
+        F.expr(f"percentile_approx(value, {number_list(shares)}, {ACCURACY})").alias("ends"),
+        F.count("value").alias("total"), *(c.alias(name) for name, c in also.items()),
+    )
+
+
+def column_brackets(values: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """The same for whole columns, where one sketch would have to merge those of all tasks.
+
+    Tasks are dealt to a few sketches per column; each gives evenly spaced points that stand for equal
+    shares of its rows, and the brackets are read off these points. Sketch error, spacing and rounding
+    together stay within MARGIN.
+    """
+    places = number_list([i / POINTS for i in range(POINTS + 1)])
+    sketches = values.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS))).groupBy("column", "salt").agg(
+        F.expr(f"percentile_approx(value, {places}, {ACCURACY})").alias("points"), F.count("value").alias("n")
+    )
+    points = sketches.select("column", "n", F.explode_outer("points").alias("value"))
+    # At most SALTS * (POINTS + 1) rows per column.
+    upto = F.sum("n").over(Window.partitionBy("column").orderBy("value")) / (POINTS + 1)
+    total = F.sum("n").over(Window.partitionBy("column")) / (POINTS + 1)
+    placed = points.select("column", "value", upto.alias("upto"), F.when(F.col("value").isNull(), 0).otherwise(total)
+                           .alias("total"))
+    ends = []
+    for p in probabilities:
+        low = F.max(F.when(F.col("upto") <= (p - MARGIN) * F.col("total"), F.col("value")))
+        high = F.min(F.when(F.col("upto") >= (p + MARGIN) * F.col("total"), F.col("value")))
+        ends += [F.coalesce(low, F.lit(-math.inf)), F.coalesce(high, F.lit(math.inf))]
+    return placed.groupBy("column").agg(F.array(*ends).alias("ends"), F.max("total").cast("bigint").alias("total"))
 
 
 def quantiles(
@@ -23,40 +67,48 @@ def quantiles(
     probabilities: Sequence[float],
     by: Sequence[str] = (),
     small_group: int = SMALL_GROUP,
+    also: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles: (by..., column, quantiles array in the order asked).
 
-    A sketch brackets every quantile within 0.08 % of the rows, eight times its error. A second pass
-    collapses the values below each bracket to a count and ranks only the values inside. No task sorts
-    a whole column or a whole hot group. Groups of up to ``small_group`` rows are ranked as they are.
-    A value missed by its bracket would be an error, never a wrong number.
+    A sketch brackets every quantile within a small share of the rows. A second pass collapses the
+    values below each bracket to a count and ranks only the distinct values inside, those of whole
+    columns once more divided into cells. No task sorts a whole column or a whole hot group. Groups of
+    up to ``small_group`` rows are ranked as they are. A value missed by its bracket would be an error,
+    never a wrong number. A group of nulls only has null quantiles. ``also`` adds aggregates of
+    ``value`` (nulls included) to grouped quantiles; the first pass takes them along.
     """
-    by, group, n = list(by), [*by, "column"], len(probabilities)
-    values = df.select(*long_form(list(columns), *by)).filter(F.col("value").isNotNull())
-    shares = [q for p in probabilities for q in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
-    brackets = values.groupBy(*group).agg(
-        F.percentile_approx("value", shares, ACCURACY).alias("ends"), F.count(F.lit(1)).alias("total")
-    )
-    if not by:
-        brackets = F.broadcast(brackets)  # one row per column
+    by, n, also = list(by), len(probabilities), dict(also or {})
+    group = [*by, "column"]
+    values = df.select(*long_form(list(columns), *by))
+    if by:
+        brackets = grouped_brackets(values, group, probabilities, also)
+    elif also:
+        raise ValueError("aggregates go with grouped quantiles only")
+    else:
+        brackets = F.broadcast(column_brackets(values, probabilities))  # one row per column
     few = F.col("total") <= small_group
     value, ends = F.col("value"), F.col("ends")
 
     def cell(i: int) -> Column:
-        """The value if it lies inside bracket i, null instead of the value if below, nothing if above."""
-        inside = F.when(value >= ends[2 * i], value)
-        return F.when(value <= ends[2 * i + 1], F.struct(F.lit(i).alias("i"), inside.alias("value")))
-
-    whole = F.array(F.struct(F.lit(0).alias("i"), value.alias("value")))
+        """The value and its cell if inside bracket i, only a mark if below, nothing if above."""
+        low, high = ends[2 * i], ends[2 * i + 1]
+        place = F.least(F.floor((value - low) / (high - low) * CELLS), F.lit(CELLS)).cast("int")
+        divided = F.when((high - low > 0) & (high - low < math.inf), place).otherwise(F.lit(0))
+        inside = F.struct(F.lit(i).alias("i"), divided.alias("cell"), value.alias("value"))
+        below = F.struct(F.lit(i).alias("i"), F.lit(-1).alias("cell"), F.lit(None).cast("double").alias("value"))
+        return F.when(value < low, below).when(value <= high, inside)
+
+    whole = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("cell"), value.alias("value")))
     cells = F.when(few, whole).otherwise(F.array_compact(F.array(*map(cell, range(n)))))
     counted = (
         values.join(brackets, group)
-        .select(*group, "total", F.inline(cells))
-        .groupBy(*group, "total", "i", "value")
+        .filter(value.isNotNull() | (F.col("total") == 0))
+        .select(*group, "total", *also, F.inline(cells))
+        .groupBy(*group, "total", *also, "i", "cell", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = F.sum("n").over(Window.partitionBy(*group, "i").orderBy(F.col("value").asc_nulls_first()))
-    ranked = counted.withColumn("upto", upto)
+    ranked = running(counted, group, bool(by))
 
     def position(i: int) -> Column:
         return F.lit(float(probabilities[i])) * (F.col("total") - 1)
@@ -65,29 +117,45 @@ def quantiles(
         here = (few | (F.col("i") == i)) & (rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto"))
         return F.max(F.when(here, value))
 
-    read = ranked.groupBy(*group, "total").agg(*(
+    read = ranked.groupBy(*group, "total", *also).agg(*(
         c for i in range(n)
         for c in (at(i, F.floor(position(i))).alias(f"low{i}"), at(i, F.ceil(position(i))).alias(f"high{i}"))
     ))
     missed = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
-    return read.select(*group, F.array(*(
-        F.coalesce(
+    return read.select(*group, *also, F.array(*(
+        F.when(F.col("total") > 0, F.coalesce(
             F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * (position(i) - F.floor(position(i))), missed
-        ) for i in range(n)
+        )) for i in range(n)
     )).alias("quantiles"))
 
 
-def quartiles(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., column, q25, q50, q75)."""
-    q = quantiles(df, columns, [0.25, 0.5, 0.75], by)
-    return q.select(*by, "column", *(F.col("quantiles")[i].alias(n) for i, n in enumerate(["q25", "q50", "q75"])))
+def running(counted: DataFrame, group: list[str], grouped: bool) -> DataFrame:
+    """Add ``upto``, the running count in value order per group and bracket."""
+    if grouped:
+        order = Window.partitionBy(*group, "i").orderBy(F.col("value").asc_nulls_first())
+        return counted.withColumn("upto", F.sum("n").over(order))
+    sizes = counted.groupBy(*group, "i", "cell").agg(F.sum("n").alias("size"))
+    # At most CELLS + 2 rows per column and bracket.
+    lower = Window.partitionBy(*group, "i").orderBy("cell")
+    offsets = sizes.select(*group, "i", "cell", (F.sum("size").over(lower) - F.col("size")).alias("offset"))
+    order = Window.partitionBy(*group, "i", "cell").orderBy(F.col("value").asc_nulls_first())
+    joined = counted.join(F.broadcast(offsets), [*group, "i", "cell"])
+    return joined.withColumn("upto", F.col("offset") + F.sum("n").over(order))
+
+
+def quartiles(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), also: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """(by..., column, aggregates of ``also``..., q25, q50, q75)."""
+    q = quantiles(df, columns, [0.25, 0.5, 0.75], by, also=also)
+    return q.select(*by, "column", *(also or ()), *(F.col("quantiles")[i].alias(n) for i, n in enumerate(["q25", "q50", "q75"])))
 
 
 def value_splits(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> dict[str, list[float]]:
     """Inner limits of nearly equally filled buckets per column, from one approximate pass."""
-    shares = "array(" + ", ".join(f"{i / buckets!r}D" for i in range(1, buckets)) + ")"
+    shares = number_list([i / buckets for i in range(1, buckets)])
     row = df.select(*(F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns))).agg(
-        *(F.expr(f"percentile_approx(v{i}, {shares}, {ACCURACY})").alias(f"s{i}") for i in range(len(columns)))
+        *(F.expr(f"percentile_approx(v{i}, {shares}, {8 * buckets})").alias(f"s{i}") for i in range(len(columns)))
     ).first()
     return {c: sorted({v for v in row[i] or [] if math.isfinite(v)}) or [0.0] for i, c in enumerate(columns)}
 

@@ -36,7 +36,7 @@ def hash_ranked(df: DataFrame, key: str, seed: int, rank: str = "rank", first: i
 
 
 def digest_cuts(
-    df: DataFrame, key: str, seed: int, shares: Sequence[float], by: str | None = None
+    df: DataFrame, key: str, seed: int, shares: Sequence[float], by: str | None = None, few_classes: bool = True
 ) -> DataFrame:
     """The digest below or at which the first ceil(share * rows) rows lie, per share and class.
 
@@ -60,7 +60,7 @@ def digest_cuts(
         .filter((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n")))
         .select(*group, "bucket", "cut", (F.col("rank") - F.col("before")).alias("rank"))
     )
-    if not by or few_values(df, by):
+    if few_classes:
         holding = F.broadcast(holding)  # one row per class and share
     inside = Window.partitionBy(*group, "bucket", "cut").orderBy("digest")
     found = (

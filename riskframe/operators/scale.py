@@ -30,6 +30,8 @@ class Scaling:
 def fit_scaling(df: DataFrame, columns: Sequence[str] | None = None, spec: TableSpec = CREDIT) -> Scaling:
     """Two numbers per column reach the driver."""
     rows = quartiles(df, list(columns or spec.robust)).collect()
+    if empty := [r["column"] for r in rows if r["q50"] is None]:
+        raise ValueError("no values to scale by in: " + ", ".join(empty))
     centre = {r["column"]: r["q50"] for r in rows}
     width = {r["column"]: (r["q75"] - r["q25"]) or 1.0 for r in rows}
     return Scaling(centre, width)

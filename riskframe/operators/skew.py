@@ -11,8 +11,8 @@ SALTS = 64
 
 def hot_keys(left: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     """Keys that hold more than ``share`` of all rows; there are fewer than 1 / share of them."""
-    size = left.select(F.count(F.lit(1))).scalar()
-    counted = left.select(key).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counted = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    size = counted.agg(F.sum("_n")).scalar()
     return counted.filter((F.col("_n") > size * share) & F.col(key).isNotNull()).select(key)
 
 

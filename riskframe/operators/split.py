@@ -28,17 +28,19 @@ def split_exact(
     """
     shares = shares or {"test": TEST_SHARE, "train": 1 - TEST_SHARE}
     names, ends = list(shares), list(accumulate(shares.values()))
-    cuts = digest_cuts(df, key, seed, ends[:-1], stratify)
+    limits = [f"cut{i}" for i in range(len(names) - 1)]
     if stratify:
-        small = few_values(df, stratify)
-        joined = df.join(F.broadcast(cuts) if small else cuts, stratify, "left")
+        few = few_values(df, stratify)
+        cuts = digest_cuts(df, key, seed, ends[:-1], stratify, few)
+        joined = df.join(F.broadcast(cuts) if few else cuts, stratify, "left")
     else:
-        joined = df.join(F.broadcast(cuts))  # a single row
+        cuts = digest_cuts(df, key, seed, ends[:-1])
+        joined = df.withColumns({c: cuts.select(c).scalar() for c in limits})
     order = digest(key, seed)
     part: Column = F.lit(names[-1])
-    for i in reversed(range(len(names) - 1)):
-        part = F.when(order <= F.col(f"cut{i}"), names[i]).otherwise(part)
-    return joined.withColumn("split", part).drop(*(f"cut{i}" for i in range(len(names) - 1)))
+    for name, limit in reversed(list(zip(names, limits, strict=False))):
+        part = F.when(order <= F.col(limit), name).otherwise(part)
+    return joined.withColumn("split", part).drop(*limits)
 
 
 def split_stratified(df: DataFrame, label: str = CREDIT.label, key: str = CREDIT.key, seed: int = SEED) -> DataFrame:

@@ -38,9 +38,11 @@ def ingest(
     batch = scan_table(spark, pending)
     gained = batch.select(*spec.clean).distinct()
     added = {features: append_table(absent_from(gained, scan_table(spark, features), [spec.key]), features)}
+    oldest = batch.agg(F.min(spec.updated_at)).scalar()  # rows already there cannot be older
     for part, name in (("train", train), ("test", test)):
         rows = batch.filter(F.col("split") == part).drop("split")
-        added[name] = append_table(absent_from(rows, scan_table(spark, name), [spec.key, spec.updated_at]), name)
+        there = scan_table(spark, name).filter(F.col(spec.updated_at) >= oldest)
+        added[name] = append_table(absent_from(rows, there, [spec.key, spec.updated_at]), name)
     spark.sql(f"DROP TABLE {quoted(pending)}")
     return added
 
