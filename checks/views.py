@@ -6,10 +6,12 @@ inference-log row per event. ``CREDIT_SQL`` and ``PAYLOAD_SQL`` are the same vie
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators.clean import clean
+from riskframe.session import scratch_path
 from riskframe.spec import CREDIT, FEATURES, RAW_COLUMNS, RAW_TARGET
 
 KS = [0, 2, 3, 4, 5, 6]
@@ -50,9 +52,22 @@ def credit_raw(spark: SparkSession, sf_dir: str, stamped: bool = False) -> DataF
     return table(spark, sf_dir, "customer").join(sums, F.expr("c_custkey = o_custkey")).selectExpr(*columns)
 
 
+STAGED: dict[tuple[str, str], str] = {}
+
+
 def credit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned rows with their update time."""
-    return clean(credit_raw(spark, sf_dir, stamped=True))
+    """Cleaned rows with their update time.
+
+    The jobs find these rows in stored tables, so they are written to the shared folder when a session
+    first asks for them, and read from there afterwards.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    try:
+        return spark.read.parquet(STAGED[key])
+    except (KeyError, AnalysisException):
+        STAGED[key] = scratch_path(spark, "credit")
+        clean(credit_raw(spark, sf_dir, stamped=True)).write.parquet(STAGED[key])
+        return spark.read.parquet(STAGED[key])
 
 
 SLICES = {"train": [0, 1, 2, 3, 4], "test": [5, 6], "normal": [7, 8], "skewed": [9]}

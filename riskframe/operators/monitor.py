@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.ratios import count_where, long_form, ratio
 from riskframe.operators.features import absent_from
 from riskframe.operators.ordered import quantiles, quartiles
-from riskframe.operators.skew import salted_join
+from riskframe.operators.skew import hot_keys, salted_join
 from riskframe.schemas import REQUEST_ID
 from riskframe.spec import ALERT_BELOW_PERCENT, CREDIT, MONITOR_WINDOW, TableSpec
 
@@ -43,7 +43,8 @@ def monitoring_rows(
     usable = parsed.withColumn("prediction", F.col("prediction").cast("double")).dropna(
         subset=["prediction", spec.key]
     )
-    joined = salted_join(usable, reference, spec.key, REQUEST_ID, "inner")
+    # Keys are counted before the responses are looked at, which saves parsing them twice.
+    joined = salted_join(usable, reference, spec.key, REQUEST_ID, "inner", hot_keys(parsed, spec.key))
     return joined.select(*parsed.columns, "default", *(spec.features if features is not None else ()))
 
 
@@ -89,10 +90,9 @@ def accuracy_alert(profile: DataFrame, below_percent: float = ALERT_BELOW_PERCEN
 
 def window_column_profile(rows: DataFrame, columns: Sequence[str], width: str = MONITOR_WINDOW) -> DataFrame:
     """Per window and column: rows, nulls, mean, deviation, min, max and exact quartiles."""
-    value = F.col("value")
     figures = {
-        "rows": F.count(F.lit(1)), "nulls": count_where(value.isNull()), "mean": F.avg(value),
-        "std": F.stddev_samp(value), "min": F.min(value), "max": F.max(value),
+        "rows": lambda v: F.count(F.lit(1)), "nulls": lambda v: count_where(v.isNull()), "mean": F.avg,
+        "std": F.stddev_samp, "min": F.min, "max": F.max,
     }
     return quartiles(rows.select(windowed(width), *columns), columns, ["window_start"], figures)
 
@@ -169,9 +169,8 @@ def latency_profile(log: DataFrame, width: str = MONITOR_WINDOW) -> DataFrame:
     timed = log.select(log_second(F.col("timestamp_ms")).alias("timestamp"), "execution_time_ms").select(
         windowed(width), "execution_time_ms"
     )
-    value = F.col("value")
-    q = quantiles(timed, ["execution_time_ms"], [0.5, 0.95], ["window_start"],
-                  also={"requests": F.count(F.lit(1)), "mean_ms": F.avg(value), "max_ms": F.max(value)})
+    figures = {"requests": lambda v: F.count(F.lit(1)), "mean_ms": F.avg, "max_ms": F.max}
+    q = quantiles(timed, ["execution_time_ms"], [0.5, 0.95], ["window_start"], also=figures)
     return q.select(
         "window_start", "requests", "mean_ms", F.col("max_ms").cast("bigint").alias("max_ms"),
         F.col("quantiles")[0].alias("p50_ms"), F.col("quantiles")[1].alias("p95_ms"),

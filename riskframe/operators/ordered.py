@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.functions.ratios import long_form
-
 BUCKETS = 512
 ACCURACY = 2_000
 POINTS = 1_000
@@ -25,40 +23,81 @@ def number_list(numbers: Sequence[float]) -> str:
     return "array(" + ", ".join(f"{float(v)!r}D" for v in numbers) + ")"
 
 
+Figures = Mapping[str, Callable[[Column], Column]]
+
+
 def grouped_brackets(
-    values: DataFrame, group: list[str], probabilities: Sequence[float], also: Mapping[str, Column]
+    df: DataFrame, by: list[str], columns: list[str], probabilities: Sequence[float], also: Figures
 ) -> DataFrame:
-    """(group..., ends, total, also...): two values around every quantile of every group."""
-    shares = [q for p in probabilities for q in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))]
-    return values.groupBy(*group).agg(
-        F.expr(f"percentile_approx(value, {number_list(shares)}, {ACCURACY})").alias("ends"),
-        F.count("value").alias("total"), *(c.alias(name) for name, c in also.items()),
-    )
+    """(by..., brackets): per column, in order, two values around every quantile of the group, and ``also``.
+
+    The sketches of all columns sit side by side in one aggregate, so rows are not multiplied.
+    """
+    shares = number_list([q for p in probabilities for q in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))])
+    figures = {name: [f(F.col(c)) for c in columns] for name, f in also.items()}
+    wide = df.groupBy(*by).agg(*(
+        f.alias(f"{name}{i}") for i, c in enumerate(columns) for name, f in [
+            ("ends", F.expr(f"percentile_approx(`{c}`, {shares}, {ACCURACY})")), ("total", F.count(c)),
+            *((n, figures[n][i]) for n in also),
+        ]
+    ))
+    return wide.select(*by, F.array(*(
+        F.struct(F.lit(c).alias("column"), *(F.col(f"{n}{i}").alias(n) for n in ["ends", "total", *also]))
+        for i, c in enumerate(columns)
+    )).alias("brackets"))
 
 
-def column_brackets(values: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """The same for whole columns, where one sketch would have to merge those of all tasks.
+def column_brackets(df: DataFrame, columns: list[str], probabilities: Sequence[float]) -> DataFrame:
+    """The same for whole columns, one row, where one sketch would have to merge those of all tasks.
 
-    Tasks are dealt to a few sketches per column; each gives evenly spaced points that stand for equal
-    shares of its rows, and the brackets are read off these points. Sketch error, spacing and rounding
-    together stay within MARGIN.
+    Tasks are dealt to a few sketches; each gives evenly spaced points that stand for equal shares of
+    its rows, and the brackets are read off these points. Sketch error, spacing and rounding together
+    stay within MARGIN.
     """
     places = number_list([i / POINTS for i in range(POINTS + 1)])
-    sketches = values.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS))).groupBy("column", "salt").agg(
-        F.expr(f"percentile_approx(value, {places}, {ACCURACY})").alias("points"), F.count("value").alias("n")
-    )
-    points = sketches.select("column", "n", F.explode_outer("points").alias("value"))
+    sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt")).agg(*(
+        f for i, c in enumerate(columns) for f in (
+            F.expr(f"percentile_approx(`{c}`, {places}, {ACCURACY})").alias(f"points{i}"), F.count(c).alias(f"n{i}"))
+    ))
+    points = sketches.select(F.inline(F.array(*(
+        F.struct(F.lit(c).alias("column"), F.col(f"points{i}").alias("points"), F.col(f"n{i}").alias("n"))
+        for i, c in enumerate(columns)
+    )))).select("column", "n", F.explode_outer("points").alias("value"))
     # At most SALTS * (POINTS + 1) rows per column.
-    upto = F.sum("n").over(Window.partitionBy("column").orderBy("value")) / (POINTS + 1)
-    total = F.sum("n").over(Window.partitionBy("column")) / (POINTS + 1)
-    placed = points.select("column", "value", upto.alias("upto"), F.when(F.col("value").isNull(), 0).otherwise(total)
-                           .alias("total"))
+    order = Window.partitionBy("column").orderBy(F.col("value").asc_nulls_first())
+    placed = points.select(
+        "column", "value", F.when(F.col("value").isNull(), 0).otherwise(F.col("n")).alias("n")
+    ).withColumn("upto", F.sum("n").over(order)).withColumn("all", F.sum("n").over(Window.partitionBy("column")))
     ends = []
     for p in probabilities:
-        low = F.max(F.when(F.col("upto") <= (p - MARGIN) * F.col("total"), F.col("value")))
-        high = F.min(F.when(F.col("upto") >= (p + MARGIN) * F.col("total"), F.col("value")))
+        low = F.max(F.when(F.col("upto") <= (p - MARGIN) * F.col("all"), F.col("value")))
+        high = F.min(F.when(F.col("upto") >= (p + MARGIN) * F.col("all"), F.col("value")))
         ends += [F.coalesce(low, F.lit(-math.inf)), F.coalesce(high, F.lit(math.inf))]
-    return placed.groupBy("column").agg(F.array(*ends).alias("ends"), F.max("total").cast("bigint").alias("total"))
+    total = F.floor(F.max("all") / (POINTS + 1))
+    per_column = placed.groupBy("column").agg(F.array(*ends).alias("ends"), total.alias("total"))
+    found = F.map_from_entries(F.collect_list(F.struct("column", F.struct("column", "ends", "total"))))
+    return per_column.agg(found.alias("m")).select(
+        F.array(*(F.element_at("m", F.lit(c)) for c in columns)).alias("brackets")
+    )
+
+
+def at_most(df: DataFrame, rows: int) -> bool:
+    """Whether there are no more than ``rows`` rows; reads only as many partitions as it takes to tell."""
+    return df.select(F.lit(1)).offset(rows).isEmpty()
+
+
+def small_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """Whole-column quantiles of a table known to be small, from one aggregate."""
+    shares = number_list(probabilities)
+    one = df.select(*(F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns))).agg(
+        *(F.expr(f"percentile(v{i}, {shares})").alias(f"q{i}") for i in range(len(columns)))
+    )
+    empty = F.array(*(F.lit(None).cast("double") for _ in probabilities))
+    cells = [
+        F.struct(F.lit(c).alias("column"), F.coalesce(f"q{i}", empty).alias("quantiles"))
+        for i, c in enumerate(columns)
+    ]
+    return one.select(F.inline(F.array(*cells)))
 
 
 def quantiles(
@@ -67,26 +106,31 @@ def quantiles(
     probabilities: Sequence[float],
     by: Sequence[str] = (),
     small_group: int = SMALL_GROUP,
-    also: Mapping[str, Column] | None = None,
+    also: Figures | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles: (by..., column, quantiles array in the order asked).
 
     A sketch brackets every quantile within a small share of the rows. A second pass collapses the
     values below each bracket to a count and ranks only the distinct values inside, those of whole
-    columns once more divided into cells. No task sorts a whole column or a whole hot group. Groups of
-    up to ``small_group`` rows are ranked as they are. A value missed by its bracket would be an error,
+    columns once more divided into cells. No task sorts a whole column or a whole hot group. A table of
+    up to ``small_group`` rows is left to ``percentile``, and groups of that size are ranked as they are. A value missed by its bracket would be an error,
     never a wrong number. A group of nulls only has null quantiles. ``also`` adds aggregates of
-    ``value`` (nulls included) to grouped quantiles; the first pass takes them along.
+    every column (nulls included) to grouped quantiles; the first pass takes them along.
     """
-    by, n, also = list(by), len(probabilities), dict(also or {})
+    by, columns, n, also = list(by), list(columns), len(probabilities), dict(also or {})
     group = [*by, "column"]
-    values = df.select(*long_form(list(columns), *by))
-    if by:
-        brackets = grouped_brackets(values, group, probabilities, also)
-    elif also:
+    if also and not by:
         raise ValueError("aggregates go with grouped quantiles only")
+    if not by and at_most(df, small_group):
+        return small_quantiles(df, columns, probabilities)
+    numbers = df.select(*by, *(F.col(f"`{c}`").cast("double").alias(c) for c in columns))
+    if by:
+        wide = numbers.join(grouped_brackets(numbers, by, columns, probabilities, also), by)
     else:
-        brackets = F.broadcast(column_brackets(values, probabilities))  # one row per column
+        wide = numbers.withColumn("brackets", column_brackets(numbers, columns, probabilities).scalar())
+    values = wide.select(*by, F.inline(F.array(*(
+        F.struct(F.col(f"`{c}`").alias("value"), F.col("brackets")[i].alias("bracket")) for i, c in enumerate(columns)
+    )))).select(*by, "value", "bracket.*")
     few = F.col("total") <= small_group
     value, ends = F.col("value"), F.col("ends")
 
@@ -102,8 +146,7 @@ def quantiles(
     whole = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("cell"), value.alias("value")))
     cells = F.when(few, whole).otherwise(F.array_compact(F.array(*map(cell, range(n)))))
     counted = (
-        values.join(brackets, group)
-        .filter(value.isNotNull() | (F.col("total") == 0))
+        values.filter(value.isNotNull() | (F.col("total") == 0))
         .select(*group, "total", *also, F.inline(cells))
         .groupBy(*group, "total", *also, "i", "cell", "value")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -143,12 +186,11 @@ def running(counted: DataFrame, group: list[str], grouped: bool) -> DataFrame:
     return joined.withColumn("upto", F.col("offset") + F.sum("n").over(order))
 
 
-def quartiles(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), also: Mapping[str, Column] | None = None
-) -> DataFrame:
+def quartiles(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), also: Figures | None = None) -> DataFrame:
     """(by..., column, aggregates of ``also``..., q25, q50, q75)."""
     q = quantiles(df, columns, [0.25, 0.5, 0.75], by, also=also)
-    return q.select(*by, "column", *(also or ()), *(F.col("quantiles")[i].alias(n) for i, n in enumerate(["q25", "q50", "q75"])))
+    named = [F.col("quantiles")[i].alias(n) for i, n in enumerate(["q25", "q50", "q75"])]
+    return q.select(*by, "column", *(also or ()), *named)
 
 
 def value_splits(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> dict[str, list[float]]:

@@ -18,14 +18,15 @@ def hot_keys(left: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
 
 def salted_join(
     left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "left",
-    share: float = HOT_SHARE, salts: int = SALTS,
+    hot: DataFrame | None = None, salts: int = SALTS,
 ) -> DataFrame:
     """Equi-join where rows of hot keys are spread over ``salts`` tasks.
 
-    ``right`` has one row per key; only its rows of hot keys are repeated, fewer than
-    salts / share of them. ``spread`` is a left column that differs between rows of one key.
+    ``right`` has one row per key; only its rows of hot keys are repeated, ``salts`` times each.
+    ``spread`` is a left column that differs between rows of one key. ``hot`` replaces the keys found
+    by ``hot_keys``, which has to give the same keys whenever it is computed.
     """
-    hot = hot_keys(left, key, share).withColumn("_hot", F.lit(True))
+    hot = (hot_keys(left, key) if hot is None else hot).withColumn("_hot", F.lit(True))
     marked_left = left.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0).cast("long"))
     ).drop("_hot")

@@ -40,7 +40,7 @@ def test_grouped_quantiles(numbers):
 
 def test_groups_of_nulls_are_kept(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("b", None), ("b", None)], "g string, x double")
-    got = ordered.quartiles(df, ["x"], ["g"], {"rows": F.count(F.lit(1))}).collect()
+    got = ordered.quartiles(df, ["x"], ["g"], {"rows": lambda v: F.count(F.lit(1))}).collect()
     assert sorted((r["g"], r["rows"], r["q50"]) for r in got) == [("a", 2, 1.0), ("b", 2, None)]
     with pytest.raises(ValueError, match="x"):
         fit_scaling(df.filter("g = 'b'"), ["x"])
