@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.functions.draws import digest
+from riskframe.functions.draws import digest, prefix_share
 from riskframe.operators.skew import salted_join
 from riskframe.session import cut_lineage
 from riskframe.spec import CREDIT, SEED, SMOTE_NEIGHBOURS
@@ -41,10 +41,16 @@ def distinct_vectors(df: DataFrame, columns: Sequence[str], key: str, k: int) ->
 
 
 def pick_pivots(vectors: DataFrame, seed: int, at_most: int = MAX_PIVOTS) -> np.ndarray:
-    """About sqrt(rows) vectors, at most ``at_most``: the ones with the smallest digests."""
+    """About sqrt(rows) vectors, at most ``at_most``: those with the smallest digests.
+
+    Only about twice as many pass the filter, so the ordering is over a few rows however many tasks there are.
+    """
     n = vectors.count()
     wanted = min(at_most, max(1, math.isqrt(n)))
-    rows = vectors.select("vec").orderBy(digest(F.element_at("ids", 1), "pivot", seed)).limit(wanted).collect()
+    drawn = vectors.select("vec", digest(F.element_at("ids", 1), "pivot", seed).alias("draw"))
+    if n > 4 * wanted + 64:
+        drawn = drawn.filter(prefix_share(F.col("draw"), (2 * wanted + 32) / n))
+    rows = drawn.orderBy("draw").limit(wanted).select("vec").collect()
     return np.array([r["vec"] for r in rows], dtype="float64")
 
 
