@@ -49,7 +49,7 @@ def monitoring_rows(
 
 
 def monitoring_incremental(rows: DataFrame, stored: DataFrame, keys: Sequence[str] = (REQUEST_ID,)) -> DataFrame:
-    """Monitoring rows of requests that are not stored yet; a rerun adds nothing."""
+    """Log or monitoring rows of requests that are not stored yet; a rerun adds nothing."""
     return absent_from(rows, stored, keys)
 
 
@@ -100,7 +100,8 @@ def window_column_profile(rows: DataFrame, columns: Sequence[str], width: str =
 def bin_edges(baseline: DataFrame, columns: Sequence[str], bins: int = 10) -> dict[str, list[float]]:
     """Inner bin limits per column at exact baseline quantiles; bins - 1 numbers per column."""
     shares = [i / bins for i in range(1, bins)]
-    return {r["column"]: sorted({q for q in r["quantiles"] if q is not None}) for r in quantiles(baseline, columns, shares).collect()}
+    found = quantiles(baseline, columns, shares).collect()
+    return {r["column"]: sorted({q for q in r["quantiles"] if q is not None}) for r in found}
 
 
 def binned_shares(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:

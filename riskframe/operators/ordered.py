@@ -113,9 +113,10 @@ def quantiles(
     A sketch brackets every quantile within a small share of the rows. A second pass collapses the
     values below each bracket to a count and ranks only the distinct values inside, those of whole
     columns once more divided into cells. No task sorts a whole column or a whole hot group. A table of
-    up to ``small_group`` rows is left to ``percentile``, and groups of that size are ranked as they are. A value missed by its bracket would be an error,
-    never a wrong number. A group of nulls only has null quantiles. ``also`` adds aggregates of
-    every column (nulls included) to grouped quantiles; the first pass takes them along.
+    up to ``small_group`` rows is left to ``percentile``, and groups of that size are ranked as they are.
+    A value missed by its bracket would be an error, never a wrong number. A group of nulls only has
+    null quantiles. ``also`` adds aggregates of every column (nulls included) to grouped quantiles; the
+    first pass takes them along. The columns of ``by`` must not be null.
     """
     by, columns, n, also = list(by), list(columns), len(probabilities), dict(also or {})
     group = [*by, "column"]

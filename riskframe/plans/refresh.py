@@ -29,12 +29,15 @@ def quality(log: DataFrame, labels: Sequence[DataFrame], spec: TableSpec = CREDI
 def refresh_monitor(
     spark: SparkSession, log: str, labels: Sequence[str], features: str, target: str, spec: TableSpec = CREDIT
 ) -> int:
-    """Append the monitoring rows of requests that are not in the target yet; returns how many."""
+    """Append the monitoring rows of requests that are not in the target yet; returns how many.
+
+    Requests already there leave before their bodies are parsed.
+    """
     known = require_unique_key(scan_table(spark, features), spec.key)
-    rows = monitored(scan_table(spark, log), [scan_table(spark, n) for n in labels], known, spec)
+    requests = scan_table(spark, log)
     if spark.catalog.tableExists(quoted(target)):
-        rows = monitoring_incremental(rows, scan_table(spark, target))
-    return append_table(rows, target)
+        requests = monitoring_incremental(requests, scan_table(spark, target))
+    return append_table(monitored(requests, [scan_table(spark, n) for n in labels], known, spec), target)
 
 
 def alerts(spark: SparkSession, target: str) -> DataFrame:
