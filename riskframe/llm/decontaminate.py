@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from riskframe.llm.common import shingle_hashes, word_hashes, words_of
+from riskframe.llm.common import shingle_hashes, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -28,14 +28,14 @@ RADIUS = 24
 #: Bounds of one part of the benchmark; larger benchmarks are taken in several parts, each against all documents.
 PART_ITEMS = 20_000
 PART_CHARS = 16_000_000
-#: Bytes at the ends of words that do not count.
+#: Bytes that do not count, wherever they stand.
 TRIM = b".,;:!?\"'()[]{}*#%&$|-_"
 BLOCKS = 8
 BLOCK_VALUES = np.arange(256, dtype=np.uint8)
 
 
 def plain_words(text: str | None) -> list[bytes]:
-    return [w for w in (x.strip(TRIM) for x in words_of(text)) if w]
+    return text.encode("utf-8", "surrogatepass").translate(None, TRIM).lower().split() if text else []
 
 
 def votes(hashes: np.ndarray) -> np.ndarray:
@@ -119,27 +119,44 @@ class Index:
             found = known[at] == shingles
             if not found.any():
                 continue
-            upto = np.concatenate([[0.0], np.cumsum(np.where(found, weights[at], 0.0))])
+            held_by = np.where(found, weights[at], 0.0)
+            # A shingle that repeats the one before counts at the first place only, or where a window begins.
+            again = np.concatenate([[False], shingles[1:] == shingles[:-1]])
+            upto = np.concatenate([[0.0], np.cumsum(np.where(again, 0.0, held_by))])
+            opening = np.where(again, held_by, 0.0)
             for s in group:
                 width = min(s.size, len(hashes)) - k + 1
-                held = upto[width:] - upto[:-width]
+                held = upto[width:] - upto[:-width] + opening[: len(shingles) - width + 1]
                 starts = np.flatnonzero(held >= self.threshold * s.totals.min() - 1e-6)
                 if not len(starts):
                     continue
                 if running is None:
                     running = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(votes(hashes), 0, dtype=np.int32)])
                 ends = np.minimum(starts + s.size, len(hashes))
-                for w, i in zip(*s.within(fingerprints(running[ends] - running[starts])), strict=True):
-                    start = int(starts[w])
-                    if held[start] < self.threshold * s.totals[i] - 1e-6:
-                        continue
-                    inside = np.isin(s.shingles[i], shingles[start : start + width])
-                    alike = float(s.weights[i][inside].sum() / s.totals[i])
-                    if alike >= self.threshold and alike > best.get((s.size, int(i)), (0.0, 0))[0]:
-                        best[s.size, int(i)] = (alike, start)
+                window, item = s.within(fingerprints(running[ends] - running[starts]))
+                for i in np.unique(item):
+                    if alike := self._best(s, int(i), starts[window[item == i]], shingles, again, width):
+                        best[s.size, int(i)] = alike
         by_size = {s.size: s for _, _, _, group in self.groups for s in group}
         return [(by_size[z].ids[i], round(a, 6), start, z) for (z, i), (a, start) in sorted(best.items())]
 
+    def _best(self, s: SizeIndex, i: int, starts: np.ndarray, shingles: np.ndarray, again: np.ndarray, width: int) -> tuple[float, int] | None:
+        """Similarity and start of the first best window for one item, if it reaches the threshold."""
+        low = starts[0]
+        part, repeats = shingles[low : starts[-1] + width], again[low : starts[-1] + width]
+        at = np.minimum(np.searchsorted(s.shingles[i], part), len(s.shingles[i]) - 1)
+        own = np.where(s.shingles[i][at] == part, s.weights[i][at], 0.0)
+        upto = np.concatenate([[0.0], np.cumsum(np.where(repeats, 0.0, own))])
+        begins = starts - low
+        most = upto[begins + width] - upto[begins] + np.where(repeats, own, 0.0)[begins]
+        top = (0.0, 0)
+        for start in starts[most >= self.threshold * s.totals[i] - 1e-6]:
+            inside = np.isin(s.shingles[i], shingles[start : start + width])
+            alike = float(s.weights[i][inside].sum() / s.totals[i])
+            if alike > top[0]:
+                top = (alike, int(start))
+        return top if top[0] >= self.threshold else None
+
     def hits_of(self, texts) -> list[list[tuple[int | None, float, int, int]]]:
         """Hits of every text; words of many texts are hashed together."""
         out, batch, lengths = [], [], []
