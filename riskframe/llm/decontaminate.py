@@ -72,6 +72,7 @@ class SizeIndex:
         own = np.array(self.prints, "<u8")
         self.own = own
         self.totals = np.array([w.sum() for w in self.weights])
+        self.least = float(self.totals.min())
         blocks = own.view(np.uint8).reshape(-1, 8)
         apart = np.bitwise_count(BLOCK_VALUES[None, :, None] ^ blocks.T[:, None, :])
         self.tables = np.packbits(apart <= self.radius // BLOCKS, axis=2)
@@ -124,10 +125,13 @@ class Index:
             again = np.concatenate([[False], shingles[1:] == shingles[:-1]])
             upto = np.concatenate([[0.0], np.cumsum(np.where(again, 0.0, held_by))])
             opening = np.where(again, held_by, 0.0)
+            most = upto[-1] + opening.max() + 1e-6
             for s in group:
+                if most < self.threshold * s.least:
+                    continue
                 width = min(s.size, len(hashes)) - k + 1
                 held = upto[width:] - upto[:-width] + opening[: len(shingles) - width + 1]
-                starts = np.flatnonzero(held >= self.threshold * s.totals.min() - 1e-6)
+                starts = np.flatnonzero(held >= self.threshold * s.least - 1e-6)
                 if not len(starts):
                     continue
                 if running is None:
