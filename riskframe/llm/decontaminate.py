@@ -4,8 +4,8 @@ A benchmark item of n words is compared with all windows of n words of a documen
 Windows and items carry SimHash fingerprints of their words; tables over blocks of the fingerprint bits yield every item
 within the radius of a window, because an item within it differs in few bits of at least one block. Those pairs are
 verified exactly: the weight of the item's distinct word shingles that the window holds, as a share of the weight of
-all of them; a shingle weighs its number of bytes. Windows whose shingles cannot reach the threshold, which a running sum over the
-document tells, get no fingerprint; that loses nothing.
+all of them; a shingle weighs its number of bytes. Sizes of which the whole text cannot hold an item, and windows whose
+shingles cannot reach the threshold, which a running sum tells, get no fingerprint; that loses nothing.
 """
 
 from __future__ import annotations
@@ -72,7 +72,6 @@ class SizeIndex:
         own = np.array(self.prints, "<u8")
         self.own = own
         self.totals = np.array([w.sum() for w in self.weights])
-        self.least = float(self.totals.min())
         blocks = own.view(np.uint8).reshape(-1, 8)
         apart = np.bitwise_count(BLOCK_VALUES[None, :, None] ^ blocks.T[:, None, :])
         self.tables = np.packbits(apart <= self.radius // BLOCKS, axis=2)
@@ -105,14 +104,17 @@ class Index:
         for k, group in by_k.items():
             shingles = np.concatenate([x for s in group for x in s.shingles])
             weights = np.concatenate([x for s in group for x in s.weights])
-            known, first = np.unique(shingles, return_index=True)
-            self.groups.append((k, known, weights[first], group))
+            owner = np.repeat(np.arange(sum(len(s.ids) for s in group)), [len(x) for s in group for x in s.shingles])
+            order = np.argsort(shingles, kind="stable")
+            known, first, count = np.unique(shingles[order], return_index=True, return_counts=True)
+            members = (first, count, owner[order], weights[order])
+            self.groups.append((k, known, weights[order][first], members, group))
 
     def hits(self, hashes: np.ndarray) -> list[tuple[int | None, float, int, int]]:
         """(item, similarity, first word, words) of the best window of every item that the text holds."""
         best: dict[tuple[int, int], tuple[float, int]] = {}
         running = None
-        for k, known, weights, group in self.groups:
+        for k, known, weights, members, group in self.groups:
             if len(hashes) < k:
                 continue
             shingles = shingle_hashes(hashes, k)
@@ -125,25 +127,37 @@ class Index:
             again = np.concatenate([[False], shingles[1:] == shingles[:-1]])
             upto = np.concatenate([[0.0], np.cumsum(np.where(again, 0.0, held_by))])
             opening = np.where(again, held_by, 0.0)
-            most = upto[-1] + opening.max() + 1e-6
-            for s in group:
-                if most < self.threshold * s.least:
+            wanted = self._reachable(np.unique(at[found]), members, group)
+            for s, items in zip(group, wanted, strict=True):
+                if not len(items):
                     continue
                 width = min(s.size, len(hashes)) - k + 1
                 held = upto[width:] - upto[:-width] + opening[: len(shingles) - width + 1]
-                starts = np.flatnonzero(held >= self.threshold * s.least - 1e-6)
+                starts = np.flatnonzero(held >= self.threshold * s.totals[items].min() - 1e-6)
                 if not len(starts):
                     continue
                 if running is None:
                     running = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(votes(hashes), 0, dtype=np.int32)])
                 ends = np.minimum(starts + s.size, len(hashes))
                 window, item = s.within(fingerprints(running[ends] - running[starts]))
-                for i in np.unique(item):
+                for i in np.intersect1d(items, item):
                     if alike := self._best(s, int(i), starts[window[item == i]], shingles, again, width):
                         best[s.size, int(i)] = alike
-        by_size = {s.size: s for _, _, _, group in self.groups for s in group}
+        by_size = {s.size: s for *_, group in self.groups for s in group}
         return [(by_size[z].ids[i], round(a, 6), start, z) for (z, i), (a, start) in sorted(best.items())]
 
+    def _reachable(self, found: np.ndarray, members: tuple, group: list[SizeIndex]) -> list[np.ndarray]:
+        """Per size, the items of which the whole text holds enough shingles for some window to reach the threshold."""
+        first, count, owner, weight = members
+        many = count[found]
+        at = np.repeat(first[found] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        held = np.bincount(owner[at], weight[at], minlength=sum(len(s.ids) for s in group))
+        out, start = [], 0
+        for s in group:
+            out.append(np.flatnonzero(held[start : start + len(s.ids)] >= self.threshold * s.totals - 1e-6))
+            start += len(s.ids)
+        return out
+
     def _best(self, s: SizeIndex, i: int, starts: np.ndarray, shingles: np.ndarray, again: np.ndarray, width: int) -> tuple[float, int] | None:
         """Similarity and start of the first best window for one item, if it reaches the threshold."""
         low = starts[0]
