@@ -29,7 +29,7 @@ def _rule_sql(rank: int, rule: secrets.Rule) -> str:
               + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS BIGINT))) AS start,
           unnest(list_transform(m, lambda x: length(x))) AS own, unnest(list_transform(v, lambda x: length(x))) AS tested
         FROM (SELECT id, regexp_extract_all(t, '{p}', 0) AS m, regexp_extract_all(t, '{p}', {rule.group}) AS v,
-          string_split_regex(t, '{p}') AS g FROM d WHERE regexp_matches(t, '{p}')))
+          string_split_regex(t, '{p}') AS g FROM d WHERE regexp_matches(t, '{rule.test or p}')))
       WHERE tested >= {rule.least}"""
 
 
@@ -61,15 +61,15 @@ def source_mixing() -> str:
         {float(mixing.MOST_EPOCHS)} * source_size AS most FROM t),
     -- Rounds of sharing: who is above the limit gets the limit, the rest is shared again.
     rounds AS (
-      SELECT 0 AS round, source, source_size, weight, most, false AS full,
+      SELECT 0 AS round, source, source_size, weight, most, false AS capped,
         {mixing.SHARE} * sum(source_size) OVER () AS remains, sum(weight) OVER () AS among FROM w
       UNION ALL
-      SELECT round + 1, source, source_size, weight, most, full_now,
-        {mixing.SHARE} * sum(source_size) OVER () - coalesce(sum(most) FILTER (full_now) OVER (), 0),
-        coalesce(sum(weight) FILTER (NOT full_now) OVER (), 0)
-      FROM (SELECT *, full OR remains * weight > most * among AS full_now FROM rounds)
-      WHERE (SELECT count(*) FROM rounds WHERE NOT full AND remains * weight > most * among) > 0),
-    g AS (SELECT *, CASE WHEN full THEN most ELSE least(most, remains / among * weight) END AS target
+      SELECT round + 1, source, source_size, weight, most, capped_now,
+        {mixing.SHARE} * sum(source_size) OVER () - coalesce(sum(most) FILTER (capped_now) OVER (), 0),
+        coalesce(sum(weight) FILTER (NOT capped_now) OVER (), 0)
+      FROM (SELECT *, capped OR remains * weight > most * among AS capped_now FROM rounds)
+      WHERE (SELECT count(*) FROM rounds WHERE NOT capped AND remains * weight > most * among) > 0),
+    g AS (SELECT *, CASE WHEN capped THEN most ELSE least(most, remains / among * weight) END AS target
       FROM rounds WHERE round = (SELECT max(round) FROM rounds)),
     b AS (SELECT source, source_size, target, CASE WHEN source_size > 0 THEN CAST(floor(target + 1e-9) AS BIGINT) // source_size ELSE 0 END AS epochs,
         CASE WHEN source_size > 0 THEN CAST(floor(target + 1e-9) AS BIGINT) % source_size ELSE 0 END AS rest FROM g),

@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskframe.llm.common import stored
 
@@ -40,7 +39,7 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 RULE_VERSION = "1"
 FINDINGS = "array<struct<start:long,rank:int,end:long,kind:string>>"
-LEDGER = T.StructType.fromDDL(f"blob string, rule_version string, findings {FINDINGS}")
+LEDGER = f"blob string, rule_version string, findings {FINDINGS}"
 #: Replaces a secret in a text.
 MARK = "[secret]"
 
