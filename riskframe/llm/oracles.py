@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import mixing, secrets
+from riskframe.llm import chat, mixing, secrets
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -82,7 +82,27 @@ def source_mixing() -> str:
       JOIN o ON d.source IS NOT DISTINCT FROM o.source AND d.key = o.key"""
 
 
+def chat_rotation() -> str:
+    role = f"CASE WHEN own THEN 'assistant' WHEN speaker = '{chat.SYSTEM}' THEN '{chat.SYSTEM}' ELSE 'user name=' || speaker END"
+    return f"""
+    WITH t AS (SELECT conv_id, role, coalesce(nullif(role, ''), '{chat.UNKNOWN}') AS speaker, coalesce(text, '') AS body,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS pos
+      FROM conversations),
+    p AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role NOT IN ('', '{chat.SYSTEM}', '{chat.UNKNOWN}')),
+    r AS (SELECT t.conv_id, perspective, pos, pos // {chat.PART_TURNS} AS part, body, speaker, speaker = perspective AS own
+      FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+    h AS (SELECT *, '{chat.BEGIN}' || {role} || chr(10) AS head, body || '{chat.END}' AS said FROM r),
+    l AS (SELECT *, sum(length(head) + length(said) + 1) OVER (PARTITION BY conv_id, perspective, part ORDER BY pos)
+        - length(said) - 1 AS start FROM h)
+    SELECT conv_id, perspective, CAST(part AS BIGINT) AS part, count(*) AS n_turns,
+      string_agg(head || said || chr(10), '' ORDER BY pos) AS text,
+      coalesce(string_agg(CAST(CAST(start AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(start + length(said) AS BIGINT) AS VARCHAR), ',' ORDER BY pos)
+        FILTER (own), '') AS mask
+    FROM l GROUP BY conv_id, perspective, part"""
+
+
 ORACLES: dict[str, str] = {
     "op2_secret_scan": secret_scan(),
+    "op5_chat_rotation": chat_rotation(),
     "op4_source_mixing": source_mixing(),
 }

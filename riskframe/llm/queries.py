@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import decontaminate, jaccard, mixing, quality, secrets
+from riskframe.llm import chat, decontaminate, jaccard, mixing, pages, quality, secrets
 from riskframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.similar_documents(table(spark, sf_dir, "documents"), k=3, percent=90)
     return found.select("doc_id", "n_shingles", "n_links", "component_id")
@@ -34,10 +38,16 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_source_mixing": op4_source_mixing,
+    "op5_chat_rotation": op5_chat_rotation,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_html_extraction": op10_html_extraction,
 }
