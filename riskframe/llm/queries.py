@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import chat, decontaminate, jaccard, mixing, pages, quality, secrets
+from riskframe.llm import chat, decontaminate, jaccard, mixing, pages, quality, secrets, topk
 from riskframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op5_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_inner_products(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.similar_documents(table(spark, sf_dir, "documents"), k=3, percent=90)
     return found.select("doc_id", "n_shingles", "n_links", "component_id")
@@ -47,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_source_mixing": op4_source_mixing,
     "op5_chat_rotation": op5_chat_rotation,
+    "op6_exact_topk": op6_exact_topk,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_html_extraction": op10_html_extraction,
