@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import chat, decontaminate, jaccard, mixing, pages, quality, secrets, topk
+from riskframe.llm import chat, decontaminate, jaccard, lm, mixing, pages, quality, secrets, topk
 from riskframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = secrets.scan(table(spark, sf_dir, "documents"))
     return secrets.digest_columns(found)
@@ -47,6 +51,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_secret_scan": op2_secret_scan,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_source_mixing": op4_source_mixing,
