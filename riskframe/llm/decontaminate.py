@@ -229,10 +229,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Rows of ``docs``, all columns, that hold no benchmark item."""
     for index in indexes(benchmark, **options):
+        docs = docs.filter(_clean(index)(F.col("text")))
+    return docs
 
-        @pandas_udf("boolean")
-        def clean(texts: pd.Series, index: Index = index) -> pd.Series:
-            return pd.Series([not h for h in index.hits_of(texts)], dtype=bool)
 
-        docs = docs.filter(clean(F.col("text")))
-    return docs
+def _clean(index: Index):
+    """A function of a text column: whether the text holds no item of this part."""
+
+    @pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not h for h in index.hits_of(texts)], dtype=bool)
+
+    return clean
