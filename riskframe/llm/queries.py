@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import chat, decontaminate, jaccard, lm, mixing, pages, quality, secrets, topk
+from riskframe.llm import chat, decontaminate, jaccard, lm, mixing, pages, quality, secrets, suffixes, topk
 from riskframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "n_links", "component_id")
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest_columns(suffixes.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op5_chat_rotation": op5_chat_rotation,
     "op6_exact_topk": op6_exact_topk,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_html_extraction": op10_html_extraction,
 }
