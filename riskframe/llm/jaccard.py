@@ -3,7 +3,8 @@
 Documents of equal shingle sets form one class. Classes are ordered by min-hashes, so that similar ones stand together,
 and cut into groups of bounded size. The matrix says which groups hold a token. It is kept for the tokens of every
 set's prefix only: in an order of all tokens with the most frequent last, two sets similar enough share one of their
-first few tokens, so a group that shares none with a query group cannot qualify. A qualifying pair of groups is opened:
+first few tokens, so a group that shares none with a query group cannot qualify. Parities of tokens by hash bound how many
+tokens two sets can share; of a pair of groups, the sets that this leaves are opened:
 the tokens that a set shares with the union of the other group bound its overlap with any member, and what remains is
 counted exactly, as products of incidence matrices.
 
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_hexdigest
 
@@ -98,21 +99,45 @@ def _codes(hashes: np.ndarray, segments: int) -> np.ndarray:
     return (high << np.uint64(32)) | (hashes & LOW)
 
 
-def prefix(tokens: np.ndarray, percent: int, frequent: np.ndarray, counts: np.ndarray, segments: int) -> np.ndarray:
+def prefix(tokens: np.ndarray, percent: int, frequent: np.ndarray, counts: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     """The first tokens of a set, one of which any set that is similar enough must share: rare ones by hash, then
     frequent ones by count."""
     n = len(tokens)
-    size = n - (percent * n + 99) // 100 + 1
-    if n == 0 or size >= n or not len(frequent):
-        return tokens[: max(0, size)]
+    size = max(0, n - (percent * n + 99) // 100 + 1)
+    if n == 0 or not len(frequent):
+        return tokens[:size], tokens[:0]
     codes = _codes(tokens, segments)
     at = np.minimum(np.searchsorted(frequent, codes), len(frequent) - 1)
     rank = np.where(frequent[at] == codes, counts[at], 0)
-    return tokens[np.argsort(rank, kind="stable")[:size]]
+    first = np.argsort(rank, kind="stable")[:size]
+    return tokens[first[rank[first] == 0]], tokens[first[rank[first] > 0]]
+
+
+def parity_bits(tokens: np.ndarray) -> bytes:
+    """Parities of the tokens that fall on each of at least twice as many bits: two sets differ in at least as many
+    tokens as bits."""
+    bits = max(512, 1 << (2 * len(tokens)).bit_length())
+    return np.packbits(np.bincount((tokens % np.uint64(bits)).astype(np.int64), minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def differences(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Least numbers of tokens in which sets differ; of two lengths, the longer parities are folded to the shorter."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    of_size = lambda side: {z: np.array([i for i, x in enumerate(side) if len(x) == z]) for z in {len(x) for x in side}}
+
+    def folded(side: list[bytes], rows: np.ndarray, size: int, to: int) -> np.ndarray:
+        return np.bitwise_xor.reduce(np.array([np.frombuffer(side[i], "<u8") for i in rows]).reshape(len(rows), size // to, to // 8), axis=1)
+
+    for p, rows in of_size(left).items():
+        for q, columns in of_size(right).items():
+            x, y = folded(left, rows, p, min(p, q)), folded(right, columns, q, min(p, q))
+            out[np.ix_(rows, columns)] = [np.bitwise_count(row[None, :] ^ y).sum(1, dtype=np.int64) for row in x]
+    return out
 
 
 def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, key (digest of the text), cls (digest of the set), n, m0..m2 (min-hashes), prefix; one row per document."""
+    """One row per document: doc_id, key (digest of the text), cls (digest of the set), n, m0..m2 (min-hashes), the
+    prefix (rare and often tokens) and the parity bits."""
     frequent, counts, segments = frequent_tokens(docs, k)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,20 +146,21 @@ def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
             for _, hashes in hashed_texts(b["text"]):
                 tokens = token_set(hashes, k)
                 low = [int((tokens * m).min().astype(np.int64)) if len(tokens) else 0 for m in MULTIPLIERS]
-                out.append((xxh3_128_hexdigest(tokens.tobytes()), len(tokens), *low, prefix(tokens, percent, frequent, counts, segments).astype(np.int64)))
-            yield pd.concat([b[["doc_id", "key"]].reset_index(drop=True), pd.DataFrame(out, columns=["cls", "n", "m0", "m1", "m2", "prefix"])], axis=1)
+                rare, often = prefix(tokens, percent, frequent, counts, segments)
+                out.append((xxh3_128_hexdigest(tokens.tobytes()), len(tokens), *low, rare.astype(np.int64), often.astype(np.int64), parity_bits(tokens)))
+            found = pd.DataFrame(out, columns=["cls", "n", "m0", "m1", "m2", "rare", "often", "bits"])
+            yield pd.concat([b[["doc_id", "key"]].reset_index(drop=True), found], axis=1)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.coalesce("text", F.lit(""))).alias("key"), "text")
-    return stored(
-        rows.mapInPandas(run, "doc_id long, key string, cls string, n long, m0 long, m1 long, m2 long, prefix array<long>"), "jaccard-sets"
-    )
+    schema = "doc_id long, key string, cls string, n long, m0 long, m1 long, m2 long, rare array<long>, often array<long>, bits binary"
+    return stored(rows.mapInPandas(run, schema), "jaccard-sets")
 
 
 def grouped(sets: DataFrame) -> DataFrame:
-    """(cls, key, n, copies, prefix, bin) of every class with tokens."""
+    """(cls, key, n, copies, bin, rare, often, bits) of every class with tokens; rows that repeat in id and text repeat."""
     classes = sets.filter("n > 0").groupBy("cls").agg(
-        F.min("key").alias("key"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
-        F.first("m0").alias("m0"), F.first("m1").alias("m1"), F.first("m2").alias("m2"), F.first("prefix").alias("prefix"),
+        F.min(F.struct("doc_id", "key")).alias("head"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
+        F.first("m0").alias("m0"), F.first("m1").alias("m1"), F.first("m2").alias("m2"),
     )
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,23 +173,29 @@ def grouped(sets: DataFrame) -> DataFrame:
                 sets_in, tokens_in = sets_in + 1, tokens_in + n
                 bins.append(number)
             b["bin"] = bins
-            yield b[["cls", "key", "n", "copies", "prefix", "bin"]]
+            yield b[["cls", "doc_id", "key", "copies", "bin"]]
 
-    return stored(
-        classes.repartitionByRange("m0", "m1", "m2", "cls").sortWithinPartitions("m0", "m1", "m2", "cls")
-        .mapInPandas(cut, "cls string, key string, n long, copies long, prefix array<long>, bin long"),
-        "jaccard-groups",
+    bins = stored(
+        classes.select("*", "head.doc_id", "head.key").drop("head").repartitionByRange("m0", "m1", "m2", "cls").sortWithinPartitions("m0", "m1", "m2", "cls")
+        .mapInPandas(cut, "cls string, doc_id long, key string, copies long, bin long"),
+        "jaccard-bins",
     )
+    head = bins.select(F.col("cls").alias("h_cls"), F.col("doc_id").alias("h_id"), F.col("key").alias("h_key"), "copies", "bin")
+    same = (F.col("cls") == F.col("h_cls")) & (F.col("key") == F.col("h_key")) & F.col("doc_id").eqNullSafe(F.col("h_id"))
+    rows = sets.select("doc_id", "key", "cls", "n", "rare", "often", "bits").join(head.hint("shuffle_hash"), same)
+    return stored(rows.select("cls", "key", "n", "copies", "bin", "rare", "often", "bits"), "jaccard-groups")
 
 
 def qualifying(groups: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of groups, a <= b, whose prefixes share a token and whose set sizes allow the similarity."""
-    matrix = groups.select(F.explode("prefix").alias("token"), "bin", "n").groupBy("token", "bin").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    spread = (
-        groups.select(F.explode("prefix").alias("token"), "bin").groupBy("token").agg(F.min("bin").alias("x"), F.max("bin").alias("y"))
-        .filter("x < y").select("token")
+    token = Window.partitionBy("token")
+    # A rare token is in fewer than FREQUENT documents, or in fewer than each of the MOST_FREQUENT listed ones.
+    rare = (
+        groups.select(F.explode("rare").alias("token"), "bin", "n")
+        .select("*", F.min("bin").over(token).alias("x"), F.max("bin").over(token).alias("y")).filter("x < y").select("token", "bin", "n")
     )
-    shared = stored(matrix.join(spread, "token", "left_semi"), "jaccard-matrix")
+    often = groups.select(F.explode("often").alias("token"), "bin", "n")
+    shared = stored(rare.unionByName(often).groupBy("token", "bin").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "jaccard-matrix")
     left = shared.select("token", F.col("bin").alias("a"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"))
     right = shared.select("token", F.col("bin").alias("b"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
     fits = (F.col("a_hi") * 100 >= F.col("b_lo") * percent) & (F.col("b_hi") * 100 >= F.col("a_lo") * percent)
@@ -172,23 +204,48 @@ def qualifying(groups: DataFrame, percent: int) -> DataFrame:
     return stored(across.unionByName(inside), "jaccard-pairs")
 
 
-def packed(docs: DataFrame, groups: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """One row per group that some pair opens: its sets, rebuilt from one text per class."""
-    opened = pairs.select(F.col("a").alias("bin")).unionByName(pairs.select(F.col("b").alias("bin"))).distinct()
-    wanted = groups.join(opened, "bin", "left_semi").select("key", "cls", "copies", "bin")
+def within_reach(groups: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b, side, cls): the sets of each pair of groups that their parity bits allow to be similar to one of the other
+    group; side 0 is a, 1 is b, and 2 stands for both in a pair of a group with itself."""
+    bits = groups.select("bin", "cls", "n", "bits").distinct().groupBy("bin").agg(F.collect_list(F.struct("cls", "n", "bits")).alias("sets"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for a, b, left, right in zip(batch["a"], batch["b"], batch["left"], batch["right"], strict=True):
+                n, m = (np.array([s["n"] for s in side]) for side in (left, right))
+                both = n[:, None] + m[None, :]
+                apart = differences(*([s["bits"] for s in side] for side in (left, right)))
+                # Common tokens are at most half of what the sets hold together less what they differ in.
+                possible = 100 * (both - apart) >= percent * (both + apart)
+                if a == b:
+                    np.fill_diagonal(possible, False)
+                    out += [(a, b, 2, left[i]["cls"]) for i in np.flatnonzero(possible.any(1))]
+                else:
+                    out += [(a, b, 0, left[i]["cls"]) for i in np.flatnonzero(possible.any(1))]
+                    out += [(a, b, 1, right[i]["cls"]) for i in np.flatnonzero(possible.any(0))]
+            yield pd.DataFrame(out, columns=["a", "b", "side", "cls"])
+
+    left, right = bits.select(F.col("bin").alias("a"), F.col("sets").alias("left")), bits.select(F.col("bin").alias("b"), F.col("sets").alias("right"))
+    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    return stored(rows.mapInPandas(run, "a long, b long, side long, cls string"), "jaccard-open")
+
+
+def rebuilt(docs: DataFrame, groups: DataFrame, opened: DataFrame, k: int) -> DataFrame:
+    """(cls, copies, tokens) of every set that some pair opens, from one text per class."""
+    wanted = groups.join(opened.select("cls").distinct(), "cls", "left_semi").select("key", "cls", "copies").distinct()
     texts = docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("key"), "text")
     rows = texts.join(wanted.hint("shuffle_hash"), "key")
 
     def token_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             tokens = [token_set(h, k).tobytes() for _, h in hashed_texts(b["text"])]
-            yield pd.DataFrame({"bin": b["bin"], "cls": b["cls"], "copies": b["copies"], "tokens": tokens})
+            yield pd.DataFrame({"cls": b["cls"], "copies": b["copies"], "tokens": tokens})
 
-    once = rows.mapInPandas(token_rows, "bin long, cls string, copies long, tokens binary").groupBy("bin", "cls").agg(
+    once = rows.mapInPandas(token_rows, "cls string, copies long, tokens binary").groupBy("cls").agg(
         F.first("copies").alias("copies"), F.first("tokens").alias("tokens")
     )
-    # At most GROUP_SETS sets and GROUP_TOKENS tokens, or a single longer set.
-    return stored(once.groupBy("bin").agg(F.collect_list(F.struct("cls", "copies", "tokens")).alias("sets")), "jaccard-packs")
+    return stored(once, "jaccard-tokens")
 
 
 def _rows_in(tokens: list[np.ndarray], columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -233,7 +290,7 @@ def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.
     return 100 * inter >= percent * union
 
 
-def opened_links(pairs: DataFrame, packs: DataFrame, percent: int) -> DataFrame:
+def opened_links(opened: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """(a, b, n): edges a - b that connect what the opened pairs link (b not null), and linked documents per class."""
 
     def spanning(names_l: list[str], names_r: list[str], link: np.ndarray) -> list[tuple[str, str, int]]:
@@ -253,26 +310,23 @@ def opened_links(pairs: DataFrame, packs: DataFrame, percent: int) -> DataFrame:
                 edges.append((min(x, y), max(x, y), 0))
         return edges
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for a, b, left, right in zip(batch["a"], batch["b"], batch["left"], batch["right"], strict=True):
-                sets = [[np.frombuffer(s["tokens"], np.uint64) for s in side] for side in (left, right)]
-                names = [[s["cls"] for s in side] for side in (left, right)]
-                copies = [np.array([s["copies"] for s in side], np.int64) for side in (left, right)]
-                link = linked(*sets, percent)
-                if a == b:
-                    np.fill_diagonal(link, False)
-                out += spanning(*names, link)
-                sides = ((0, link @ copies[1]),) if a == b else ((0, link @ copies[1]), (1, link.T @ copies[0]))
-                out += [(names[s][i], None, int(n[i])) for s, n in sides for i in np.flatnonzero(n)]
-            yield pd.DataFrame(out, columns=["a", "b", "n"])
-
-    left = packs.select(F.col("bin").alias("a"), F.col("sets").alias("left"))
-    right = packs.select(F.col("bin").alias("b"), F.col("sets").alias("right"))
-    # Opened pairs are spread evenly, whatever group they belong to.
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return stored(rows.mapInPandas(run, "a string, b string, n long"), "jaccard-links")
+    def open_pair(rows: pd.DataFrame) -> pd.DataFrame:
+        inside = bool((rows["side"] == 2).any())
+        sides = [rows if inside else rows[rows["side"] == i] for i in (0, 1)]
+        if not len(sides[0]) or not len(sides[1]):
+            return pd.DataFrame(columns=["a", "b", "n"])
+        sets = [[np.frombuffer(t, np.uint64) for t in side["tokens"]] for side in sides]
+        names, copies = [list(side["cls"]) for side in sides], [side["copies"].to_numpy() for side in sides]
+        link = linked(*sets, percent)
+        if inside:
+            np.fill_diagonal(link, False)
+        counts = [(0, link @ copies[1])] if inside else [(0, link @ copies[1]), (1, link.T @ copies[0])]
+        out = spanning(*names, link) + [(names[s][i], None, int(n[i])) for s, n in counts for i in np.flatnonzero(n)]
+        return pd.DataFrame(out, columns=["a", "b", "n"])
+
+    # At most two groups' sets come together.
+    rows = opened.join(tokens, "cls").groupBy("a", "b").applyInPandas(open_pair, "a string, b string, n long")
+    return stored(rows, "jaccard-links")
 
 
 def similar_documents(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
@@ -286,8 +340,8 @@ def similar_documents(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFra
     """
     sets = sets_of(docs, k, percent)
     groups = grouped(sets)
-    pairs = qualifying(groups, percent)
-    links = opened_links(pairs, packed(docs, groups, pairs, k), percent)
+    opened = within_reach(groups, qualifying(groups, percent), percent)
+    links = opened_links(opened, rebuilt(docs, groups, opened, k), percent)
     labels = components(links.filter(F.col("b").isNotNull()).select("a", "b"))
     degrees = links.filter(F.col("b").isNull()).groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("others"))
     classes = sets.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
