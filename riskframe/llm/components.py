@@ -11,20 +11,28 @@ from riskframe.llm.common import stored
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): label is the smallest node that can be reached; nodes are those of ``edges`` (a, b).
 
-    Every round takes the smallest label among the neighbours and then the label of the label, so chains shorten by
-    halves. Rounds end when no label changed. All joins are on keys of which adaptive execution splits the large ones.
+    Every round gives each node the smallest of its neighbours and itself, then that node's own choice, and contracts
+    the edges to the chosen nodes; edges inside a contracted group are gone, so the table shrinks quickly. Rounds end when
+    no edge is left.
     """
-    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u <> v")
-    both = stored(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))), "component-edges")
-    labels = stored(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("label")), "component-labels")
+    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    edges = stored(edges.filter("a <> b").select(*ordered("a", "b")).distinct(), "component-edges")
+    labels = None
     while True:
-        offers = both.join(labels, both["v"] == labels["node"]).groupBy(F.col("u").alias("n")).agg(F.min("label").alias("m"))
-        near = labels.join(offers, labels["node"] == offers["n"]).select("node", "label", F.least("label", "m").alias("near"))
-        far = labels.select(F.col("node").alias("far"), F.col("label").alias("far_label"))
-        moved = stored(
-            near.join(far, near["near"] == far["far"]).select("node", F.col("label").alias("old"), F.least("near", "far_label").alias("label")),
-            "component-labels",
+        ends = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
+        near = stored(ends.groupBy("node").agg(F.min("other").alias("other")).select("node", F.least("node", "other").alias("near")), "component-near")
+        far = near.select(F.col("node").alias("f_node"), F.col("near").alias("f_near"))
+        step = stored(near.join(far, F.col("near") == F.col("f_node")).select(F.col("node").alias("s_node"), F.col("f_near").alias("s_label")), "component-step")
+        if labels is None:
+            labels = step.select(F.col("s_node").alias("node"), F.col("s_label").alias("label"))
+        else:
+            moved = labels.join(step, F.col("label") == F.col("s_node"), "left")
+            labels = stored(moved.select("node", F.coalesce("s_label", "label").alias("label")), "component-labels")
+        one, two = (step.select(F.col("s_node").alias(f"{x}_node"), F.col("s_label").alias(f"{x}_label")) for x in "xy")
+        edges = stored(
+            edges.join(one, F.col("a") == F.col("x_node")).join(two, F.col("b") == F.col("y_node")).filter("x_label <> y_label")
+            .select(*ordered("x_label", "y_label")).distinct(),
+            "component-edges",
         )
-        labels = moved.select("node", "label")
-        if moved.filter(F.col("old") != F.col("label")).isEmpty():
+        if edges.isEmpty():
             return labels

@@ -64,7 +64,7 @@ def frequent_tokens(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, in
             spans = [(s, a, b) for s, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if b > a]
             return pd.DataFrame({
                 "segment": [s for s, _, _ in spans],
-                "codes": [codes[a:b].astype("<u4").tobytes() for _, a, b in spans],
+                "codes": [packed(codes[a:b]) for _, a, b in spans],
                 "counts": [n[a:b].astype("<u4").tobytes() for _, a, b in spans],
             })
 
@@ -79,7 +79,7 @@ def frequent_tokens(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, in
             yield flush()
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        codes = np.concatenate([np.frombuffer(x, "<u4") for x in rows["codes"]])
+        codes = np.concatenate([unpacked(x) for x in rows["codes"]])
         counts = np.concatenate([np.frombuffer(x, "<u4") for x in rows["counts"]])
         order = np.argsort(codes, kind="stable")
         codes, first = np.unique(codes[order], return_index=True)
@@ -94,6 +94,17 @@ def frequent_tokens(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, in
     return top["code"].to_numpy(np.uint64), top["n"].to_numpy(np.int64), segments
 
 
+def packed(codes: np.ndarray) -> bytes:
+    """Low halves of ascending codes of one segment as steps, their bytes by significance, which shuffles compress."""
+    steps = np.diff(codes & LOW, prepend=np.uint64(0)).astype("<u4")
+    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(data, np.uint8).reshape(4, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view("<u4").ravel(), dtype=np.uint64).astype("<u4")
+
+
 def _codes(hashes: np.ndarray, segments: int) -> np.ndarray:
     high = (hashes >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)
     return (high << np.uint64(32)) | (hashes & LOW)
@@ -157,7 +168,7 @@ def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def grouped(sets: DataFrame) -> DataFrame:
-    """(cls, key, n, copies, bin, rare, often, bits) of every class with tokens; rows that repeat in id and text repeat."""
+    """(cls, doc_id, key, copies, bin) of every class with tokens: its first row and its group."""
     classes = sets.filter("n > 0").groupBy("cls").agg(
         F.min(F.struct("doc_id", "key")).alias("head"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
         F.first("m0").alias("m0"), F.first("m1").alias("m1"), F.first("m2").alias("m2"),
@@ -175,26 +186,29 @@ def grouped(sets: DataFrame) -> DataFrame:
             b["bin"] = bins
             yield b[["cls", "doc_id", "key", "copies", "bin"]]
 
-    bins = stored(
+    return stored(
         classes.select("*", "head.doc_id", "head.key").drop("head").repartitionByRange("m0", "m1", "m2", "cls").sortWithinPartitions("m0", "m1", "m2", "cls")
         .mapInPandas(cut, "cls string, doc_id long, key string, copies long, bin long"),
-        "jaccard-bins",
+        "jaccard-groups",
     )
-    head = bins.select(F.col("cls").alias("h_cls"), F.col("doc_id").alias("h_id"), F.col("key").alias("h_key"), "copies", "bin")
+
+
+def members(sets: DataFrame, groups: DataFrame, *columns: str) -> DataFrame:
+    """bin and ``columns`` of the first row of every class; rows that repeat in id and text repeat."""
+    head = groups.select(F.col("cls").alias("h_cls"), F.col("doc_id").alias("h_id"), F.col("key").alias("h_key"), "bin")
     same = (F.col("cls") == F.col("h_cls")) & (F.col("key") == F.col("h_key")) & F.col("doc_id").eqNullSafe(F.col("h_id"))
-    rows = sets.select("doc_id", "key", "cls", "n", "rare", "often", "bits").join(head.hint("shuffle_hash"), same)
-    return stored(rows.select("cls", "key", "n", "copies", "bin", "rare", "often", "bits"), "jaccard-groups")
+    return sets.join(head.hint("shuffle_hash"), same).select("bin", *columns)
 
 
-def qualifying(groups: DataFrame, percent: int) -> DataFrame:
+def qualifying(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of groups, a <= b, whose prefixes share a token and whose set sizes allow the similarity."""
     token = Window.partitionBy("token")
     # A rare token is in fewer than FREQUENT documents, or in fewer than each of the MOST_FREQUENT listed ones.
     rare = (
-        groups.select(F.explode("rare").alias("token"), "bin", "n")
+        members(sets, groups, "rare", "n").select(F.explode("rare").alias("token"), "bin", "n")
         .select("*", F.min("bin").over(token).alias("x"), F.max("bin").over(token).alias("y")).filter("x < y").select("token", "bin", "n")
     )
-    often = groups.select(F.explode("often").alias("token"), "bin", "n")
+    often = members(sets.filter(F.size("often") > 0), groups, "often", "n").select(F.explode("often").alias("token"), "bin", "n")
     shared = stored(rare.unionByName(often).groupBy("token", "bin").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "jaccard-matrix")
     left = shared.select("token", F.col("bin").alias("a"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"))
     right = shared.select("token", F.col("bin").alias("b"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
@@ -204,10 +218,10 @@ def qualifying(groups: DataFrame, percent: int) -> DataFrame:
     return stored(across.unionByName(inside), "jaccard-pairs")
 
 
-def within_reach(groups: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def within_reach(sets: DataFrame, groups: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """(a, b, side, cls): the sets of each pair of groups that their parity bits allow to be similar to one of the other
     group; side 0 is a, 1 is b, and 2 stands for both in a pair of a group with itself."""
-    bits = groups.select("bin", "cls", "n", "bits").distinct().groupBy("bin").agg(F.collect_list(F.struct("cls", "n", "bits")).alias("sets"))
+    bits = members(sets, groups, "cls", "n", "bits").distinct().groupBy("bin").agg(F.collect_list(F.struct("cls", "n", "bits")).alias("sets"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -340,7 +354,7 @@ def similar_documents(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFra
     """
     sets = sets_of(docs, k, percent)
     groups = grouped(sets)
-    opened = within_reach(groups, qualifying(groups, percent), percent)
+    opened = within_reach(sets, groups, qualifying(sets, groups, percent), percent)
     links = opened_links(opened, rebuilt(docs, groups, opened, k), percent)
     labels = components(links.filter(F.col("b").isNotNull()).select("a", "b"))
     degrees = links.filter(F.col("b").isNull()).groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("others"))
