@@ -157,6 +157,10 @@ def repeated_starts(doc: np.ndarray, pos: np.ndarray, pad_left: np.ndarray, pad_
     row, at = all_starts(later)
     out_row.append(row), out_start.append(at)
     heads = order[first]
+    # A pick with one context only has no other place left to compare. Its bytes stand in the middle of the context.
+    middle = np.ascontiguousarray(contexts[heads, width - length : length]).view(f"V{2 * length - width}").ravel()
+    _, which, count = np.unique(middle, return_inverse=True, return_counts=True)
+    heads = heads[count[which.ravel()] > 1]
     if len(heads) > 1:
         text = np.concatenate([contexts[heads].ravel(), np.zeros(length, np.uint8)])
         head_row, head_at = all_starts(heads)
@@ -249,9 +253,9 @@ def around_picks(texts: DataFrame, shards: int, length: int, gram: int, hot: int
                 picks = np.unique(np.concatenate([np.frombuffer(x, "<u4").reshape(-1, 2) for x in found]), axis=0).astype(np.int64)
                 padded = np.concatenate([np.zeros(side, np.uint8), raw, np.zeros(side + width, np.uint8)])
                 windows = np.lib.stride_tricks.sliding_window_view(padded, width)
-                for at in picks[picks[:, 1] > hot, 0]:
-                    starts = np.arange(max(0, at - side), min(at, len(raw) - length) + 1)
-                    strings += [(doc, ref, int(s), hashlib.md5(raw[s : s + length].tobytes()).digest()) for s in starts]
+                near = [np.arange(max(0, at - side), min(at, len(raw) - length) + 1) for at in picks[picks[:, 1] > hot, 0]]
+                if near:
+                    strings.append((doc, ref, raw, np.unique(np.concatenate(near))))
                 at = picks[picks[:, 1] <= hot, 0]
                 at = at[at + gram <= len(raw)]
                 if len(at):
@@ -266,15 +270,27 @@ def around_picks(texts: DataFrame, shards: int, length: int, gram: int, hot: int
                 bounds = np.flatnonzero(np.concatenate([[True], np.diff(shard[order]) > 0, [True]]))
                 for x, y in zip(bounds, bounds[1:], strict=False):
                     p = order[x:y]
-                    out.append((int(shard[p[0]]), doc[p].astype("<i8").tobytes(), ref[p].astype("<i8").tobytes(), pos[p].astype("<i8").tobytes(), left[p].astype("u1").tobytes(), right[p].astype("u1").tobytes(), context[p].tobytes(), None, None, None, None))
-            out += [(None, None, None, None, None, None, None, *s) for s in strings]
+                    out.append((int(shard[p[0]]), doc[p].astype("<i8").tobytes(), ref[p].astype("<i8").tobytes(), pos[p].astype("<i8").tobytes(), left[p].astype("u1").tobytes(), right[p].astype("u1").tobytes(), context[p].tobytes(), *[None] * 5))
+            # Of equal strings here only the earliest goes on; the others have an earlier one already.
+            seen: set[bytes] = set()
+            for doc, ref, raw, starts in sorted(strings, key=lambda x: x[:2]):
+                late = []
+                for at in starts.tolist():
+                    digest = hashlib.md5(raw[at : at + length].tobytes()).digest()
+                    if digest in seen:
+                        late.append(at)
+                    else:
+                        seen.add(digest)
+                        out.append((*[None] * 7, doc, ref, at, digest, None))
+                if late:
+                    out.append((*[None] * 7, doc, ref, None, None, runs(np.array(late), length).astype("<i8").tobytes()))
             yield pd.DataFrame(out, columns=CONTEXT_COLUMNS, dtype=object)  # whole numbers beside nulls stay whole
 
     return stored(texts.mapInPandas(cut, CONTEXT_SCHEMA), "suffix-contexts")
 
 
-CONTEXT_COLUMNS = ["shard", "docs", "refs", "pos", "left", "right", "contexts", "h_doc", "h_ref", "h_start", "h_digest"]
-CONTEXT_SCHEMA = "shard long, docs binary, refs binary, pos binary, left binary, right binary, contexts binary, h_doc long, h_ref long, h_start long, h_digest binary"
+CONTEXT_COLUMNS = ["shard", "docs", "refs", "pos", "left", "right", "contexts", "h_doc", "h_ref", "h_start", "h_digest", "h_spans"]
+CONTEXT_SCHEMA = "shard long, docs binary, refs binary, pos binary, left binary, right binary, contexts binary, h_doc long, h_ref long, h_start long, h_digest binary, h_spans binary"
 
 
 def _gram_key(raw: np.ndarray, at: int, gram: int) -> int:
@@ -318,7 +334,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
         return pd.DataFrame(spans, columns=["doc", "ref", "spans"])
 
     settled = parts.filter("shard is not null").groupBy("shard").applyInPandas(settle, "doc long, ref long, spans binary")
-    strings = parts.filter("shard is null").select("h_doc", "h_ref", "h_start", "h_digest").distinct()
+    strings = parts.filter("h_digest is not null").select("h_doc", "h_ref", "h_start", "h_digest")
     earliest = strings.groupBy("h_digest").agg(F.min(F.struct("h_doc", "h_ref", "h_start")).alias("e"))
     late = strings.join(earliest, "h_digest").filter(F.struct("h_doc", "h_ref", "h_start") != F.col("e"))
 
@@ -328,7 +344,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
             yield pd.DataFrame({"doc": b["h_doc"], "ref": b["h_ref"], "spans": spans})
 
     late = late.select("h_doc", "h_ref", "h_start").mapInPandas(pairs, "doc long, ref long, spans binary")
-    removed = settled.unionByName(late).groupBy("doc", "ref").agg(F.collect_list("spans").alias("spans"))
+    known = parts.filter("h_spans is not null").select(F.col("h_doc").alias("doc"), F.col("h_ref").alias("ref"), F.col("h_spans").alias("spans"))
+    removed = settled.unionByName(late).unionByName(known).groupBy("doc", "ref").agg(F.collect_list("spans").alias("spans"))
     removed = stored(removed, "suffix-spans").select(F.col("doc").alias("r_doc"), F.col("ref").alias("r_ref"), "spans")
     status = firsts.join(removed, (F.col("doc") == F.col("r_doc")) & (F.col("ref") == F.col("r_ref")), "left").select(
         F.col("key").alias("f_key"), F.col("doc").alias("f_doc"), "same", "spans"
