@@ -61,7 +61,7 @@ add("parse_payload_multi", """
            event_id % 200 AS execution_time_ms, CAST(user_id + position AS VARCHAR) AS Id,
            CASE position WHEN 0 THEN event_id % 2 WHEN 1 THEN (event_id + 1) % 2 END AS prediction,
            'risk_model' AS model_name, position
-    FROM events, (VALUES (0), (1), (2)) p(position) WHERE event_id % 4 = 0""", "",
+    FROM events, (VALUES (0), (1), (2)) p(position)""", "",
     t="timestamp", i="timestamp_ms execution_time_ms position", s="databricks_request_id Id model_name", d="prediction")
 add("payload_quarantine", """
     SELECT databricks_request_id,
@@ -158,7 +158,6 @@ RAW_DOUBLES = [c for c in RAW_COLUMNS if c not in RAW_INTEGER]
 CREDIT_KINDS = dict(s="Id", i=[*CATEGORIES, "Default"], d=DOUBLES, t="Update_timestamp_utc")
 add("scan_csv", 'SELECT *, "default.payment.next.month" AS target FROM credit_raw', CREDIT_RAW_SQL,
     i=[*RAW_INTEGER, "target"], d=RAW_DOUBLES)
-add("empty_like", "SELECT * FROM credit WHERE FALSE", CREDIT_SQL, **CREDIT_KINDS)
 add("conform_schema", "SELECT * FROM credit", CREDIT_SQL, s="Id", d=FEATURES)
 RENAMED_SQL = f"""{CREDIT_RAW_SQL},
 renamed AS (SELECT {", ".join("CAST(ID AS VARCHAR) AS Id" if c == "ID" else f'{c} AS "{c.capitalize()}"'
@@ -179,8 +178,6 @@ add("domain_violations", """
     UNION ALL SELECT 'Marriage', Marriage, COUNT(*) FROM renamed WHERE Marriage NOT IN (1, 2, 3) GROUP BY ALL
     UNION ALL SELECT 'Pay_6', Pay_6, COUNT(*) FROM renamed WHERE Pay_6 NOT BETWEEN 0 AND 8 GROUP BY ALL""",
     RENAMED_SQL, s="column", d="value", i="rows")
-add("missing_columns", "SELECT unnest([{}]) AS missing".format(
-    ", ".join(f"'{c}'" for c in [*RAW_COLUMNS, "default.payment.next.month"])), "", s="missing")
 DRIFTED_CREDIT = ", ".join(f"{c} * 1.5 AS {c}" for c in DRIFT_COLUMNS)
 add("inject_drift", f"""SELECT * EXCLUDE ({", ".join(DRIFT_COLUMNS)}), {DRIFTED_CREDIT} FROM credit""", CREDIT_SQL,
     s="Id", t="Update_timestamp_utc", d=[*DOUBLES, "Age", "Pay_0"],

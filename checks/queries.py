@@ -17,7 +17,7 @@ from riskframe.plans import compare, ingest, prepare, refresh
 from riskframe.schemas import feature_table_schema, log_schema
 from riskframe.session import scratch_path
 from riskframe.sources import scan
-from riskframe.spec import CREDIT, FEATURES, RAW_COLUMNS, RAW_TARGET, ROBUST
+from riskframe.spec import CREDIT, FEATURES, RAW_TARGET, ROBUST
 from riskframe.streaming import ingest as stream_in
 from riskframe.streaming import quality as stream_q
 from riskframe.streaming import upsert as stream_up
@@ -79,8 +79,8 @@ def _(spark, d):
 
 @register("parse_payload_multi")
 def _(spark, d):
-    """Three-record requests, one per four events, with two predictions each."""
-    e = table(spark, d, "events").filter(F.col("event_id") % 4 == 0)
+    """Three-record requests, one per event, with two predictions each."""
+    e = table(spark, d, "events")
     i = F.col("event_id")
     records = F.array(*(F.struct((F.col("user_id") + n).cast("string").alias("Id")) for n in range(3)))
     request_id = F.concat(F.lit("req-"), i.cast("string"))
@@ -172,11 +172,6 @@ def _(spark, d):
     return scan.scan_csv(spark, path).withColumnRenamed(RAW_TARGET, "target")
 
 
-@register("empty_like")
-def _(spark, d):
-    return scan.empty_like(credit(spark, d))
-
-
 @register("conform_schema")
 def _(spark, d):
     return scan.conform(credit(spark, d), feature_table_schema())
@@ -222,11 +217,6 @@ def _(spark, d):
     return clean.domain_violations(clean.rename_capitalize(credit_raw(spark, d)))
 
 
-@register("missing_columns")
-def _(spark, d):
-    return clean.missing_columns_report(spark, credit(spark, d), [*RAW_COLUMNS, RAW_TARGET, "Id", "Default"])
-
-
 @register("inject_drift")
 def _(spark, d):
     return clean.inject_drift(credit(spark, d))

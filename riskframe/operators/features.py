@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from riskframe.operators.ranking import hash_ranked
 from riskframe.spec import CREDIT, SEED, TableSpec
 
-BROADCAST_KEYS = 100_000
-
 
 def high_water_mark(*tables: DataFrame, column: str = CREDIT.updated_at) -> DataFrame:
     """One row with the latest time in any of the tables; null when all are empty."""
