@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +34,11 @@ FREQUENT = 32
 MOST_FREQUENT = 1_000_000
 SEGMENT_CHARS = 8_000_000
 MATRIX_COLUMNS = 16_384
-FLUSH = 3_000_000
+#: Sets are handed on in batches of so many.
+SET_ROWS = 1_000
+SET_COLUMNS = ["cls", "n", "m0", "m1", "m2", "rare", "often", "bits"]
+SET_TYPES = [pa.string(), *[pa.int64()] * 4, *[pa.list_(pa.int64())] * 2, pa.binary()]
+FLUSH = 1_500_000
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 LOW = np.uint64(0xFFFFFFFF)
 
@@ -52,24 +57,25 @@ def frequent_tokens(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, in
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     segments = max(1, math.ceil(chars / SEGMENT_CHARS))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             codes, n = np.unique(_codes(np.concatenate(held), segments), return_counts=True)
             held.clear()
             which = (codes >> np.uint64(32)).astype(np.int64)
             bounds = np.searchsorted(which, np.arange(segments + 1))
             spans = [(s, a, b) for s, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if b > a]
-            return pd.DataFrame({
-                "segment": [s for s, _, _ in spans],
-                "codes": [packed(codes[a:b]) for _, a, b in spans],
-                "counts": [n[a:b].astype("<u4").tobytes() for _, a, b in spans],
+            return pa.RecordBatch.from_pydict({
+                "segment": pa.array([s for s, _, _ in spans], pa.int64()),
+                "codes": pa.array([packed(codes[a:b]) for _, a, b in spans], pa.binary()),
+                "counts": pa.array([n[a:b].astype("<u4").tobytes() for _, a, b in spans], pa.binary()),
             })
 
         for b in batches:
-            for _, hashes in hashed_texts(b["text"]):
+            # Texts leave the Arrow batch one by one, so that no second copy of all of them is held.
+            for _, hashes in hashed_texts(x.as_py() for x in b.column("text")):
                 held.append(token_set(hashes, k))
                 size += len(held[-1])
                 if size > FLUSH:
@@ -88,7 +94,7 @@ def frequent_tokens(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, in
         code = (np.int64(rows["segment"].iloc[0]) << np.int64(32)) + codes[many].astype(np.int64)
         return pd.DataFrame({"code": code, "n": total[many]})
 
-    parts = docs.select("text").mapInPandas(count, "segment long, codes binary, counts binary")
+    parts = docs.select("text").mapInArrow(count, "segment long, codes binary, counts binary")
     found = parts.groupBy("segment").applyInPandas(add, "code long, n long")
     top = found.orderBy(F.col("n").desc(), "code").limit(MOST_FREQUENT).orderBy("code").toPandas()
     return top["code"].to_numpy(np.uint64), top["n"].to_numpy(np.int64), segments
@@ -151,20 +157,23 @@ def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
     prefix (rare and often tokens) and the parity bits."""
     frequent, counts, segments = frequent_tokens(docs, k)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for _, hashes in hashed_texts(b["text"]):
+            for i, hashes in hashed_texts(x.as_py() for x in b.column("text")):
                 tokens = token_set(hashes, k)
                 low = [int((tokens * m).min().astype(np.int64)) if len(tokens) else 0 for m in MULTIPLIERS]
                 rare, often = prefix(tokens, percent, frequent, counts, segments)
                 out.append((xxh3_128_hexdigest(tokens.tobytes()), len(tokens), *low, rare.astype(np.int64), often.astype(np.int64), parity_bits(tokens)))
-            found = pd.DataFrame(out, columns=["cls", "n", "m0", "m1", "m2", "rare", "often", "bits"])
-            yield pd.concat([b[["doc_id", "key"]].reset_index(drop=True), found], axis=1)
+                if len(out) == SET_ROWS or i == b.num_rows - 1:
+                    ids = b.select(["doc_id", "key"]).slice(i + 1 - len(out), len(out))
+                    columns = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), SET_TYPES, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*ids.columns, *columns], ["doc_id", "key", *SET_COLUMNS])
+                    out = []
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.coalesce("text", F.lit(""))).alias("key"), "text")
     schema = "doc_id long, key string, cls string, n long, m0 long, m1 long, m2 long, rare array<long>, often array<long>, bits binary"
-    return stored(rows.mapInPandas(run, schema), "jaccard-sets")
+    return stored(rows.mapInArrow(run, schema), "jaccard-sets")
 
 
 def grouped(sets: DataFrame) -> DataFrame:
@@ -221,26 +230,40 @@ def qualifying(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
 def within_reach(sets: DataFrame, groups: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """(a, b, side, cls): the sets of each pair of groups that their parity bits allow to be similar to one of the other
     group; side 0 is a, 1 is b, and 2 stands for both in a pair of a group with itself."""
-    bits = members(sets, groups, "cls", "n", "bits").distinct().groupBy("bin").agg(F.collect_list(F.struct("cls", "n", "bits")).alias("sets"))
+    # Fixed-width columns end to end: a group of a pair is three binary values, not a list of rows.
+    bits = members(sets, groups, "cls", "n", "bits").distinct().groupBy("bin").agg(
+        F.array_sort(F.collect_list(F.struct("cls", "n", "bits"))).alias("s")
+    ).select(
+        "bin", F.unhex(F.array_join("s.cls", "")).alias("names"), F.col("s.n").alias("sizes"),
+        F.transform("s.bits", lambda x: F.length(x)).alias("widths"), F.unhex(F.array_join(F.transform("s.bits", lambda x: F.hex(x)), "")).alias("bits"),
+    )
+
+    def cut(side: dict) -> list[bytes]:
+        ends = np.cumsum(side["widths"]).tolist()
+        return [side["bits"][x:y] for x, y in zip([0, *ends], ends, strict=False)]
+
+    def name(side: dict, i: int) -> str:
+        return side["names"][16 * i : 16 * i + 16].hex()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for a, b, left, right in zip(batch["a"], batch["b"], batch["left"], batch["right"], strict=True):
-                n, m = (np.array([s["n"] for s in side]) for side in (left, right))
+                n, m = (np.asarray(side["sizes"]) for side in (left, right))
                 both = n[:, None] + m[None, :]
-                apart = differences(*([s["bits"] for s in side] for side in (left, right)))
+                apart = differences(cut(left), cut(right))
                 # Common tokens are at most half of what the sets hold together less what they differ in.
                 possible = 100 * (both - apart) >= percent * (both + apart)
                 if a == b:
                     np.fill_diagonal(possible, False)
-                    out += [(a, b, 2, left[i]["cls"]) for i in np.flatnonzero(possible.any(1))]
+                    out += [(a, b, 2, name(left, i)) for i in np.flatnonzero(possible.any(1))]
                 else:
-                    out += [(a, b, 0, left[i]["cls"]) for i in np.flatnonzero(possible.any(1))]
-                    out += [(a, b, 1, right[i]["cls"]) for i in np.flatnonzero(possible.any(0))]
+                    out += [(a, b, 0, name(left, i)) for i in np.flatnonzero(possible.any(1))]
+                    out += [(a, b, 1, name(right, i)) for i in np.flatnonzero(possible.any(0))]
             yield pd.DataFrame(out, columns=["a", "b", "side", "cls"])
 
-    left, right = bits.select(F.col("bin").alias("a"), F.col("sets").alias("left")), bits.select(F.col("bin").alias("b"), F.col("sets").alias("right"))
+    held = F.struct("names", "sizes", "widths", "bits")
+    left, right = bits.select(F.col("bin").alias("a"), held.alias("left")), bits.select(F.col("bin").alias("b"), held.alias("right"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     return stored(rows.mapInPandas(run, "a long, b long, side long, cls string"), "jaccard-open")
 
