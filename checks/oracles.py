@@ -113,12 +113,14 @@ add("stream_payload", """SELECT *, 0 AS "position" FROM parsed""", PARSED_SQL, t
 
 PROFILED = ["prediction", *FEATURES]
 add("window_column_profile", """
-    SELECT window_start, "column", COUNT(*) AS "rows", COUNT(*) - COUNT(value) AS nulls, AVG(value) AS mean,
+    SELECT window_start, model_name, "column", COUNT(*) AS "rows", COUNT(*) - COUNT(value) AS nulls, AVG(value) AS mean,
            STDDEV_SAMP(value) AS std, MIN(value) AS "min", MAX(value) AS "max",
            quantile_cont(value, 0.25) AS q25, quantile_cont(value, 0.5) AS q50, quantile_cont(value, 0.75) AS q75
     FROM cells GROUP BY ALL""",
-    f"""{MONITORED_SQL}, cells AS ({struct_rows(PROFILED, "featured", "window_start")})""",
-    t="window_start", s="column", i="rows nulls", d="mean std min max q25 q50 q75")
+    f"""{MONITORED_SQL},
+    two AS (SELECT * REPLACE (concat(model_name, '_', CAST(execution_time_ms % 2 AS VARCHAR)) AS model_name) FROM featured),
+    cells AS ({struct_rows(PROFILED, "two", "window_start, model_name")})""",
+    t="window_start", s="column model_name", i="rows nulls", d="mean std min max q25 q50 q75")
 
 DRIFTED = ", ".join(f"{c} * 1.5 AS {c}" if c in DRIFT_COLUMNS else c for c in FEATURES)
 # Equal limits count once, as the limits of one column are distinct values.

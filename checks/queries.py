@@ -131,7 +131,9 @@ def _(spark, d):
 def _(spark, d):
     known = scan.conform(credit(spark, d), feature_table_schema())
     rows = refresh.monitored(payload(spark, d), parts(spark, d, *LABELS), known)
-    return monitor.window_column_profile(stored(rows, "monitoring"), ["prediction", *FEATURES])
+    model = F.concat_ws("_", "model_name", (F.col("execution_time_ms") % 2).cast("string"))  # two models
+    rows = stored(rows.withColumn("model_name", model), "monitoring")
+    return monitor.window_column_profile(rows, ["prediction", *FEATURES])
 
 
 @register("drift_psi")

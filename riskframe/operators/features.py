@@ -92,6 +92,22 @@ def change_feed(old: DataFrame, new: DataFrame, key: str = CREDIT.key) -> DataFr
     return changed.select(key, "_change_type", "_row.*")
 
 
+def newest_rows(rows: DataFrame, key: str = CREDIT.key, version: str = CREDIT.updated_at) -> DataFrame:
+    """One row per key: the latest version, later columns deciding ties."""
+    rest = [F.col(c).desc() for c in rows.columns if c not in (key, version)]
+    order = Window.partitionBy(key).orderBy(F.col(version).desc(), *rest)
+    return rows.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") == 1).drop("_place")
+
+
+def changed_rows(rows: DataFrame, target: DataFrame) -> DataFrame:
+    """Rows that the target does not hold with the same values; nulls equal nulls."""
+    there = target.select(*(F.col(c).alias(f"_there_{c}") for c in rows.columns))
+    same = F.lit(True)
+    for c in rows.columns:
+        same &= F.col(c).eqNullSafe(F.col(f"_there_{c}"))
+    return rows.join(there, same, "left_anti")
+
+
 def upsert_latest(
     current: DataFrame,
     changes: DataFrame,

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.ratios import count_where, long_form, ratio
-from riskframe.operators.features import absent_from
 from riskframe.operators.ordered import quantiles, quartiles
 from riskframe.operators.skew import hot_keys, salted_join
 from riskframe.schemas import REQUEST_ID
@@ -49,8 +48,14 @@ def monitoring_rows(
 
 
 def monitoring_incremental(rows: DataFrame, stored: DataFrame, keys: Sequence[str] = (REQUEST_ID,)) -> DataFrame:
-    """Log or monitoring rows of requests that are not stored yet; a rerun adds nothing."""
-    return absent_from(rows, stored, keys)
+    """Rows whose ``keys`` are not stored yet; a rerun adds nothing. Rows without a request id go by their time as well."""
+    unnamed = F.when(F.col(REQUEST_ID).isNull(), F.col("timestamp_ms"))
+    there = stored.select(*keys, unnamed.alias("at")).distinct()
+    there = there.select(*(F.col(c).alias(f"_there_{c}") for c in there.columns))
+    same = unnamed.eqNullSafe(F.col("_there_at"))
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_there_{k}"))
+    return rows.join(there, same, "left_anti")
 
 
 def windowed(width: str = MONITOR_WINDOW, time: str = "timestamp") -> Column:
@@ -89,12 +94,12 @@ def accuracy_alert(profile: DataFrame, below_percent: float = ALERT_BELOW_PERCEN
 
 
 def window_column_profile(rows: DataFrame, columns: Sequence[str], width: str = MONITOR_WINDOW) -> DataFrame:
-    """Per window and column: rows, nulls, mean, deviation, min, max and exact quartiles."""
+    """Per window, model and column: rows, nulls, mean, deviation, min, max and exact quartiles."""
     figures = {
         "rows": lambda v: F.count(F.lit(1)), "nulls": lambda v: count_where(v.isNull()), "mean": F.avg,
         "std": F.stddev_samp, "min": F.min, "max": F.max,
     }
-    return quartiles(rows.select(windowed(width), *columns), columns, ["window_start"], figures)
+    return quartiles(rows.select(windowed(width), "model_name", *columns), columns, ["window_start", "model_name"], figures)
 
 
 def bin_edges(baseline: DataFrame, columns: Sequence[str], bins: int = 10) -> dict[str, list[float]]:

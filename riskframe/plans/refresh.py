@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskframe.operators.monitor import accuracy_alert, monitoring_incremental, monitoring_rows, quality_profile
 from riskframe.operators.payload import parse_payload
 from riskframe.operators.profile import require_unique_key
+from riskframe.schemas import REQUEST_ID
 from riskframe.sources.scan import scan_table
 from riskframe.sources.tables import append_table, quoted
 from riskframe.spec import CREDIT, TableSpec
@@ -29,15 +30,16 @@ def quality(log: DataFrame, labels: Sequence[DataFrame], spec: TableSpec = CREDI
 def refresh_monitor(
     spark: SparkSession, log: str, labels: Sequence[str], features: str, target: str, spec: TableSpec = CREDIT
 ) -> int:
-    """Append the monitoring rows of requests that are not in the target yet; returns how many.
+    """Append the monitoring rows of records that are not in the target yet; returns how many.
 
-    Requests already there leave before their bodies are parsed.
+    The target knows a record by its request and position, so the records of one request may get their labels,
+    and with them their rows, in different runs.
     """
     known = require_unique_key(scan_table(spark, features), spec.key)
-    requests = scan_table(spark, log)
+    parsed = parse_payload(scan_table(spark, log), spec=spec, with_position=True)
     if spark.catalog.tableExists(quoted(target)):
-        requests = monitoring_incremental(requests, scan_table(spark, target))
-    return append_table(monitored(requests, [scan_table(spark, n) for n in labels], known, spec), target)
+        parsed = monitoring_incremental(parsed, scan_table(spark, target), (REQUEST_ID, "position"))
+    return append_table(monitoring_rows(parsed, [scan_table(spark, n) for n in labels], known, spec), target)
 
 
 def alerts(spark: SparkSession, target: str) -> DataFrame:

@@ -26,6 +26,14 @@ def rewrite_table(df: DataFrame, name: str) -> None:
     spark.sql(f"DROP TABLE {quoted(staging)}")
 
 
+def finish_rewrite(spark: SparkSession, name: str) -> None:
+    """Copy over what a rewrite that died had staged completely; does nothing otherwise."""
+    staging = f"{name.strip('`')}__staging"
+    if spark.catalog.tableExists(quoted(staging)):
+        overwrite_table(spark.table(quoted(staging)), name)
+        spark.sql(f"DROP TABLE {quoted(staging)}")
+
+
 def append_table(df: DataFrame, name: str) -> int:
     """Append by column name and report how many rows went in, counted while they were written."""
     spark = df.sparkSession

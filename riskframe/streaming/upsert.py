@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from riskframe.operators.features import newest_rows
 from riskframe.spec import CREDIT
 from riskframe.streaming.sinks import batch_path, drain_batches
 
 
-def newest_rows(rows: DataFrame, key: str, version: str) -> DataFrame:
-    """One row per key: the latest version, later columns deciding ties."""
-    rest = [F.col(c).desc() for c in rows.columns if c not in (key, version)]
-    order = Window.partitionBy(key).orderBy(F.col(version).desc(), *rest)
-    return rows.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") == 1).drop("_place")
-
-
 def stream_upsert(
     changes: DataFrame, root: str, checkpoint: str, key: str = CREDIT.key, version: str = CREDIT.updated_at
 ) -> None:
