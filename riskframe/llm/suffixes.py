@@ -318,7 +318,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     ids = rows.groupBy("key", "ref", "doc").agg(F.count(F.lit(1)).alias("same"))
     firsts = stored(ids.groupBy("key", "ref").agg(F.min("doc").alias("doc"), F.min_by("same", "doc").alias("same")), "suffix-texts")
     wanted = firsts.join(per_text, "ref").select("key", "doc", "picks")
-    texts = rows.select("key", "doc", "ref", "text").join(wanted.hint("shuffle_hash"), ["key", "doc"])
+    # Rows that repeat in id and text come once: at equal places none of them is the later one.
+    texts = rows.select("key", "doc", "ref", "text").join(wanted.hint("shuffle_hash"), ["key", "doc"]).dropDuplicates(["key", "doc"])
     parts = around_picks(texts, max(1, math.ceil(total / SHARD_PICKS)), length, gram, hot)
     width = 2 * length - gram
 

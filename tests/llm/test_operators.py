@@ -291,6 +291,13 @@ def test_repeated_strings(request, table, hot):
     assert sorted(map(tuple, got), key=repr) == brute_repeats([(r.doc_id, r.text) for r in rows.select("doc_id", "text").collect()], suffixes.LENGTH)
 
 
+@pytest.mark.parametrize("hot", [suffixes.HOT_PICKS, 2])
+def test_repeated_first_row_keeps_its_strings(spark, hot):
+    rows = [(5, line(0)), (5, line(0)), (9, line(30))]
+    got = suffixes.digest_columns(suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_repeats(rows, suffixes.LENGTH)
+
+
 def test_no_strings(none):
     assert suffixes.remove_repeats(none).count() == 0
 
