@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import datetime
 from functools import lru_cache
@@ -14,7 +15,7 @@ from checks.views import credit, credit_raw, part, payload, table
 from riskframe.operators import balance, clean, features, metrics, models, monitor, ordered, profile, scale, split, synth
 from riskframe.operators.payload import parse_payload, payload_json, quarantine
 from riskframe.plans import compare, ingest, prepare, refresh
-from riskframe.schemas import feature_table_schema, log_schema
+from riskframe.schemas import REQUEST_ID, feature_table_schema, log_schema
 from riskframe.session import scratch_path
 from riskframe.sources import scan
 from riskframe.spec import CREDIT, FEATURES, RAW_TARGET, ROBUST
@@ -621,10 +622,12 @@ def _(spark, d):
 
 
 def log_stream(spark: SparkSession, d: str, repeats: int = 1) -> DataFrame:
-    log = payload(spark, d)
-    for _ in range(repeats - 1):
-        log = log.unionByName(payload(spark, d))
-    return file_stream(spark, staged(log, "log", 1), log_schema())
+    """The log in as many files as its size asks for, picked up in four batches; repeats of a request lie apart."""
+    path = scratch_path(spark, "log")
+    log = payload(spark, d).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+    log.repartition("copy", REQUEST_ID).drop("copy").write.parquet(path)
+    files = len(spark.read.parquet(path).inputFiles())
+    return file_stream(spark, path, log_schema(), files_per_batch=max(1, math.ceil(files / 4)))
 
 
 @register("stream_payload")
@@ -637,9 +640,9 @@ def _(spark, d):
 @register("stream_quality")
 def _(spark, d):
     out = scratch_path(spark, "quality")
-    rows = stream_q.stream_quality(log_stream(spark, d), parts(spark, d, *LABELS))
-    drain_to_files(rows, out, scratch_path(spark, "mark"))
-    return spark.read.parquet(out)
+    stream_q.drain_quality(log_stream(spark, d), parts(spark, d, *LABELS), out, scratch_path(spark, "mark"))
+    # The SQL asks for closed windows.
+    return stream_q.window_quality(spark, out, closed=stream_q.LATENESS)
 
 
 @register("stream_upsert")

@@ -4,31 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.ratios import count_where
-from riskframe.operators.monitor import known_labels, rates
+from riskframe.operators.monitor import known_labels, monitoring_rows, quality_profile, rates
 from riskframe.operators.payload import MODEL_NAME, parse_payload
 from riskframe.schemas import REQUEST_ID
 from riskframe.spec import CREDIT, MONITOR_WINDOW, TableSpec
+from riskframe.streaming.sinks import batch_path, drain_batches
 
 LATENESS = "1 hour"
+COUNTS = ("rows", "tp", "fp", "fn", "tn")
 
 
-def stream_payload(
-    log: DataFrame, lateness: str = LATENESS, model_name: str = MODEL_NAME, spec: TableSpec = CREDIT
-) -> DataFrame:
-    """Parsed records of a streamed log; a request repeated within the lateness is dropped."""
+def stream_payload(log: DataFrame, model_name: str = MODEL_NAME, spec: TableSpec = CREDIT) -> DataFrame:
+    """Parsed records of a streamed log; a repeated request is dropped and a first one kept, however late.
+
+    The state holds every request and position once. Rows without a request id go by their time as well.
+    """
     parsed = parse_payload(log, model_name, spec, with_position=True)
-    return parsed.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark([REQUEST_ID, "position"])
+    unnamed = F.when(F.col(REQUEST_ID).isNull(), F.col("timestamp_ms"))
+    return parsed.withColumn("_unnamed", unnamed).dropDuplicates([REQUEST_ID, "position", "_unnamed"]).drop("_unnamed")
 
 
 def stream_quality(
     log: DataFrame, labels: Sequence[DataFrame], width: str = MONITOR_WINDOW, lateness: str = LATENESS,
     spec: TableSpec = CREDIT,
 ) -> DataFrame:
-    """Quality per closed window and model; later rows than the lateness allows are dropped."""
+    """Quality per closed window and model, for append sinks; later rows than the lateness allows are dropped.
+
+    ``drain_quality`` and ``window_quality`` count all rows and give open windows, too.
+    """
     parsed = parse_payload(log, spec=spec).withWatermark("timestamp", lateness)
     rows = parsed.filter(F.col("prediction").isNotNull()).join(known_labels(*labels, spec=spec), spec.key)
     hit, bad = F.col("prediction") == 1, F.col("default") == 1
@@ -40,3 +47,28 @@ def stream_quality(
     rated = rates(counts)
     rest = [c for c in rated.columns if c != "window"]
     return rated.select(F.col("window.start").alias("window_start"), *rest)
+
+
+def drain_quality(
+    log: DataFrame, labels: Sequence[DataFrame], root: str, checkpoint: str, width: str = MONITOR_WINDOW,
+    spec: TableSpec = CREDIT,
+) -> None:
+    """Store each batch's counts per window and model and its newest time; no row is too late."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_payload(batch, spec=spec).persist()
+        counts = quality_profile(monitoring_rows(parsed, labels, spec=spec), width).select("window_start", "model_name", *COUNTS)
+        counts.write.mode("overwrite").parquet(batch_path(f"{root}/counts", batch_id))
+        parsed.agg(F.max("timestamp").alias("newest")).write.mode("overwrite").parquet(batch_path(f"{root}/newest", batch_id))
+        parsed.unpersist()
+
+    drain_batches(log, write, checkpoint)
+
+
+def window_quality(spark: SparkSession, root: str, closed: str | None = None, width: str = MONITOR_WINDOW) -> DataFrame:
+    """Quality per window and model as of the last batch; ``closed``: only of windows that ended so long before the newest row."""
+    counts = spark.read.parquet(f"{root}/counts").groupBy("window_start", "model_name").agg(*(F.sum(c).alias(c) for c in COUNTS))
+    if closed:
+        newest = spark.read.parquet(f"{root}/newest").agg(F.max("newest")).scalar()
+        ends = F.col("window_start") + F.expr(f"INTERVAL {width}")
+        counts = counts.filter(ends <= newest - F.expr(f"INTERVAL {closed}"))
+    return rates(counts)

@@ -46,6 +46,33 @@ def test_closed_windows_equal_batch(spark, credit_rows, tmp_path):
     assert still_open.filter(F.col("window_start") + F.expr("INTERVAL 90 MINUTES") <= F.lit(newest)).isEmpty()
 
 
+def shuffled_log(spark, path):
+    """Four files, one per batch, each with rows of all times; every request twice."""
+    log = payload(spark, SMALL)
+    log.union(log).repartition(4).write.parquet(path)
+    return file_stream(spark, path, log_schema(), 1)
+
+
+def test_late_records_are_kept(spark, tmp_path):
+    source, out, mark = (str(tmp_path / n) for n in ("source", "out", "mark"))
+    drain_to_files(quality.stream_payload(shuffled_log(spark, source)), out, mark)
+    got = spark.read.parquet(out).drop("position")
+    assert sorted(got.collect(), key=str) == sorted(parse_payload(payload(spark, SMALL)).collect(), key=str)
+
+
+def test_all_windows_of_a_drained_log(spark, credit_rows, tmp_path):
+    source, out, mark = (str(tmp_path / n) for n in ("source", "out", "mark"))
+    labels = [part(credit_rows, n) for n in ("train", "normal", "skewed")]
+    quality.drain_quality(shuffled_log(spark, source), labels, out, mark)
+    log = payload(spark, SMALL)
+    batch = quality_profile(monitoring_rows(parse_payload(log.union(log)), labels))
+    got = quality.window_quality(spark, out)
+    assert sorted(got.select(batch.columns).collect()) == sorted(batch.collect())
+    newest = parse_payload(log).agg(F.max("timestamp")).first()[0]
+    closed = batch.filter(F.col("window_start") + F.expr("INTERVAL 90 MINUTES") <= F.lit(newest))
+    assert quality.window_quality(spark, out, closed="1 hour").count() == closed.count() < batch.count()
+
+
 def test_latest_value_table_and_compaction(spark, tmp_path):
     source, root, mark, packed = (str(tmp_path / n) for n in ("source", "out", "mark", "packed"))
     rows = spark.range(600).select(
