@@ -367,11 +367,16 @@ def opened_links(opened: DataFrame, tokens: DataFrame, percent: int) -> DataFram
 
 
 def similar_documents(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, key (md5 of the text), n_shingles, n_links, component_id of every document.
+    """Rows of ``labelled_documents`` without the label."""
+    return labelled_documents(docs, k, percent).drop("label")
+
+
+def labelled_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, key (md5 of the text), n_shingles, n_links, component_id, label of every document.
 
     Two documents are linked when 100 * intersection >= ``percent`` * union of their sets of ``k``-word shingles.
     n_links counts linked documents, copies included; component_id is the smallest doc_id that links reach (null if
-    all of them are null). Texts without words (null, empty, blank) have no shingles and no links; with fewer than ``k``
+    all of them are null); label tells components apart that share this id. Texts without words (null, empty, blank) have no shingles and no links; with fewer than ``k``
     words the whole sequence is the shingle. Repeated rows are linked with each other. An empty table gives an empty
     result; other columns are ignored.
     """
@@ -388,10 +393,10 @@ def similar_documents(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFra
         "jaccard-classes",
     )
     heads = named.groupBy("label").agg(F.min("low").alias("component_id"))
-    known = named.join(heads, "label").select("cls", "n_links", "component_id")
+    known = named.join(heads, "label").select("cls", "n_links", "component_id", "label")
     rows = sets.select("doc_id", "key", "cls", F.col("n").alias("n_shingles"))
-    full = rows.filter("n_shingles > 0").join(known, "cls").select("doc_id", "key", "n_shingles", "n_links", "component_id")
-    bare = rows.filter("n_shingles = 0").select("doc_id", "key", "n_shingles", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"))
+    full = rows.filter("n_shingles > 0").join(known, "cls").select("doc_id", "key", "n_shingles", "n_links", "component_id", "label")
+    bare = rows.filter("n_shingles = 0").select("doc_id", "key", "n_shingles", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"), F.lit(None).cast("string").alias("label"))
     return full.unionByName(bare)
 
 
@@ -400,10 +405,8 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     Documents without words have no duplicates and stay. Of rows that repeat in id and text one stays.
     """
-    found = stored(similar_documents(docs, k, percent).filter("n_shingles > 0"), "near-duplicates")
-    # Groups of null ids only have no component id; their texts stand for themselves.
-    group = F.coalesce(F.col("component_id").cast("string"), F.col("key"))
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(group.alias("g")).agg(F.min("key").alias("key"), F.first("component_id").alias("head"))
+    found = stored(labelled_documents(docs, k, percent).filter("n_shingles > 0"), "near-duplicates")
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("label").agg(F.min("key").alias("key"), F.first("component_id").alias("head"))
     marked = docs.withColumns({"j_key": F.md5(F.coalesce("text", F.lit(""))), "j_bare": ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")})
     heads = kept.select(F.col("key").alias("h_key"), F.col("head").alias("h_id"))
     chosen = marked.filter(~F.col("j_bare")).join(

@@ -259,6 +259,12 @@ def test_one_of_each_group_stays(docs, none):
     assert [i for i in ids if i in (1, 2, 3)] == [1] and {4, 5, 6, 7, 9, 11, 12} <= set(ids) and 8 not in ids
 
 
+def test_groups_that_share_their_smallest_id_stay(spark):
+    rows = [(1, line(0)), (2, line(0)), (1, line(100)), (3, line(100)), (None, line(200)), (None, line(300))]
+    out = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, out), key=repr) == sorted([rows[0], rows[2], rows[4], rows[5]], key=repr)
+
+
 def test_components(spark):
     edges = [(f"n{i:03}", f"n{i + 1:03}") for i in range(60)] + [("z", "y"), ("z", "x"), ("q", "q")]
     got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "a string, b string")).collect()}
