@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 from checks.compare import difference, duck
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 from tests.conftest import SMALL
 
 
@@ -13,7 +15,7 @@ def con():
 
 
 @pytest.mark.slow
-@pytest.mark.parametrize("key", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLES))
 def test_equals_sql(spark, con, key):
     assert difference(spark, con, SMALL, key) is None
 
@@ -23,4 +25,4 @@ def test_entry_has_rows(spark):
 
 
 def test_every_sql_belongs_to_a_query():
-    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(QUERIES)
