@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import chat, mixing, secrets
+from riskframe.llm import chat, lines, mixing, secrets
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -111,9 +111,39 @@ def exact_topk() -> str:
     SELECT * FROM r WHERE rank <= 5"""
 
 
+def hard_negatives() -> str:
+    return """
+    WITH v AS (SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        CAST(list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS DOUBLE[]) AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.row AS anchor, a.vec_id AS anchor_id, c.row, c.vec_id, a.label = c.label AS same,
+        CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score FROM v a JOIN v c ON a.row <> c.row WHERE a.vec_id % 100 = 0),
+    p AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, row) AS place FROM s WHERE same QUALIFY place <= 5),
+    n AS (SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.row ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+        s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+      FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+    SELECT * FROM n WHERE rank <= 10"""
+
+
+def line_dedup() -> str:
+    key = r"""translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS id, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    l AS (SELECT id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM d),
+    k AS (SELECT *, {key} AS key FROM l),
+    f AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT id) >= {lines.LEAST}),
+    r AS (SELECT id, count(*) AS n_lines, count(f.key) AS n_dropped,
+        coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (f.key IS NULL), '') AS kept FROM k LEFT JOIN f USING (key) GROUP BY id)
+    SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM d JOIN r USING (id)"""
+
+
 ORACLES: dict[str, str] = {
     "op2_secret_scan": secret_scan(),
     "op6_exact_topk": exact_topk(),
     "op5_chat_rotation": chat_rotation(),
     "op4_source_mixing": source_mixing(),
+    "op12_hard_negatives": hard_negatives(),
+    "op13_line_dedup": line_dedup(),
 }

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskframe.llm import chat, decontaminate, jaccard, lm, mixing, pages, quality, secrets, suffixes, topk
+from riskframe.llm import chat, decontaminate, jaccard, lines, lm, mixing, negatives, pages, quality, secrets, suffixes, topk, whitening
 from riskframe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +55,22 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.component_rows(table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", other))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = lines.insert(lines.empty_ledger(spark), docs)
+    return lines.digest_columns(lines.clean_lines(docs, ledger))
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_secret_scan": op2_secret_scan,
@@ -65,4 +82,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_html_extraction": op10_html_extraction,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_line_dedup": op13_line_dedup,
 }
