@@ -314,8 +314,9 @@ def _routed(rows: DataFrame, ledger: Ledger, given: str, pieces_of: int = PIECE_
     probes = texts.select("t", "keys").mapInArrow(single, "t binary, hi long, lo long").withColumn("shard", shard(bits))
     sizes = ledger.counts.groupBy(shard(bits).alias("shard")).agg(F.ceil(F.sum("n") / pieces_of).alias("pieces"))
     pieced = probes.join(sizes, "shard").withColumn("piece", F.pmod(F.xxhash64("t"), "pieces"))
-    filters = ledger.filters.join(sizes, "shard").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
-    answered = pieced.groupBy("shard", "piece").cogroup(filters.groupBy("shard", "piece")).applyInPandas(answer, "t binary, key binary")
+    copies = sizes.select(F.col("shard").alias("f_shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("f_piece"))
+    filters = ledger.filters.join(copies, F.col("shard") == F.col("f_shard")).select("f_shard", "f_piece", *ledger.filters.columns)
+    answered = pieced.groupBy("shard", "piece").cogroup(filters.groupBy("f_shard", "f_piece")).applyInPandas(answer, "t binary, key binary")
     gone = answered.groupBy("t").agg(F.collect_list("key").alias("gone"))  # a text's own keys at most
     # Texts with many copies are split: fewer than 1 / HOT_SHARE.
     total = texts.agg(F.sum("times")).scalar()
