@@ -104,8 +104,8 @@ class Cuckoo:
 
     def delete(self, d: np.ndarray) -> None:
         """Takes out keys that were inserted."""
-        prints, one, two = self.places(d)
-        for buckets in (one, two):
+        prints, buckets, _ = self.places(d)
+        for _ in range(2):
             for slot in range(SLOTS):
                 same = np.flatnonzero(self.slots[buckets, slot] == prints)
                 _, first = np.unique(buckets[same], return_index=True)
@@ -113,7 +113,8 @@ class Cuckoo:
                 self.slots[buckets[use], slot] = 0
                 rest = np.ones(len(prints), bool)
                 rest[use] = False
-                prints, one, two, buckets = prints[rest], one[rest], two[rest], buckets[rest]
+                prints, buckets = prints[rest], buckets[rest]
+            buckets = self.other(prints, buckets)
 
 
 @dataclass

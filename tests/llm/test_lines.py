@@ -119,8 +119,8 @@ def test_full_cuckoo_says_so():
 
 def test_false_claims_are_listed(spark):
     """A filter of one bucket, full of fingerprints, wrongly claims some of the rare keys of a large set; answers stay exact."""
-    n = 40_000
-    text = [("\n".join(f"r{i}" for i in range(j * 4_000, (j + 1) * 4_000)) + "\n" + "\n".join(f"c{i}" for i in range(600))) for j in range(n // 4_000)]
+    n = 240_000
+    text = [("\n".join(f"r{i}" for i in range(j * 20_000, (j + 1) * 20_000)) + "\n" + "\n".join(f"c{i}" for i in range(600))) for j in range(n // 20_000)]
     given = [(j, t, "", "", 1) for j, t in enumerate(text)]
     df = spark.createDataFrame(given, SCHEMA)
     ledger = lines.insert(lines.empty_ledger(spark), df)
