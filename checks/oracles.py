@@ -140,9 +140,13 @@ add("drift_psi", """
     SELECT "column", SUM((GREATEST(n, 1e-6) - GREATEST(b, 1e-6)) * LN(GREATEST(n, 1e-6) / GREATEST(b, 1e-6))) AS psi
     FROM shares GROUP BY ALL""", DRIFT_SQL, s="column", d="psi")
 add("drift_ks", """
-    SELECT "column", MAX(gap) AS ks FROM (
-      SELECT "column", ABS(SUM(b) OVER w - SUM(n) OVER w) AS gap FROM shares
-      WINDOW w AS (PARTITION BY "column" ORDER BY bin)) GROUP BY ALL""", DRIFT_SQL, s="column", d="ks")
+    SELECT "column", MAX(ABS(b / b_all - n / n_all)) AS ks FROM (
+      SELECT "column", SUM(base) OVER w AS b, SUM(now) OVER w AS n,
+             SUM(base) OVER (PARTITION BY "column") AS b_all, SUM(now) OVER (PARTITION BY "column") AS n_all
+      FROM (SELECT "column", value, SUM(base) AS base, SUM(now) AS now
+            FROM (SELECT *, 1 AS base, 0 AS now FROM base_cells UNION ALL SELECT *, 0, 1 FROM now_cells)
+            WHERE value IS NOT NULL GROUP BY ALL)
+      WINDOW w AS (PARTITION BY "column" ORDER BY value)) GROUP BY ALL""", DRIFT_SQL, s="column", d="ks")
 add("drift_shift", """
     SELECT b."column", n.m - b.m AS mean_shift, n.z - b.z AS null_share_shift
     FROM (SELECT "column", AVG(value) AS m, (COUNT(*) - COUNT(value)) / COUNT(*) AS z FROM base_cells GROUP BY ALL) b
@@ -189,8 +193,8 @@ add("inject_drift", f"""SELECT * EXCLUDE ({", ".join(DRIFT_COLUMNS)}), {DRIFTED_
 # --- profiles and keys --------------------------------------------------------------------------
 
 add("unique_values", " UNION ALL ".join(
-    f"""SELECT '{c}' AS "column", array_to_string(list_sort(list(DISTINCT CAST("{c}" AS BIGINT))), ',') AS "values"
-        FROM credit""" for c in [*CATEGORIES, "Default"]), CREDIT_SQL, s="column values")
+    f"""SELECT DISTINCT '{c}' AS "column", "{c}" AS value FROM credit WHERE "{c}" IS NOT NULL"""
+    for c in [*CATEGORIES, "Default", "Limit_bal"]), CREDIT_SQL, s="column", d="value")
 add("column_profile", " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", COUNT(*) AS "rows", COUNT(*) - COUNT("{c}") AS nulls, AVG("{c}") AS mean,
         STDDEV_SAMP("{c}") AS std, MIN("{c}") AS "min", MAX("{c}") AS "max",
@@ -265,7 +269,7 @@ fresh AS (SELECT * FROM credit WHERE Update_timestamp_utc > (SELECT high_water_m
 add("high_water_mark", "SELECT * FROM mark", LOADED_SQL, t="high_water_mark")
 add("new_rows", "SELECT * FROM fresh", LOADED_SQL, **CREDIT_KINDS)
 add("ingest_rows", f"SELECT *, {BERNOULLI} FROM fresh", LOADED_SQL, s="Id split", t="Update_timestamp_utc")
-add("feature_insert", f"SELECT DISTINCT {', '.join(CLEAN)} FROM fresh", LOADED_SQL, s="Id", i=CATEGORIES, d=DOUBLES)
+add("feature_insert", f"SELECT DISTINCT {', '.join(CLEAN)} FROM fresh WHERE CAST(Id AS BIGINT) % 10 < 7", LOADED_SQL, s="Id", i=CATEGORIES, d=DOUBLES)
 add("insert_delta", """
     SELECT (SELECT COUNT(*) FROM loaded) AS rows_before, (SELECT COUNT(*) FROM fresh) AS inserted,
            (SELECT COUNT(*) FROM loaded) + (SELECT COUNT(*) FROM fresh) AS rows_after""", LOADED_SQL,

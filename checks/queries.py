@@ -230,9 +230,7 @@ def _(spark, d):
 
 @register("unique_values")
 def _(spark, d):
-    rows = profile.unique_values(credit(spark, d), [*CREDIT.categories, "Default"])
-    return rows.select("column", F.array_join(F.transform("values", lambda v: v.cast("int").cast("string")), ",")
-                       .alias("values"))
+    return profile.unique_values(credit(spark, d), [*CREDIT.categories, "Default", "Limit_bal"])
 
 
 @register("column_profile")
@@ -356,7 +354,9 @@ def _(spark, d):
 
 @register("feature_insert")
 def _(spark, d):
-    return ingest.feature_rows(*loaded(spark, d))
+    """Only keys of the train and test tables were loaded; the source has others, too."""
+    source, train, test = loaded(spark, d)
+    return ingest.feature_rows(source, part(source, "train"), part(source, "test"), features.high_water_mark(train, test))
 
 
 @register("insert_delta")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,11 +15,6 @@ def count_where(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
 
 
-def total(columns: list[Column]) -> Column:
-    """Left-to-right sum."""
-    return reduce(lambda a, b: a + b, columns)
-
-
 def long_form(columns: list[str], *keep: str, name: str = "column", value: str = "value") -> list[Column]:
     """Select list that turns double columns into (name, value) rows, keeping other columns."""
     cells = [F.struct(F.lit(c).alias(name), F.col(f"`{c}`").cast("double").alias(value)) for c in columns]

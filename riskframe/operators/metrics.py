@@ -4,45 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.ratios import count_where, ratio
-from riskframe.operators.ordered import BUCKETS, bucketed_long, value_splits
+from riskframe.functions.ratios import count_where, long_form, ratio
+from riskframe.operators.positions import running
 from riskframe.spec import CREDIT
 
 WHOLE = "decimal(18,0)"
 
 
-def auc(df: DataFrame, scores: Sequence[str] | str, label: str = CREDIT.label, buckets: int = BUCKETS) -> DataFrame:
+def auc(df: DataFrame, scores: Sequence[str] | str, label: str = CREDIT.label) -> DataFrame:
     """Exact tie-aware area under the ROC curve per score column: (score, positives, negatives, auc).
 
-    Rows collapse to distinct scores first; each distinct score then needs the number of negatives
-    below it, which is a running sum inside its bucket plus the totals of lower buckets. Counts stay
-    integers up to the last division. With one class only, ``auc`` is null. Hard 0/1 predictions
-    are scores like any other.
+    Rows collapse to distinct scores first; each distinct score then needs the number of negatives below it, a running sum
+    over key ranges. Counts stay integers up to the last division. With one class only, ``auc`` is null. Hard 0/1
+    predictions are scores like any other.
     """
     scores = [scores] if isinstance(scores, str) else list(scores)
-    known = df.filter(F.col(label).isNotNull())
-    rows = bucketed_long(known, scores, value_splits(known, scores, buckets), keep=[label])
-    tied = rows.groupBy("column", "bucket", "value").agg(
+    tied = df.filter(F.col(label).isNotNull()).select(*long_form(scores, label)).filter(F.col("value").isNotNull())
+    counted = tied.groupBy("column", "value").agg(
         count_where(F.col(label) == 1).alias("pos"), count_where(F.col(label) != 1).alias("neg")
     )
-    inside = Window.partitionBy("column", "bucket").orderBy("value")
-    lower = F.sum("neg").over(inside) - F.col("neg")
+    lower = F.col("neg_upto") - F.col("neg")
     pairs = F.col("pos").cast(WHOLE) * (2 * lower + F.col("neg")).cast(WHOLE)
-    per_bucket = (
-        tied.withColumn("pairs", pairs)
-        .groupBy("column", "bucket")
-        .agg(F.sum("pairs").alias("pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    )
-    # At most `buckets` rows per score column.
-    across = Window.partitionBy("column").orderBy("bucket")
-    before = (F.sum("neg").over(across) - F.col("neg")).cast(WHOLE)
-    summed = (
-        per_bucket.withColumn("pairs", F.col("pairs") + 2 * F.col("pos").cast(WHOLE) * before)
-        .groupBy(F.col("column").alias("score"))
-        .agg(F.sum("pairs").alias("pairs"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
+    summed = running(counted, ["column"], "value", ["neg"]).groupBy(F.col("column").alias("score")).agg(
+        F.sum(pairs).alias("pairs"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")
     )
     possible = 2.0 * F.col("positives").cast("double") * F.col("negatives").cast("double")
     return summed.select(

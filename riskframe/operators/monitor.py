@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.ratios import count_where, long_form, ratio
 from riskframe.operators.ordered import quantiles, quartiles
+from riskframe.operators.positions import running
 from riskframe.operators.skew import hot_keys, salted_join
 from riskframe.schemas import REQUEST_ID
 from riskframe.spec import ALERT_BELOW_PERCENT, CREDIT, MONITOR_WINDOW, TableSpec
@@ -145,12 +146,20 @@ def drift_psi(baseline: DataFrame, current: DataFrame, columns: Sequence[str], b
     )
 
 
-def drift_ks(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """Largest gap between the two distributions at the bin limits, per column."""
-    up_to = Window.partitionBy("column").orderBy("bin")
-    gap = F.abs(F.sum("base_share").over(up_to) - F.sum("now_share").over(up_to))
-    shares = binned_shares(baseline, current, columns, bins).withColumn("gap", gap)
-    return shares.groupBy("column").agg(F.max("gap").alias("ks"))
+def drift_ks(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact two-sample Kolmogorov-Smirnov statistic per column: the largest gap between the two distributions.
+
+    Both sides collapse to distinct values with two counts; running counts over key ranges give both distributions at every
+    value. Nulls take no part. A column without values on one side has no statistic.
+    """
+    sides = [t.select(F.lit(i).alias("_now"), *columns).select(*long_form(list(columns), "_now")) for i, t in enumerate((baseline, current))]
+    both = sides[0].unionByName(sides[1]).filter(F.col("value").isNotNull())
+    counted = both.groupBy("column", "value").agg(
+        count_where(F.col("_now") == 0).alias("base"), count_where(F.col("_now") == 1).alias("now")
+    )
+    placed = running(counted, ["column"], "value", ["base", "now"])
+    gap = F.abs(F.try_divide("base_upto", F.col("base_all")) - F.try_divide("now_upto", F.col("now_all")))
+    return placed.groupBy("column").agg(F.max(gap).alias("ks"))
 
 
 def drift_shift(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:

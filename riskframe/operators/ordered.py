@@ -1,21 +1,20 @@
-"""Exact order statistics and ordered buckets without a global sort."""
+"""Exact order statistics without a global sort."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 512
+from riskframe.functions.ratios import long_form
+from riskframe.operators.positions import running
+
 ACCURACY = 2_000
 POINTS = 1_000
 SALTS = 32
 MARGIN = 4e-3
-CELLS = 1_024
-SMALL_GROUP = 100_000
 
 
 def number_list(numbers: Sequence[float]) -> str:
@@ -26,29 +25,8 @@ def number_list(numbers: Sequence[float]) -> str:
 Figures = Mapping[str, Callable[[Column], Column]]
 
 
-def grouped_brackets(
-    df: DataFrame, by: list[str], columns: list[str], probabilities: Sequence[float], also: Figures
-) -> DataFrame:
-    """(by..., brackets): per column, in order, two values around every quantile of the group, and ``also``.
-
-    The sketches of all columns sit side by side in one aggregate, so rows are not multiplied.
-    """
-    shares = number_list([q for p in probabilities for q in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))])
-    figures = {name: [f(F.col(c)) for c in columns] for name, f in also.items()}
-    wide = df.groupBy(*by).agg(*(
-        f.alias(f"{name}{i}") for i, c in enumerate(columns) for name, f in [
-            ("ends", F.expr(f"percentile_approx(`{c}`, {shares}, {ACCURACY})")), ("total", F.count(c)),
-            *((n, figures[n][i]) for n in also),
-        ]
-    ))
-    return wide.select(*by, F.array(*(
-        F.struct(F.lit(c).alias("column"), *(F.col(f"{n}{i}").alias(n) for n in ["ends", "total", *also]))
-        for i, c in enumerate(columns)
-    )).alias("brackets"))
-
-
 def column_brackets(df: DataFrame, columns: list[str], probabilities: Sequence[float]) -> DataFrame:
-    """The same for whole columns, one row, where one sketch would have to merge those of all tasks.
+    """(brackets), one row: per column, in order, two values around every quantile.
 
     Tasks are dealt to a few sketches; each gives evenly spaced points that stand for equal shares of
     its rows, and the brackets are read off these points. Sketch error, spacing and rounding together
@@ -81,110 +59,98 @@ def column_brackets(df: DataFrame, columns: list[str], probabilities: Sequence[f
     )
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether there are no more than ``rows`` rows; reads only as many partitions as it takes to tell."""
-    return df.select(F.lit(1)).offset(rows).isEmpty()
-
-
-def small_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """Whole-column quantiles of a table known to be small, from one aggregate."""
-    shares = number_list(probabilities)
-    one = df.select(*(F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns))).agg(
-        *(F.expr(f"percentile(v{i}, {shares})").alias(f"q{i}") for i in range(len(columns)))
-    )
-    empty = F.array(*(F.lit(None).cast("double") for _ in probabilities))
-    cells = [
-        F.struct(F.lit(c).alias("column"), F.coalesce(f"q{i}", empty).alias("quantiles"))
-        for i, c in enumerate(columns)
-    ]
-    return one.select(F.inline(F.array(*cells)))
-
-
 def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    by: Sequence[str] = (),
-    small_group: int = SMALL_GROUP,
-    also: Figures | None = None,
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = (), also: Figures | None = None
 ) -> DataFrame:
     """Exact linear-interpolated quantiles: (by..., column, quantiles array in the order asked).
 
-    A sketch brackets every quantile within a small share of the rows. A second pass collapses the
-    values below each bracket to a count and ranks only the distinct values inside, those of whole
-    columns once more divided into cells. No task sorts a whole column or a whole hot group. A table of
-    up to ``small_group`` rows is left to ``percentile``, and groups of that size are ranked as they are.
-    A value missed by its bracket would be an error, never a wrong number. A group of nulls only has
-    null quantiles. ``also`` adds aggregates of every column (nulls included) to grouped quantiles; the
-    first pass takes them along. The columns of ``by`` must not be null.
+    Values collapse to distinct ones with counts, and running counts over key ranges tell which value holds a rank; no task
+    sorts a whole column or a whole group. Of whole columns only the values near the quantiles take part: sketches bracket
+    each within a small share of the rows, and the values below a bracket are one count. A value missed by its bracket
+    would be an error, never a wrong number. A group of nulls only has null quantiles. ``also`` adds aggregates of every
+    column (nulls included) to grouped quantiles. The columns of ``by`` must not be null.
     """
-    by, columns, n, also = list(by), list(columns), len(probabilities), dict(also or {})
-    group = [*by, "column"]
+    by, columns, also = list(by), list(columns), dict(also or {})
     if also and not by:
         raise ValueError("aggregates go with grouped quantiles only")
-    if not by and at_most(df, small_group):
-        return small_quantiles(df, columns, probabilities)
     numbers = df.select(*by, *(F.col(f"`{c}`").cast("double").alias(c) for c in columns))
     if by:
-        wide = numbers.join(grouped_brackets(numbers, by, columns, probabilities, also), by)
-    else:
-        wide = numbers.withColumn("brackets", column_brackets(numbers, columns, probabilities).scalar())
-    values = wide.select(*by, F.inline(F.array(*(
+        return grouped_quantiles(numbers, columns, probabilities, by, also)
+    return column_quantiles(numbers, columns, probabilities)
+
+
+def ranks(probabilities: Sequence[float], total: Column) -> list[tuple[Column, Column, Column]]:
+    """The two ranks around each quantile, from 0, and the share of the way between them."""
+    places = [F.lit(float(p)) * (total - 1) for p in probabilities]
+    return [(F.floor(p), F.ceil(p), p - F.floor(p)) for p in places]
+
+
+def interpolated(held: Sequence[tuple[Column, Column]], probabilities: Sequence[float], total: Column) -> Column:
+    """Array of quantiles from the values at both ranks; null for no values, an error if a value is missing."""
+    missed = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
+    return F.array(*(
+        F.when(total > 0, F.coalesce(low + (high - low) * share, missed))
+        for (low, high), (_, _, share) in zip(held, ranks(probabilities, total), strict=True)
+    ))
+
+
+def grouped_quantiles(numbers: DataFrame, columns: list[str], probabilities: Sequence[float], by: list[str], also: Figures) -> DataFrame:
+    group = [*by, "column"]
+    counted = numbers.select(*long_form(columns, *by)).filter(F.col("value").isNotNull()).groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n"))
+    placed = running(counted, group, "value", ["n"])
+    value, upto, total = F.col("value"), F.col("n_upto"), F.col("n_all")
+
+    def holds(rank: Column) -> Column:
+        return (rank >= upto - F.col("n")) & (rank < upto)
+
+    asked = ranks(probabilities, total)
+    some = F.lit(False)
+    for low, high, _ in asked:
+        some = some | holds(low) | holds(high)
+    held = placed.filter(some).groupBy(*group).agg(F.max("n_all").alias("total"), *(
+        F.max(F.when(holds(rank), value)).alias(f"at{i}{side}") for i, (low, high, _) in enumerate(asked) for side, rank in (("low", low), ("high", high))
+    ))
+    found = held.select(
+        *group, interpolated([(F.col(f"at{i}low"), F.col(f"at{i}high")) for i in range(len(asked))], probabilities, F.col("total")).alias("quantiles")
+    )
+    figures = [f(F.col("value")).alias(name) for name, f in also.items()] or [F.count(F.lit(1)).alias("_rows")]
+    every = numbers.select(*long_form(columns, *by)).groupBy(*group).agg(*figures)
+    unknown = F.array(*(F.lit(None).cast("double") for _ in probabilities))
+    return every.join(found, group, "left").select(*group, *also, F.coalesce("quantiles", unknown).alias("quantiles"))
+
+
+def column_quantiles(numbers: DataFrame, columns: list[str], probabilities: Sequence[float]) -> DataFrame:
+    n, value, ends = len(probabilities), F.col("value"), F.col("ends")
+    wide = numbers.withColumn("brackets", column_brackets(numbers, columns, probabilities).scalar())
+    values = wide.select(F.inline(F.array(*(
         F.struct(F.col(f"`{c}`").alias("value"), F.col("brackets")[i].alias("bracket")) for i, c in enumerate(columns)
-    )))).select(*by, "value", "bracket.*")
-    few = F.col("total") <= small_group
-    value, ends = F.col("value"), F.col("ends")
+    )))).select("value", "bracket.*")
 
     def cell(i: int) -> Column:
-        """The value and its cell if inside bracket i, only a mark if below, nothing if above."""
-        low, high = ends[2 * i], ends[2 * i + 1]
-        place = F.least(F.floor((value - low) / (high - low) * CELLS), F.lit(CELLS)).cast("int")
-        divided = F.when((high - low > 0) & (high - low < math.inf), place).otherwise(F.lit(0))
-        inside = F.struct(F.lit(i).alias("i"), divided.alias("cell"), value.alias("value"))
-        below = F.struct(F.lit(i).alias("i"), F.lit(-1).alias("cell"), F.lit(None).cast("double").alias("value"))
-        return F.when(value < low, below).when(value <= high, inside)
-
-    whole = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("cell"), value.alias("value")))
-    cells = F.when(few, whole).otherwise(F.array_compact(F.array(*map(cell, range(n)))))
+        """The value if inside bracket i, only a mark if below, nothing if above."""
+        inside = F.struct(F.lit(i).alias("i"), value.alias("value"))
+        below = F.struct(F.lit(i).alias("i"), F.lit(None).cast("double").alias("value"))
+        return F.when(value < ends[2 * i], below).when(value <= ends[2 * i + 1], inside)
+
     counted = (
         values.filter(value.isNotNull() | (F.col("total") == 0))
-        .select(*group, "total", *also, F.inline(cells))
-        .groupBy(*group, "total", *also, "i", "cell", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .select("column", "total", F.inline(F.array_compact(F.array(*map(cell, range(n))))))
+        .groupBy("column", "total", "i", "value").agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running(counted, group, bool(by))
-
-    def position(i: int) -> Column:
-        return F.lit(float(probabilities[i])) * (F.col("total") - 1)
+    placed = running(counted, ["column", "i"], "value", ["n"])
+    upto, total = F.col("n_upto"), F.col("total")
 
     def at(i: int, rank: Column) -> Column:
-        here = (few | (F.col("i") == i)) & (rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto"))
-        return F.max(F.when(here, value))
+        return F.max(F.when((F.col("i") == i) & (rank >= upto - F.col("n")) & (rank < upto), value))
 
-    read = ranked.groupBy(*group, "total", *also).agg(*(
-        c for i in range(n)
-        for c in (at(i, F.floor(position(i))).alias(f"low{i}"), at(i, F.ceil(position(i))).alias(f"high{i}"))
+    read = placed.groupBy("column", "total").agg(*(
+        at(i, rank).alias(f"at{i}{side}") for i, (low, high, _) in enumerate(ranks(probabilities, total)) for side, rank in (("low", low), ("high", high))
     ))
-    missed = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
-    return read.select(*group, *also, F.array(*(
-        F.when(F.col("total") > 0, F.coalesce(
-            F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * (position(i) - F.floor(position(i))), missed
-        )) for i in range(n)
-    )).alias("quantiles"))
-
-
-def running(counted: DataFrame, group: list[str], grouped: bool) -> DataFrame:
-    """Add ``upto``, the running count in value order per group and bracket."""
-    if grouped:
-        order = Window.partitionBy(*group, "i").orderBy(F.col("value").asc_nulls_first())
-        return counted.withColumn("upto", F.sum("n").over(order))
-    sizes = counted.groupBy(*group, "i", "cell").agg(F.sum("n").alias("size"))
-    # At most CELLS + 2 rows per column and bracket.
-    lower = Window.partitionBy(*group, "i").orderBy("cell")
-    offsets = sizes.select(*group, "i", "cell", (F.sum("size").over(lower) - F.col("size")).alias("offset"))
-    order = Window.partitionBy(*group, "i", "cell").orderBy(F.col("value").asc_nulls_first())
-    joined = counted.join(F.broadcast(offsets), [*group, "i", "cell"])
-    return joined.withColumn("upto", F.col("offset") + F.sum("n").over(order))
+    found = read.select("column", interpolated([(F.col(f"at{i}low"), F.col(f"at{i}high")) for i in range(n)], probabilities, total).alias("quantiles"))
+    # A column without values has no counted rows.
+    unknown = F.array(*(F.lit(None).cast("double") for _ in probabilities))
+    every = numbers.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return every.join(F.broadcast(found), "column", "left").select("column", F.coalesce("quantiles", unknown).alias("quantiles"))
 
 
 def quartiles(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), also: Figures | None = None) -> DataFrame:
@@ -192,28 +158,3 @@ def quartiles(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), als
     q = quantiles(df, columns, [0.25, 0.5, 0.75], by, also=also)
     named = [F.col("quantiles")[i].alias(n) for i, n in enumerate(["q25", "q50", "q75"])]
     return q.select(*by, "column", *(also or ()), *named)
-
-
-def value_splits(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> dict[str, list[float]]:
-    """Inner limits of nearly equally filled buckets per column, from one approximate pass."""
-    shares = number_list([i / buckets for i in range(1, buckets)])
-    row = df.select(*(F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns))).agg(
-        *(F.expr(f"percentile_approx(v{i}, {shares}, {8 * buckets})").alias(f"s{i}") for i in range(len(columns)))
-    ).first()
-    return {c: sorted({v for v in row[i] or [] if math.isfinite(v)}) or [0.0] for i, c in enumerate(columns)}
-
-
-def bucketed_long(df: DataFrame, columns: Sequence[str], splits: Mapping[str, list[float]], keep: Sequence[str] = ()):
-    """Rows (keep..., column, value, bucket) for the non-null values of the listed columns."""
-    numbers = df.select(*keep, *(F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)))
-    cut = Bucketizer(
-        splitsArray=[[-math.inf, *splits[c], math.inf] for c in columns],
-        inputCols=[f"v{i}" for i in range(len(columns))],
-        outputCols=[f"b{i}" for i in range(len(columns))],
-        handleInvalid="keep",
-    ).transform(numbers)
-    cells = [
-        F.struct(F.lit(c).alias("column"), F.col(f"v{i}").alias("value"), F.col(f"b{i}").cast("int").alias("bucket"))
-        for i, c in enumerate(columns)
-    ]
-    return cut.select(*keep, F.inline(F.array(*cells))).filter(F.col("value").isNotNull())

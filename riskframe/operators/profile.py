@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +12,6 @@ from riskframe.functions.ratios import count_where, long_form
 from riskframe.spec import CREDIT
 
 DISCRETE_AT_MOST = 10
-MAX_LISTED = 1_000
 
 
 def numeric_columns(df: DataFrame, *skip: str) -> list[str]:
@@ -53,25 +52,9 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return profile.withColumn("distinct", n).withColumn("discrete", n <= DISCRETE_AT_MOST).drop("values")
 
 
-def unique_values(df: DataFrame, columns: Sequence[str], at_most: int = MAX_LISTED) -> DataFrame:
-    """(column, values): sorted distinct non-null values of columns that have few.
-
-    A column with more than ``at_most`` values is an error rather than a huge array; the ranking keeps
-    at most one value more than that from every task.
-    """
-    order = Window.partitionBy("column").orderBy("value")
-    listed = (
-        distinct_values(df, columns).select("column", "value")
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= at_most + 1)
-        .groupBy("column")
-        .agg(F.sort_array(F.collect_list("value")).alias("values"))
-    )
-    too_many = F.concat(F.lit(f"more than {at_most} distinct values in "), F.col("column"))
-    return listed.select(
-        "column",
-        F.when(F.size("values") > at_most, F.raise_error(too_many)).otherwise(F.col("values")).alias("values"),
-    )
+def unique_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value) once per distinct non-null value, however many there are."""
+    return distinct_values(df, columns).select("column", "value")
 
 
 def row_counts(**tables: DataFrame) -> DataFrame:

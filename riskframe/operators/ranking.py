@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.draws import digest
+from riskframe.operators.positions import positions
 
 DIGITS = 4
-MAX_CLASSES = 1_000
 
 
 def prefix(column: Column | str, digits: int = DIGITS) -> Column:
@@ -23,20 +23,12 @@ def prefix(column: Column | str, digits: int = DIGITS) -> Column:
 
 def hash_ranked(df: DataFrame, key: str, seed: int, rank: str = "rank", first: int = 1) -> DataFrame:
     """Add the row's position, from ``first``, in the order of the digest of a unique key."""
-    keyed = df.withColumn("_digest", digest(key, seed)).withColumn("_bucket", prefix("_digest"))
-    counts = df.select(prefix(digest(key, seed)).alias("_bucket")).groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
-    # One window over at most 16**DIGITS counted buckets.
-    offsets = counts.select("_bucket", (F.sum("n").over(Window.orderBy("_bucket")) - F.col("n")).alias("_offset"))
-    inside = Window.partitionBy("_bucket").orderBy("_digest", key)
-    return (
-        keyed.join(F.broadcast(offsets), "_bucket")
-        .withColumn(rank, F.col("_offset") + F.row_number().over(inside) + F.lit(first - 1))
-        .drop("_digest", "_bucket", "_offset")
-    )
+    placed = positions(df.withColumn("_digest", digest(key, seed)), ["_digest", key], rank, first)
+    return placed.drop("_digest")
 
 
 def digest_cuts(
-    df: DataFrame, key: str, seed: int, shares: Sequence[float], by: str | None = None, few_classes: bool = True
+    df: DataFrame, key: str, seed: int, shares: Sequence[float], by: str | None = None
 ) -> DataFrame:
     """The digest below or at which the first ceil(share * rows) rows lie, per share and class.
 
@@ -60,8 +52,6 @@ def digest_cuts(
         .filter((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n")))
         .select(*group, "bucket", "cut", (F.col("rank") - F.col("before")).alias("rank"))
     )
-    if few_classes:
-        holding = F.broadcast(holding)  # one row per class and share
     inside = Window.partitionBy(*group, "bucket", "cut").orderBy("digest")
     found = (
         keys.join(holding, [*group, "bucket"])
@@ -74,7 +64,3 @@ def digest_cuts(
         *(F.max(F.when(F.col("cut") == i, F.col("digest"))).alias(f"cut{i}") for i in range(len(shares)))
     )
 
-
-def few_values(df: DataFrame, column: str, limit: int = MAX_CLASSES) -> bool:
-    """Whether a column has at most ``limit`` distinct values, so that one row per value may be broadcast."""
-    return df.select(column).distinct().limit(limit + 1).count() <= limit

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.draws import below, digest, prefix_share
-from riskframe.operators.ranking import digest_cuts, few_values, hash_ranked
+from riskframe.operators.positions import between
+from riskframe.operators.ranking import digest_cuts, hash_ranked
 from riskframe.spec import CREDIT, SEED, TEST_SHARE, TableSpec
 
 
@@ -30,9 +31,8 @@ def split_exact(
     names, ends = list(shares), list(accumulate(shares.values()))
     limits = [f"cut{i}" for i in range(len(names) - 1)]
     if stratify:
-        few = few_values(df, stratify)
-        cuts = digest_cuts(df, key, seed, ends[:-1], stratify, few)
-        joined = df.join(F.broadcast(cuts) if few else cuts, stratify, "left")
+        # One row per class; adaptive execution broadcasts it or splits large classes, as its size asks for.
+        joined = df.join(digest_cuts(df, key, seed, ends[:-1], stratify), stratify, "left")
     else:
         cuts = digest_cuts(df, key, seed, ends[:-1])
         joined = df.withColumns({c: cuts.select(c).scalar() for c in limits})
@@ -81,5 +81,5 @@ def head_rows(df: DataFrame, n: int, key: str = CREDIT.key, tail: bool = False)
 
 
 def row_slice(df: DataFrame, start: int, stop: int, key: str = CREDIT.key) -> DataFrame:
-    """Rows ``start`` (included) to ``stop`` (excluded) in key order."""
-    return df.orderBy(key).offset(start).limit(stop - start)
+    """Rows ``start`` (included) to ``stop`` (excluded) in key order; rows of equal keys in an order fixed by this call."""
+    return between(df, start, stop, key)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators.features import (
-    absent_from, changed_rows, feature_insert, high_water_mark, new_rows, newest_rows,
+    absent_from, changed_rows, feature_insert, new_rows, newest_rows,
 )
 from riskframe.operators.split import split_bernoulli
-from riskframe.sources.scan import conform, empty_like, scan_table
+from riskframe.sources.scan import conform, scan_table
 from riskframe.sources.tables import append_table, finish_rewrite, overwrite_table, quoted, rewrite_table
 from riskframe.spec import CREDIT, TableSpec
 
@@ -19,10 +19,11 @@ def incoming(source: DataFrame, train: DataFrame, test: DataFrame, spec: TableSp
     return split_bernoulli(new_rows(source, train, test, spec), key=spec.key, seed=spec.seed)
 
 
-def feature_rows(source: DataFrame, train: DataFrame, test: DataFrame, spec: TableSpec = CREDIT) -> DataFrame:
-    """What the feature table gains when the new rows are loaded."""
-    mark = high_water_mark(train, test, column=spec.updated_at)
-    return feature_insert(source, new_rows(source, train, test, spec), empty_like(test), mark, spec)
+def feature_rows(
+    source: DataFrame, train: DataFrame, test: DataFrame, mark: DataFrame | Column, spec: TableSpec = CREDIT
+) -> DataFrame:
+    """What the feature table gains after a load into train and test that began at ``mark``."""
+    return feature_insert(source, train, test, mark, spec)
 
 
 def upsert_features(spark: SparkSession, batch: DataFrame, features: str, spec: TableSpec = CREDIT) -> int:
