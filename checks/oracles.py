@@ -81,6 +81,7 @@ LOG_KINDS = dict(t="timestamp", i="timestamp_ms execution_time_ms", s="databrick
 add("monitoring_rows", "SELECT * FROM monitored", MONITORED_SQL, **LOG_KINDS, d="prediction default")
 add("monitoring_with_features", "SELECT * FROM featured", MONITORED_SQL, **LOG_KINDS,
     d=["prediction", "default", *FEATURES])
+add("job_refresh", "SELECT * EXCLUDE (window_start) FROM featured", MONITORED_SQL, **LOG_KINDS, d=["prediction", "default", *FEATURES])
 add("monitoring_incremental", """
     SELECT * FROM monitored m WHERE NOT EXISTS (
       SELECT 1 FROM stored s WHERE s.databricks_request_id = m.databricks_request_id)""",
@@ -105,9 +106,7 @@ add("quality_profile", "SELECT * FROM quality", QUALITY_SQL, **QUALITY_KINDS)
 add("accuracy_alert", """
     SELECT window_start, model_name, accuracy_score * 100 AS accuracy_percentage FROM quality
     WHERE accuracy_score * 100 < 42""", QUALITY_SQL, t="window_start", s="model_name", d="accuracy_percentage")
-add("stream_quality", """
-    SELECT * FROM quality WHERE window_start + INTERVAL 30 MINUTES <=
-      (SELECT MAX("timestamp") FROM parsed) - INTERVAL 1 HOUR""", QUALITY_SQL, **QUALITY_KINDS)
+add("stream_quality", "SELECT * FROM quality", QUALITY_SQL, **QUALITY_KINDS)
 add("stream_payload", """SELECT *, 0 AS "position" FROM parsed""", PARSED_SQL, t="timestamp",
     i="timestamp_ms execution_time_ms position", s="databricks_request_id Id model_name", d="prediction")
 
@@ -233,7 +232,15 @@ add("stamp_split", f"SELECT * REPLACE ({AS_OF} AS Update_timestamp_utc) FROM spl
     **{**CREDIT_KINDS, "s": "Id split"})
 BERNOULLI = "CASE WHEN substr(md5(concat(Id, ':42')), 1, 8) < 'cccccccd' THEN 'train' ELSE 'test' END AS split"
 add("split_bernoulli", f"SELECT Id, {BERNOULLI} FROM credit", CREDIT_SQL, s="Id split")
-add("stream_ingest", f'SELECT Id, "Default", {BERNOULLI} FROM credit', CREDIT_SQL, s="Id split", i="Default")
+VERSIONED_SQL = f"""{CREDIT_SQL},
+versioned AS (SELECT * FROM credit UNION ALL
+  SELECT * REPLACE (Limit_bal / 2 AS Limit_bal, Update_timestamp_utc - INTERVAL 1 DAY AS Update_timestamp_utc)
+  FROM credit WHERE CAST(Id AS BIGINT) % 3 = 0)"""
+add("stream_ingest", f'SELECT Id, "Default", Limit_bal, {BERNOULLI} FROM versioned', VERSIONED_SQL, s="Id split", i="Default",
+    d="Limit_bal")
+add("stream_ingest_features", """
+    SELECT * FROM versioned QUALIFY ROW_NUMBER() OVER (PARTITION BY Id ORDER BY Update_timestamp_utc DESC) = 1""", VERSIONED_SQL,
+    s="Id", i=CATEGORIES, d=DOUBLES)
 add("split_stratified", """
     SELECT Id, "Default", CASE WHEN place <= CEIL(ROUND(0.15 * n, 6)) THEN 'test'
                                WHEN place <= CEIL(ROUND(0.3 * n, 6)) THEN 'val' ELSE 'train' END AS split
@@ -270,6 +277,14 @@ add("high_water_mark", "SELECT * FROM mark", LOADED_SQL, t="high_water_mark")
 add("new_rows", "SELECT * FROM fresh", LOADED_SQL, **CREDIT_KINDS)
 add("ingest_rows", f"SELECT *, {BERNOULLI} FROM fresh", LOADED_SQL, s="Id split", t="Update_timestamp_utc")
 add("feature_insert", f"SELECT DISTINCT {', '.join(CLEAN)} FROM fresh WHERE CAST(Id AS BIGINT) % 10 < 7", LOADED_SQL, s="Id", i=CATEGORIES, d=DOUBLES)
+add("job_ingest", f"""
+    SELECT * FROM (
+      SELECT *, 0 AS side FROM loaded
+      UNION ALL SELECT *, 1 FROM ({{versioned}}) WHERE Update_timestamp_utc > (SELECT high_water_mark FROM mark))
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY Id ORDER BY side DESC, Update_timestamp_utc DESC) = 1""".format(versioned="""
+      SELECT * FROM credit UNION ALL
+      SELECT * REPLACE (Limit_bal / 2 AS Limit_bal, Update_timestamp_utc - INTERVAL 1 DAY AS Update_timestamp_utc)
+      FROM credit WHERE CAST(Id AS BIGINT) % 3 = 0"""), LOADED_SQL, s="Id", d=FEATURES)
 add("insert_delta", """
     SELECT (SELECT COUNT(*) FROM loaded) AS rows_before, (SELECT COUNT(*) FROM fresh) AS inserted,
            (SELECT COUNT(*) FROM loaded) + (SELECT COUNT(*) FROM fresh) AS rows_after""", LOADED_SQL,
@@ -298,7 +313,10 @@ NEWEST = """
       PARTITION BY Id ORDER BY Update_timestamp_utc DESC, side DESC, o_orderkey DESC, o_totalprice DESC) = 1"""
 VERSION_KINDS = dict(s="Id", i="o_orderkey", d="o_totalprice", t="Update_timestamp_utc")
 add("upsert_latest", f"SELECT * FROM ({NEWEST}) WHERE NOT gone", VERSIONS_SQL, **VERSION_KINDS)
-add("stream_upsert", NEWEST, VERSIONS_SQL, **VERSION_KINDS)
+add("stream_upsert", """
+    SELECT * FROM (SELECT *, o_orderstatus = 'P' AS removed, CAST(o_custkey AS VARCHAR) AS Id, o_orderdate AS Update_timestamp_utc FROM orders)
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY Id ORDER BY Update_timestamp_utc DESC, removed DESC, o_orderkey DESC) = 1 AND NOT removed""", "",
+    **VERSION_KINDS)
 
 # --- scaling and metrics ------------------------------------------------------------------------
 

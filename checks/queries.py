@@ -17,12 +17,12 @@ from riskframe.operators.payload import parse_payload, payload_json, quarantine
 from riskframe.plans import compare, ingest, prepare, refresh
 from riskframe.schemas import REQUEST_ID, feature_table_schema, log_schema
 from riskframe.session import scratch_path
-from riskframe.sources import scan
+from riskframe.sources import scan, tables
 from riskframe.spec import CREDIT, FEATURES, RAW_TARGET, ROBUST
 from riskframe.streaming import ingest as stream_in
 from riskframe.streaming import quality as stream_q
 from riskframe.streaming import upsert as stream_up
-from riskframe.streaming.sinks import drain_to_files, file_stream
+from riskframe.streaming.sinks import file_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -612,19 +612,36 @@ def staged(df: DataFrame, purpose: str, files: int = 4) -> str:
     return path
 
 
-@register("stream_ingest")
-def _(spark, d):
-    rows = credit(spark, d)
+def two_versions(rows: DataFrame) -> DataFrame:
+    """Every third row has an earlier version with another limit."""
+    old = rows.filter(F.col("Id").cast("bigint") % 3 == 0).withColumns({
+        "Limit_bal": F.col("Limit_bal") / 2, CREDIT.updated_at: F.col(CREDIT.updated_at) - F.expr("INTERVAL 1 DAY")})
+    return rows.unionByName(old)
+
+
+def streamed_in(spark: SparkSession, d: str) -> str:
+    """Root of a load in batches; both versions of a key may come in any order."""
+    rows = two_versions(credit(spark, d))
     root, mark = scratch_path(spark, "ingest"), scratch_path(spark, "mark")
     stream = file_stream(spark, staged(rows, "source"), rows.schema, files_per_batch=2)
     stream_in.stream_ingest(stream, root, mark)
-    return stream_in.ingested(spark, root).select("Id", "Default", "split")
+    return root
+
+
+@register("stream_ingest")
+def _(spark, d):
+    return stream_in.ingested(spark, streamed_in(spark, d)).select("Id", "Default", "Limit_bal", "split")
+
+
+@register("stream_ingest_features")
+def _(spark, d):
+    return stream_in.streamed_features(spark, streamed_in(spark, d))
 
 
-def log_stream(spark: SparkSession, d: str, repeats: int = 1) -> DataFrame:
-    """The log in as many files as its size asks for, picked up in four batches; repeats of a request lie apart."""
+def log_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The log, every request twice, in as many files as its size asks for, picked up in four batches."""
     path = scratch_path(spark, "log")
-    log = payload(spark, d).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+    log = payload(spark, d).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(2))))
     log.repartition("copy", REQUEST_ID).drop("copy").write.parquet(path)
     files = len(spark.read.parquet(path).inputFiles())
     return file_stream(spark, path, log_schema(), files_per_batch=max(1, math.ceil(files / 4)))
@@ -633,22 +650,70 @@ def log_stream(spark: SparkSession, d: str, repeats: int = 1) -> DataFrame:
 @register("stream_payload")
 def _(spark, d):
     out = scratch_path(spark, "parsed")
-    drain_to_files(stream_q.stream_payload(log_stream(spark, d, 2)), out, scratch_path(spark, "mark"))
-    return spark.read.parquet(out)
+    stream_q.drain_payload(log_stream(spark, d), out, scratch_path(spark, "mark"))
+    return stream_q.parsed_records(spark, out)
 
 
 @register("stream_quality")
 def _(spark, d):
     out = scratch_path(spark, "quality")
     stream_q.drain_quality(log_stream(spark, d), parts(spark, d, *LABELS), out, scratch_path(spark, "mark"))
-    # The SQL asks for closed windows.
-    return stream_q.window_quality(spark, out, closed=stream_q.LATENESS)
+    return stream_q.window_quality(spark, out)
 
 
 @register("stream_upsert")
 def _(spark, d):
-    rows = versions(spark, d)
-    root = scratch_path(spark, "latest")
-    stream = file_stream(spark, staged(rows, "changes"), rows.schema, files_per_batch=2)
-    stream_up.stream_upsert(stream, root, scratch_path(spark, "mark"))
+    """Two runs of a change stream with removals, and a snapshot between them."""
+    rows = versions(spark, d, marked=True)
+    root, mark, path = scratch_path(spark, "latest"), scratch_path(spark, "mark"), scratch_path(spark, "changes")
+    for half in range(2):
+        rows.filter(F.pmod(F.xxhash64("o_orderkey"), F.lit(2)) == half).write.mode("append").parquet(path)
+        files = len(spark.read.parquet(path).inputFiles())
+        stream = file_stream(spark, path, rows.schema, files_per_batch=max(1, math.ceil(files / 4)))
+        stream_up.stream_upsert(stream, root, mark, deletes="gone")
+        if half == 0:
+            stream_up.compact(spark, root)
     return stream_up.latest(spark, root)
+
+
+# --- whole jobs ---------------------------------------------------------------------------------
+
+
+def job_tables(spark: SparkSession) -> str:
+    """A new database below the shared folder."""
+    path = scratch_path(spark, "job")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    return name
+
+
+@register("job_refresh")
+def _(spark, d):
+    """Three runs: half of the log with some labels, all of the log, and all labels."""
+    db = job_tables(spark)
+    log = refresh.with_day(payload(spark, d))
+    tables.overwrite_table(scan.conform(credit(spark, d), feature_table_schema()), f"{db}.features")
+    for n, rows in zip(LABELS, parts(spark, d, *LABELS), strict=True):
+        tables.overwrite_table(rows, f"{db}.{n}")
+    run = lambda names: refresh.refresh_monitor(spark, f"{db}.log", [f"{db}.{n}" for n in names], f"{db}.features", f"{db}.monitoring")
+    early = F.col("day") < "2024-01-16"
+    tables.overwrite_partitions(log.filter(early), f"{db}.log", "day")
+    run(LABELS[:2])
+    tables.overwrite_partitions(log.filter(~early), f"{db}.log", "day")
+    run(LABELS[:2])
+    run(LABELS)
+    return scan.scan_table(spark, f"{db}.monitoring").drop("day", "position")
+
+
+@register("job_ingest")
+def _(spark, d):
+    """The features after a load, repeated once, of everything newer than the loaded rows."""
+    db = job_tables(spark)
+    source, train, test = loaded(spark, d)
+    for name, rows in (("source", two_versions(source)), ("train", train), ("test", test)):
+        tables.overwrite_table(rows, f"{db}.{name}")
+    store = scan.conform(train.unionByName(test), feature_table_schema())
+    tables.overwrite_table(store, f"{db}.features")
+    for _ in range(2):
+        ingest.ingest(spark, *(f"{db}.{n}" for n in ("source", "train", "test", "features")))
+    return scan.scan_table(spark, f"{db}.features")

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from riskframe.functions.ratios import count_where, long_form, ratio
 from riskframe.operators.ordered import quantiles, quartiles
 from riskframe.operators.positions import running
-from riskframe.operators.skew import hot_keys, salted_join
 from riskframe.schemas import REQUEST_ID
 from riskframe.spec import ALERT_BELOW_PERCENT, CREDIT, MONITOR_WINDOW, TableSpec
 
@@ -34,8 +33,8 @@ def monitoring_rows(
 ) -> DataFrame:
     """Parsed log rows that have a prediction and a known label, with their features if given.
 
-    Labels and features are brought together per key first, so the log, where one key may be very
-    frequent, is joined once and with salted hot keys.
+    Labels and features are brought together per key first, so the log, where one key may be very frequent, is joined once;
+    adaptive execution splits the log rows of such a key.
     """
     reference = known_labels(*labels, spec=spec)
     if features is not None:
@@ -43,8 +42,7 @@ def monitoring_rows(
     usable = parsed.withColumn("prediction", F.col("prediction").cast("double")).dropna(
         subset=["prediction", spec.key]
     )
-    # Keys are counted before the responses are looked at, which saves parsing them twice.
-    joined = salted_join(usable, reference, spec.key, REQUEST_ID, "inner", hot_keys(parsed, spec.key))
+    joined = usable.join(reference, spec.key)
     return joined.select(*parsed.columns, "default", *(spec.features if features is not None else ()))
 
 

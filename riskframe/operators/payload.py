@@ -28,12 +28,13 @@ def log_second(ms: Column) -> Column:
 
 def parse_payload(
     log: DataFrame, model_name: str = MODEL_NAME, spec: TableSpec = CREDIT, first_prediction: bool = False,
-    with_position: bool = False,
+    with_position: bool = False, with_name: bool = False,
 ) -> DataFrame:
     """One row per request record: time, request, key, prediction, model.
 
     Record i gets prediction i, or null beyond the end of the list; ``first_prediction`` gives every
-    record the first one. The two agree for requests with one record.
+    record the first one. The two agree for requests with one record. ``with_name`` adds
+    ``request_name``: the request id or, without one, a digest of the time and both bodies.
     """
     bodies = parse_bodies(log, spec)
     records = bodies.select(
@@ -50,7 +51,12 @@ def parse_payload(
         F.get(answers, place).alias("prediction"),
         F.lit(model_name).alias("model_name"),
     ]
-    return records.select(*out, *([F.col("position")] if with_position else []))
+    unnamed = F.concat(F.lit("?"), F.md5(F.to_json(F.struct("timestamp_ms", "request", "response"))))
+    if with_position:
+        out.append(F.col("position"))
+    if with_name:
+        out.append(F.coalesce(REQUEST_ID, unnamed).alias("request_name"))
+    return records.select(*out)
 
 
 def quarantine(log: DataFrame, spec: TableSpec = CREDIT) -> DataFrame:

@@ -36,3 +36,10 @@ def empty_like(df: DataFrame) -> DataFrame:
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns by name, in the order and types of ``schema``; a missing column is an analysis error."""
     return df.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields))
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder of any store that Spark reads; none if there is no such folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in store.listStatus(where)) if store.exists(where) else []

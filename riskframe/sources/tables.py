@@ -55,3 +55,20 @@ def create_keyed_table(df: DataFrame, name: str, key: str) -> None:
     """Create or replace a table whose key is present in every row; the write fails on a null key."""
     present = F.when(F.col(key).isNull(), F.raise_error(F.lit(f"null key {key} for {name}"))).otherwise(F.col(key))
     overwrite_table(df.withColumn(key, present), name)
+
+
+DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
+
+
+def overwrite_partitions(df: DataFrame, name: str, by: str) -> None:
+    """Replace the partitions that ``df`` has rows of; all others stay. The table is made if it is not there."""
+    spark, target = df.sparkSession, quoted(name)
+    if not spark.catalog.tableExists(target):
+        df.write.partitionBy(by).saveAsTable(target)
+        return
+    before = spark.conf.get(DYNAMIC, None)
+    spark.conf.set(DYNAMIC, "dynamic")
+    try:
+        conform(df, spark.table(target).schema).write.insertInto(target, overwrite=True)
+    finally:
+        spark.conf.set(DYNAMIC, before) if before is not None else spark.conf.unset(DYNAMIC)
