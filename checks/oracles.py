@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks.views import CREDIT_RAW_SQL, CREDIT_SQL, PAYLOAD_SQL
+from riskframe.operators import projections
 from riskframe.spec import CATEGORIES, DRIFT_COLUMNS, FEATURES, RAW_COLUMNS, RAW_INTEGER, ROBUST
 
 ORACLES: dict[str, str] = {}
@@ -151,6 +152,28 @@ add("drift_shift", """
     FROM (SELECT "column", AVG(value) AS m, (COUNT(*) - COUNT(value)) / COUNT(*) AS z FROM base_cells GROUP BY ALL) b
     JOIN (SELECT "column", AVG(value) AS m, (COUNT(*) - COUNT(value)) / COUNT(*) AS z FROM now_cells GROUP BY ALL) n
       USING ("column")""", DRIFT_SQL, s="column", d="mean_shift null_share_shift")
+DRIFT_WINDOW = "time_bucket(INTERVAL 4 HOURS, \"timestamp\")"
+PROFILE_COLUMNS = ["prediction", *ROBUST]
+add("window_drift", """
+    SELECT n.w AS window_start, n.model_name, n."column",
+           SUM((GREATEST(n.s, 1e-6) - GREATEST(n.b, 1e-6)) * LN(GREATEST(n.s, 1e-6) / GREATEST(n.b, 1e-6))) AS psi,
+           ANY_VALUE(n.mean_now - n.mean_base) AS mean_shift
+    FROM (SELECT k.w, k.model_name, k."column", bins.bin, COALESCE(h.n, 0) / k.n AS s, COALESCE(p.n, 0) / f.n AS b, k.mean AS mean_now, f.mean AS mean_base
+          FROM cols k JOIN steps USING (w, model_name) JOIN cols f ON f.w = before AND f.model_name = k.model_name AND f."column" = k."column"
+          JOIN (SELECT DISTINCT w, model_name, "column", bin FROM hist UNION
+                SELECT DISTINCT s.w, h.model_name, "column", bin FROM hist h JOIN steps s ON s.before = h.w AND s.model_name = h.model_name) bins
+            ON bins.w = k.w AND bins.model_name = k.model_name AND bins."column" = k."column"
+          LEFT JOIN hist h ON h.w = k.w AND h.model_name = k.model_name AND h."column" = k."column" AND h.bin = bins.bin
+          LEFT JOIN hist p ON p.w = before AND p.model_name = k.model_name AND p."column" = k."column" AND p.bin = bins.bin) n
+    GROUP BY ALL""",
+    f"""{MONITORED_SQL},
+    two AS (SELECT * REPLACE (concat(model_name, '_', CAST(execution_time_ms % 2 AS VARCHAR)) AS model_name), {DRIFT_WINDOW} AS w FROM featured),
+    cells AS ({struct_rows(PROFILE_COLUMNS, "two", "w, model_name")}),
+    limits AS (SELECT "column", list_distinct([{", ".join(f"quantile_cont(value, {i / 10})" for i in range(1, 10))}]) AS edges FROM cells GROUP BY ALL),
+    hist AS (SELECT w, model_name, "column", {BIN} AS bin, COUNT(*) AS n FROM cells JOIN limits USING ("column") WHERE value IS NOT NULL GROUP BY ALL),
+    cols AS (SELECT w, model_name, "column", COUNT(value) AS n, AVG(value) AS mean FROM cells WHERE value IS NOT NULL GROUP BY ALL),
+    steps AS (SELECT w, model_name, LAG(w) OVER (PARTITION BY model_name ORDER BY w) AS before FROM (SELECT DISTINCT w, model_name FROM two))""",
+    t="window_start", s="column model_name", d="psi mean_shift")
 add("latency_profile", f"""
     SELECT {WINDOW.format(t="date_trunc('second', make_timestamp(timestamp_ms * 1000))")} AS window_start,
            COUNT(*) AS requests, AVG(execution_time_ms) AS mean_ms, MAX(execution_time_ms) AS max_ms,
@@ -389,6 +412,29 @@ minority AS (SELECT Id, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATUR
 {NEIGHBOUR_SQL.format(squares=squares(FEATURES), rows="minority")}"""
 NEAREST_KINDS = dict(s="Id neighbour", i="rank", d="distance")
 add("smote_neighbors", "SELECT * FROM ranked", MINORITY_SQL, **NEAREST_KINDS)
+DRAWN = projections.weights(FEATURES)
+
+
+def projected(o: int, i: int) -> str:
+    return " + ".join(f"{c} * {w!r}::DOUBLE" for c, w in zip(FEATURES, DRAWN[o, i].tolist(), strict=True))
+
+
+def spread(o: int, i: int) -> str:
+    return "SQRT(" + " + ".join(f"(SELECT VAR_POP({c}) FROM minority) * POW({w!r}::DOUBLE, 2)" for c, w in zip(FEATURES, DRAWN[o, i].tolist(), strict=True)) + ")"
+
+
+add("smote_lsh", f"""
+    SELECT Id, ROW_NUMBER() OVER (PARTITION BY Id ORDER BY d2, neighbour) AS "rank", neighbour, SQRT(d2) AS distance
+    FROM (SELECT DISTINCT a.Id, b.Id AS neighbour, {squares(FEATURES)} AS d2 FROM near JOIN minority a ON a.Id = near.x JOIN minority b ON b.Id = near.y)
+    QUALIFY "rank" <= 5""",
+    f"""{CREDIT_SQL},
+minority AS (SELECT Id, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES)} FROM train WHERE "Default" = 1),
+cells AS ({" UNION ALL ".join(
+    f"SELECT {o} AS o, Id, FLOOR(({projected(o, 0)}) / {spread(o, 0)}) AS c1, FLOOR(({projected(o, 1)}) / {spread(o, 1)}) AS c2, {projected(o, 2)} AS p FROM minority"
+    for o in range(projections.ORDERS))}),
+placed AS (SELECT o, Id, ROW_NUMBER() OVER (PARTITION BY o ORDER BY c1, c2, p, Id) AS place FROM cells),
+near AS (SELECT DISTINCT a.Id AS x, b.Id AS y FROM placed a JOIN placed b
+         ON a.o = b.o AND b.place BETWEEN a.place - {projections.WINDOW} AND a.place + {projections.WINDOW} AND a.Id <> b.Id)""", **NEAREST_KINDS)
 XS = [f"x{i}" for i in range(64)]
 add("embedding_neighbors", "SELECT * FROM ranked", """
 numbers AS (SELECT CAST(vec_id AS VARCHAR) AS Id, {} FROM embeddings), {}""".format(

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from checks.views import credit, credit_raw, part, payload, table
 from riskframe.operators import balance, clean, features, metrics, models, monitor, ordered, profile, scale, split, synth
 from riskframe.operators.payload import parse_payload, payload_json, quarantine
+from riskframe.operators.projections import near_by_projections
 from riskframe.plans import compare, ingest, prepare, refresh
 from riskframe.schemas import REQUEST_ID, feature_table_schema, log_schema
 from riskframe.session import scratch_path
@@ -155,6 +156,15 @@ def _(spark, d):
     return monitor.drift_shift(base, clean.inject_drift(now), FEATURES)
 
 
+@register("window_drift")
+def _(spark, d):
+    """Four-hour windows of two models, each against the one before."""
+    known = scan.conform(credit(spark, d), feature_table_schema())
+    rows = refresh.monitored(payload(spark, d), parts(spark, d, *LABELS), known)
+    model = F.concat_ws("_", "model_name", (F.col("execution_time_ms") % 2).cast("string"))
+    return monitor.window_drift(stored(rows.withColumn("model_name", model), "monitoring"), ["prediction", *ROBUST], "4 hours")
+
+
 @register("latency_profile")
 def _(spark, d):
     return monitor.latency_profile(payload(spark, d))
@@ -496,6 +506,12 @@ def _(spark, d):
     return balance.smote_balance(*parts(spark, d, "train"))
 
 
+@register("smote_lsh")
+def _(spark, d):
+    """Neighbours of minority rows by projection orders."""
+    return balance.smote_neighbors(*parts(spark, d, "train"), search=near_by_projections)
+
+
 @register("embedding_neighbors")
 def _(spark, d):
     """Five nearest vectors of every embedding, on its 64 numbers."""
@@ -552,6 +568,12 @@ def _(spark, d):
     return models.evaluate(model_a(spark, d).score(*parts(spark, d, "test")))
 
 
+@register("train_local")
+def _(spark, d):
+    """The local training job: losses by round and confusion counts of its validation rows."""
+    return compare.training_report(*parts(spark, d, "train"))
+
+
 @register("top_features")
 def _(spark, d):
     return models.top_features(*parts(spark, d, "train"))

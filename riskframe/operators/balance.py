@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,14 +24,14 @@ def class_sizes(df: DataFrame, label: str = CREDIT.label) -> dict:
 
 def smote_neighbors(
     df: DataFrame, columns: Sequence[str] = CREDIT.features, k: int = SMOTE_NEIGHBOURS, spec: TableSpec = CREDIT,
-    sizes: dict | None = None,
+    sizes: dict | None = None, search: Callable[..., DataFrame] = nearest,
 ) -> DataFrame:
-    """The k nearest same-class rows of every minority row."""
+    """The k nearest same-class rows of every minority row; ``search`` may be ``near_by_projections`` for very many."""
     sizes = sizes or class_sizes(df, spec.label)
     minority = min(sizes, key=lambda c: (sizes[c], c))
     if sizes[minority] <= k:
         raise ValueError(f"{sizes[minority]} minority rows are too few for {k} neighbours")
-    return nearest(df.filter(F.col(spec.label) == minority), columns, spec.key, k)
+    return search(df.filter(F.col(spec.label) == minority), columns, spec.key, k)
 
 
 def synthetic_minority(
@@ -41,6 +41,7 @@ def synthetic_minority(
     seed: int = SEED,
     start_id: int | None = None,
     spec: TableSpec = CREDIT,
+    search: Callable[..., DataFrame] = nearest,
 ) -> DataFrame:
     """As many synthetic minority rows as the minority lacks.
 
@@ -53,7 +54,7 @@ def synthetic_minority(
     few = df.filter(F.col(spec.label) == minority).select(
         spec.key, *(F.col(c).cast("double").alias(c) for c in columns)
     )
-    pairs = smote_neighbors(df, columns, k, spec, sizes)
+    pairs = smote_neighbors(df, columns, k, spec, sizes, search)
     j = F.col("id")
     draws = df.sparkSession.range(lacking).select(
         j.alias("number"),
@@ -81,8 +82,8 @@ def synthetic_minority(
 
 def smote_balance(
     df: DataFrame, columns: Sequence[str] = CREDIT.features, k: int = SMOTE_NEIGHBOURS, seed: int = SEED,
-    start_id: int | None = None, spec: TableSpec = CREDIT,
+    start_id: int | None = None, spec: TableSpec = CREDIT, search: Callable[..., DataFrame] = nearest,
 ) -> DataFrame:
     """Key, features as doubles and label of all rows plus the synthetic minority rows."""
     originals = df.select(spec.key, *(F.col(c).cast("double").alias(c) for c in columns), spec.label)
-    return originals.unionByName(synthetic_minority(df, columns, k, seed, start_id, spec))
+    return originals.unionByName(synthetic_minority(df, columns, k, seed, start_id, spec, search))

@@ -77,6 +77,29 @@ def evaluate(scored: DataFrame, label: str = CREDIT.label) -> DataFrame:
     return auc(scored, ["probability", "prediction"], label)
 
 
+def loss_by_round(model: RiskModel, df: DataFrame) -> DataFrame:
+    """(round, log_loss, accuracy) of the growing ensemble on labelled rows: what it predicts after each round.
+
+    Every row carries its margin from round to round and becomes one row per round, summed up in each task.
+    """
+    trees = model.fitted.stages[-1]
+    shared = [(float(w), t) for w, t in zip(trees.treeWeights, trees.trees, strict=True)]
+    target = F.col(model.spec.label).cast("double").alias("target")
+    ready = model.fitted.stages[0].transform(model.scaling.apply(df.filter(target.isNotNull()), [target], model.spec.scaled_order))
+    # Each tree predicts in the JVM; its column is dropped as soon as it is in the list.
+    scored = ready.select("target", "assembled")
+    for i, (_, tree) in enumerate(shared):
+        scored = tree.setFeaturesCol("assembled").setPredictionCol(f"t{i}").transform(scored)
+    steps = F.array(*(F.col(f"t{i}") * w for i, (w, _) in enumerate(shared)))
+    margins = scored.select("target", F.posexplode(steps).alias("at", "step"), steps.alias("steps")).select(
+        "target", "at", F.aggregate(F.slice("steps", 1, F.col("at") + 1), F.lit(0.0), lambda a, b: a + b).alias("margin")
+    )
+    sign = 2 * F.col("target") - 1
+    loss = F.log1p(F.exp(-2 * sign * F.col("margin")))
+    hit = ((F.col("margin") > 0).cast("double") == F.col("target")).cast("double")
+    return margins.groupBy((F.col("at") + 1).alias("round")).agg(F.avg(loss).alias("log_loss"), F.avg(hit).alias("accuracy"))
+
+
 def feature_importance(df: DataFrame, spec: TableSpec = CREDIT, trees: int = 100) -> DataFrame:
     """(feature, importance) of a random forest on unscaled features."""
     rows = df.select(F.col(spec.label).cast("double").alias("target"), *spec.features)

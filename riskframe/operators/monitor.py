@@ -108,18 +108,19 @@ def bin_edges(baseline: DataFrame, columns: Sequence[str], bins: int = 10) -> di
     return {r["column"]: sorted({q for q in r["quantiles"] if q is not None}) for r in found}
 
 
+def bin_of(value: Column, edges: Sequence[float]) -> Column:
+    """How many of the limits the value is above."""
+    place = F.lit(0)
+    for e in edges:
+        place = place + F.when(value.cast("double") > e, 1).otherwise(0)
+    return place
+
+
 def binned_shares(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """(column, bin, base_share, now_share): bin i holds the values above i of the limits."""
     edges = bin_edges(baseline, columns, bins)
     side = [baseline.withColumn("_now", F.lit(0)), current.withColumn("_now", F.lit(1))]
-    cells = []
-    for c in columns:
-        place = F.lit(0)
-        for e in edges.get(c, []):
-            place = place + F.when(F.col(c).cast("double") > e, 1).otherwise(0)
-        cells.append(F.struct(
-            F.lit(c).alias("column"), F.when(F.col(c).isNotNull(), place).alias("bin")
-        ))
+    cells = [F.struct(F.lit(c).alias("column"), F.when(F.col(c).isNotNull(), bin_of(F.col(c), edges.get(c, []))).alias("bin")) for c in columns]
     both = side[0].select("_now", *columns).unionByName(side[1].select("_now", *columns))
     counts = (
         both.select("_now", F.inline(F.array(*cells)))
@@ -175,6 +176,39 @@ def drift_shift(baseline: DataFrame, current: DataFrame, columns: Sequence[str])
     )
 
 
+def window_drift(rows: DataFrame, columns: Sequence[str], width: str = MONITOR_WINDOW, bins: int = 10, floor: float = 1e-6) -> DataFrame:
+    """(window_start, model_name, column, psi, mean_shift): every window against the model's window before it.
+
+    The window before is the last one that has rows, however long ago. Bins end at exact quantiles of all rows; windows keep
+    only their counts per bin, value sums and row counts, which later rows can be added to. A column without values in one
+    of the two windows has no row, nor has a model's first window.
+    """
+    edges = bin_edges(rows, columns, bins)
+    cells = [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), bin_of(F.col(c), edges.get(c, [])).alias("bin")) for c in columns
+    ]
+    timed = rows.select(windowed(width), "model_name", *columns)
+    binned = timed.select("window_start", "model_name", F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+    kept = binned.groupBy("model_name", "window_start", "column", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    # One row per model and window.
+    following = timed.select("model_name", "window_start").distinct().withColumn(
+        "next_start", F.lead("window_start").over(Window.partitionBy("model_name").orderBy("window_start"))
+    ).filter(F.col("next_start").isNotNull())
+    zero, nothing = F.lit(0).cast("long"), F.lit(0.0)
+    now = kept.select("model_name", "window_start", "column", "bin", F.col("n").alias("now"), F.col("total").alias("now_total"), zero.alias("base"), nothing.alias("base_total"))
+    base = kept.join(following, ["model_name", "window_start"]).select(
+        "model_name", F.col("next_start").alias("window_start"), "column", "bin", zero.alias("now"), nothing.alias("now_total"), F.col("n").alias("base"), F.col("total").alias("base_total")
+    )
+    by = ["model_name", "window_start", "column"]
+    sums = ["now", "now_total", "base", "base_total"]
+    paired = now.unionByName(base).groupBy(*by, "bin").agg(*(F.sum(c).alias(c) for c in sums))
+    whole = Window.partitionBy(*by)  # a row per bin
+    shares = paired.withColumns({f"{s}_all": F.sum(s).over(whole) for s in sums}).filter((F.col("now_all") > 0) & (F.col("base_all") > 0))
+    n, b = (F.greatest(F.col(s) / F.col(f"{s}_all"), F.lit(floor)) for s in ("now", "base"))
+    shift = F.first(F.col("now_total_all") / F.col("now_all") - F.col("base_total_all") / F.col("base_all"))
+    return shares.groupBy("window_start", "model_name", "column").agg(F.sum((n - b) * F.log(n / b)).alias("psi"), shift.alias("mean_shift"))
+
+
 def latency_profile(log: DataFrame, width: str = MONITOR_WINDOW) -> DataFrame:
     """Per window: requests, mean and largest execution time, exact median and 95th percentile."""
     from riskframe.operators.payload import log_second

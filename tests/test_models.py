@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.operators import models, synth
+from riskframe.operators import metrics, models, synth
 from riskframe.plans import compare
 from riskframe.schemas import feature_table_schema
 from riskframe.sources import scan
@@ -96,3 +96,25 @@ def test_future_times_and_nulls_in_synthetic_rows(spark):
     assert {r["n"] for r in rows} == {1, None}
     assert {r["t"] for r in rows} == {datetime(2031, 1, 1)}
     assert "word" not in rows[0].asDict()
+
+
+def test_losses_by_round_are_those_of_the_ensemble(train, test_rows, pair):
+    """The last round is the whole model; losses of the training rows fall."""
+    rounds = {r["round"]: r for r in models.loss_by_round(pair["B"], test_rows).collect()}
+    assert sorted(rounds) == [1, 2, 3]
+    scored = pair["B"].score(test_rows)
+    whole = metrics.log_loss(scored, "Default", "probability").first()["log_loss"]
+    assert rounds[3]["log_loss"] == pytest.approx(whole, abs=1e-9)
+    right = scored.filter(F.col("prediction") == F.col("Default")).count() / scored.count()
+    assert rounds[3]["accuracy"] == pytest.approx(right)
+    own = [r["log_loss"] for r in models.loss_by_round(pair["B"], train).orderBy("round").collect()]
+    assert own[0] > own[1] > own[2]
+
+
+def test_training_report(train):
+    rows = compare.training_report(train, rounds=3).collect()
+    losses = {r["round"]: r["value"] for r in rows if r["kind"] == "log_loss"}
+    assert sorted(losses) == [1, 2, 3] and all(0.5 < v < 0.8 for v in losses.values())  # few rows
+    cells = {(r["label"], r["prediction"]): r["value"] for r in rows if r["kind"] == "confusion"}
+    assert set(cells) <= {(a, b) for a in (0.0, 1.0) for b in (0.0, 1.0)} and sum(cells.values()) > 0
+    assert all(0 <= r["value"] <= 1 for r in rows if r["kind"] == "accuracy")

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators.balance import smote_balance
+from riskframe.operators.projections import near_by_projections
 from riskframe.operators.neighbors import nearest
 from riskframe.spec import FEATURES
 
@@ -88,3 +89,38 @@ def test_balance_needs_two_classes_and_enough_rows(spark, train):
     few = train.filter("Default = 1").limit(5).union(train.filter("Default = 0"))
     with pytest.raises(ValueError, match="too few"):
         smote_balance(few)
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """3,000 rows in eight dimensions, with copies and a few rows far away."""
+    r = np.random.default_rng(5)
+    x = r.normal(size=(3_000, 8)) * np.array([100, 30, 10, 10, 5, 5, 1, 1])
+    x[100:200] = x[0]
+    rows = [(f"{i:05d}", *map(float, v)) for i, v in enumerate(x)]
+    return spark.createDataFrame(rows, "Id string, " + ", ".join(f"x{j} double" for j in range(8))).repartition(6)
+
+
+def test_projection_orders_find_most_neighbours(many):
+    columns = [f"x{j}" for j in range(8)]
+    exact = {(r["Id"], r["rank"]): r["distance"] for r in nearest(many, columns).collect()}
+    near = near_by_projections(many, columns).collect()
+    recall = sum(r["distance"] <= exact[r["Id"], r["rank"]] + 1e-9 for r in near) / len(exact)
+    print("recall", recall)
+    assert recall >= 0.9 and len(near) == len(exact) and all(r["Id"] != r["neighbour"] for r in near)
+
+
+def test_blocks_lose_no_neighbour(many):
+    columns = [f"x{j}" for j in range(8)]
+    few = many.filter("Id < '00700'")
+    answers = [
+        sorted(map(tuple, near_by_projections(few, columns, orders=3, window=10, block=block).collect())) for block in (11, 40, 4_096)
+    ]
+    assert answers[0] == answers[1] == answers[2]
+
+
+def test_projections_of_little(spark):
+    schema = "Id string, x double"
+    assert near_by_projections(spark.createDataFrame([], schema), ["x"]).collect() == []
+    two = near_by_projections(spark.createDataFrame([("a", 1.0), ("b", 1.0)], schema), ["x"]).collect()
+    assert sorted(map(tuple, two)) == [("a", 1, "b", 0.0), ("b", 1, "a", 0.0)]

@@ -137,3 +137,14 @@ def test_quantiles_of_nothing(spark, numbers):
     nulls = ordered.quartiles(numbers.withColumn("a", F.lit(None).cast("double")), ["a", "c"]).collect()
     assert {r["column"]: r["q50"] for r in nulls} == {"a": None, "c": 3.5}
 
+
+def test_windows_drift_against_the_one_before(spark):
+    """Two models, a gap between windows, a column that is missing in one of them."""
+    at = lambda h: f"2024-01-01 {h:02d}:10:00"
+    rows = [("a", at(0), float(i), 1.0) for i in range(10)] + [("a", at(5), float(i) + 5, None) for i in range(10)]
+    rows += [("a", at(6), float(i) + 5, 2.0) for i in range(10)] + [("b", at(0), 3.0, 1.0)]
+    df = spark.createDataFrame(rows, "model_name string, timestamp string, x double, y double").withColumn("timestamp", F.to_timestamp("timestamp"))
+    got = {(r["model_name"], r["window_start"].hour, r["column"]): (r["psi"], r["mean_shift"]) for r in monitor.window_drift(df, ["x", "y"], "1 hour").collect()}
+    assert set(got) == {("a", 5, "x"), ("a", 6, "x")}
+    assert got["a", 5, "x"][1] == pytest.approx(5.0) and got["a", 5, "x"][0] > 1
+    assert got["a", 6, "x"] == (pytest.approx(0.0), pytest.approx(0.0))
