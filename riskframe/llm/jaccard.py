@@ -1,12 +1,14 @@
 """Exact n-gram Jaccard join by a token-group matrix.
 
-Documents of equal shingle sets form one class. Classes are ordered by min-hashes, so that similar ones stand together,
-and cut into groups of bounded size. The matrix says which groups hold a token. It is kept for the tokens of every
-set's prefix only: in an order of all tokens with the most frequent last, two sets similar enough share one of their
-first few tokens, so a group that shares none with a query group cannot qualify. Parities of tokens by hash bound how many
-tokens two sets can share; of a pair of groups, the sets that this leaves are opened:
-the tokens that a set shares with the union of the other group bound its overlap with any member, and what remains is
-counted exactly, as products of incidence matrices.
+Documents of equal shingle sets form one class. First, classes with an equal min-hash, by each of three, stand in groups of
+bounded size and are linked inside them; a full group shares one class with the next. What is linked so far is contracted:
+from here on, groups hold classes of one component. The matrix says which groups hold a token. It is kept for the tokens of
+every set's prefix only: in an order of all tokens with the most frequent last, two sets similar enough share one of their
+first few tokens, so a group that shares none with a query group cannot qualify, and groups of one component need not meet,
+however many near copies they hold. Parities of tokens by hash bound how many tokens two sets can share; of a pair of
+groups, the sets that this leaves are opened: the tokens that a set shares with the union of the other group bound its
+overlap with any member, and what remains is counted exactly, as products of incidence matrices. Numbers of links, where
+they are asked for, are counted at the end between the groups of each final component.
 
 Nothing is capped: the order of tokens is a matter of speed, any order gives the same links.
 """
@@ -20,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_hexdigest
 
@@ -176,55 +178,82 @@ def sets_of(docs: DataFrame, k: int, percent: int) -> DataFrame:
     return stored(rows.mapInArrow(run, schema), "jaccard-sets")
 
 
-def grouped(sets: DataFrame) -> DataFrame:
-    """(cls, doc_id, key, copies, bin) of every class with tokens: its first row and its group."""
+def first_row() -> Column:
+    """Orders rows by id, null last, and text."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+
+
+def classes_of(sets: DataFrame) -> DataFrame:
+    """(cls, doc_id, key, copies, n, m0, m1, m2) of every class with tokens: its first row, rows, size and min-hashes."""
     classes = sets.filter("n > 0").groupBy("cls").agg(
-        F.min(F.struct("doc_id", "key")).alias("head"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
-        F.first("m0").alias("m0"), F.first("m1").alias("m1"), F.first("m2").alias("m2"),
+        F.min(first_row()).alias("head"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
+        *(F.first(f"m{i}").alias(f"m{i}") for i in range(3)),
     )
+    return stored(classes.select("cls", "head.doc_id", "head.key", "copies", "n", "m0", "m1", "m2"), "jaccard-heads")
+
+
+def cut(classes: DataFrame, order: list[str], first: int = 0, alone: bool = True, chained: bool = False) -> DataFrame:
+    """(cls, doc_id, key, copies, bin): groups of bounded size of classes that are equal in the first column of ``order``.
+
+    ``first`` tells the groups of several calls apart. Without ``alone`` a class on its own is left out; ``chained`` groups
+    begin with the last class of the group before if both are equal in that column.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number = first << 56 | TaskContext.get().partitionId() << 32
+        held: list[tuple[str, int]] = []
+        tokens, last = 0, None
+
+        def group() -> list[tuple[str, int]]:
+            return [(name, number) for name, _ in held] if alone or len(held) > 1 else []
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, sets_in, tokens_in, last = TaskContext.get().partitionId() << 32, 0, 0, None
         for b in batches:
-            bins = []
-            for low, n in zip(b["m0"], b["n"], strict=True):
-                if low != last or sets_in >= GROUP_SETS or tokens_in + n > GROUP_TOKENS:
-                    number, sets_in, tokens_in, last = number + 1, 0, 0, low
-                sets_in, tokens_in = sets_in + 1, tokens_in + n
-                bins.append(number)
-            b["bin"] = bins
-            yield b[["cls", "doc_id", "key", "copies", "bin"]]
-
-    return stored(
-        classes.select("*", "head.doc_id", "head.key").drop("head").repartitionByRange("m0", "m1", "m2", "cls").sortWithinPartitions("m0", "m1", "m2", "cls")
-        .mapInPandas(cut, "cls string, doc_id long, key string, copies long, bin long"),
-        "jaccard-groups",
-    )
+            out = []
+            for name, n, low in zip(b["cls"], b["n"].tolist(), b["low"], strict=True):
+                if held and (low != last or len(held) >= GROUP_SETS or tokens + n > GROUP_TOKENS):
+                    out += group()
+                    number += 1
+                    held = held[-1:] if chained and low == last else []
+                    tokens = held[0][1] if held else 0
+                held.append((name, n))
+                tokens, last = tokens + n, low
+            yield pd.DataFrame(out, columns=["cls", "bin"])
+        yield pd.DataFrame(group(), columns=["cls", "bin"])
+
+    ranged = classes.repartitionByRange(*order).sortWithinPartitions(*order).select("cls", "n", F.col(order[0]).alias("low"))
+    rest = [c for c in ("cls", "doc_id", "key", "copies", "label") if c in classes.columns]
+    return ranged.mapInPandas(run, "cls string, bin long").join(classes.select(*rest), "cls")
 
 
 def members(sets: DataFrame, groups: DataFrame, *columns: str) -> DataFrame:
     """bin and ``columns`` of the first row of every class; rows that repeat in id and text repeat."""
-    head = groups.select(F.col("cls").alias("h_cls"), F.col("doc_id").alias("h_id"), F.col("key").alias("h_key"), "bin")
+    extra = [c for c in ("label",) if c in groups.columns]
+    head = groups.select(F.col("cls").alias("h_cls"), F.col("doc_id").alias("h_id"), F.col("key").alias("h_key"), "bin", *extra)
     same = (F.col("cls") == F.col("h_cls")) & (F.col("key") == F.col("h_key")) & F.col("doc_id").eqNullSafe(F.col("h_id"))
-    return sets.join(head.hint("shuffle_hash"), same).select("bin", *columns)
+    return sets.join(head.hint("shuffle_hash"), same).select("bin", *columns, *extra)
 
 
 def qualifying(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of groups, a <= b, whose prefixes share a token and whose set sizes allow the similarity."""
+    """(a, b): pairs of groups of different components whose prefixes share a token and whose set sizes allow the
+    similarity. ``groups`` has the component as ``label``."""
     token = Window.partitionBy("token")
     # A rare token is in fewer than FREQUENT documents, or in fewer than each of the MOST_FREQUENT listed ones.
     rare = (
-        members(sets, groups, "rare", "n").select(F.explode("rare").alias("token"), "bin", "n")
-        .select("*", F.min("bin").over(token).alias("x"), F.max("bin").over(token).alias("y")).filter("x < y").select("token", "bin", "n")
+        members(sets, groups, "rare", "n").select(F.explode("rare").alias("token"), "bin", "label", "n")
+        .select("*", F.min("label").over(token).alias("x"), F.max("label").over(token).alias("y")).filter("x < y").select("token", "bin", "label", "n")
     )
-    often = members(sets.filter(F.size("often") > 0), groups, "often", "n").select(F.explode("often").alias("token"), "bin", "n")
-    shared = stored(rare.unionByName(often).groupBy("token", "bin").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "jaccard-matrix")
-    left = shared.select("token", F.col("bin").alias("a"), F.col("lo").alias("a_lo"), F.col("hi").alias("a_hi"))
-    right = shared.select("token", F.col("bin").alias("b"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
+    often = members(sets.filter(F.size("often") > 0), groups, "often", "n").select(F.explode("often").alias("token"), "bin", "label", "n")
+    held = lambda rows: rows.groupBy("token", "bin", "label").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    shared = stored(held(rare).unionByName(held(often)), "jaccard-matrix")
+    side = lambda x: shared.select("token", *(F.col(c).alias(f"{x}_{c}") for c in ("bin", "lo", "hi", "label")))
+    left, right = side("a"), side("b")
     fits = (F.col("a_hi") * 100 >= F.col("b_lo") * percent) & (F.col("b_hi") * 100 >= F.col("a_lo") * percent)
-    across = left.join(right, "token").filter((F.col("a") < F.col("b")) & fits).select("a", "b").distinct()
-    inside = groups.groupBy("bin").count().filter("count > 1").select(F.col("bin").alias("a"), F.col("bin").alias("b"))
-    return stored(across.unionByName(inside), "jaccard-pairs")
+    across = left.join(right, (left["token"] == right["token"]) & (F.col("a_bin") < F.col("b_bin")) & (F.col("a_label") != F.col("b_label")) & fits)
+    return stored(across.select(F.col("a_bin").alias("a"), F.col("b_bin").alias("b")).distinct(), "jaccard-pairs")
+
+
+def inside(groups: DataFrame) -> DataFrame:
+    """Every group of two classes or more with itself."""
+    return groups.groupBy("bin").count().filter("count > 1").select(F.col("bin").alias("a"), F.col("bin").alias("b"))
 
 
 def within_reach(sets: DataFrame, groups: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -327,8 +356,8 @@ def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.
     return 100 * inter >= percent * union
 
 
-def opened_links(opened: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """(a, b, n): edges a - b that connect what the opened pairs link (b not null), and linked documents per class."""
+def opened_links(opened: DataFrame, tokens: DataFrame, percent: int, counted: bool) -> DataFrame:
+    """(a, b, n): edges a - b that connect what the opened pairs link or, if ``counted``, n linked documents per class a."""
 
     def spanning(names_l: list[str], names_r: list[str], link: np.ndarray) -> list[tuple[str, str, int]]:
         parent: dict[str, str] = {}
@@ -358,7 +387,7 @@ def opened_links(opened: DataFrame, tokens: DataFrame, percent: int) -> DataFram
         if inside:
             np.fill_diagonal(link, False)
         counts = [(0, link @ copies[1])] if inside else [(0, link @ copies[1]), (1, link.T @ copies[0])]
-        out = spanning(*names, link) + [(names[s][i], None, int(n[i])) for s, n in counts for i in np.flatnonzero(n)]
+        out = [(names[s][i], None, int(n[i])) for s, n in counts for i in np.flatnonzero(n)] if counted else spanning(*names, link)
         return pd.DataFrame(out, columns=["a", "b", "n"])
 
     # At most two groups' sets come together.
@@ -366,34 +395,67 @@ def opened_links(opened: DataFrame, tokens: DataFrame, percent: int) -> DataFram
     return stored(rows, "jaccard-links")
 
 
-def similar_documents(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
-    """Rows of ``labelled_documents`` without the label."""
-    return labelled_documents(docs, k, percent).drop("label")
+def links_of(docs: DataFrame, sets: DataFrame, groups: DataFrame, pairs: DataFrame, k: int, percent: int, counted: bool = False) -> DataFrame:
+    """``opened_links`` of the pairs of groups."""
+    opened = within_reach(sets, groups, pairs, percent)
+    return opened_links(opened, rebuilt(docs, groups, opened, k), percent, counted)
+
 
+def labelled_classes(docs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
+    """(cls, doc_id, key, copies, n, label): every class with the component that links reach."""
+    classes = classes_of(sets)
+    hashed = [cut(classes, [f"m{i}", f"m{(i + 1) % 3}", f"m{(i + 2) % 3}", "cls"], i, alone=False, chained=True) for i in range(3)]
+    near = stored(hashed[0].unionByName(hashed[1]).unionByName(hashed[2]), "jaccard-near")
+    first = links_of(docs, sets, near, inside(near), k, percent).select("a", "b")
 
-def labelled_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, key (md5 of the text), n_shingles, n_links, component_id, label of every document.
+    def labelled(edges: DataFrame) -> DataFrame:
+        found = components(edges).select(F.col("node").alias("l_cls"), F.col("label").alias("l_label"))
+        rows = classes.join(found, F.col("cls") == F.col("l_cls"), "left")
+        return stored(rows.select("cls", "doc_id", "key", "copies", "n", F.coalesce("l_label", "cls").alias("label")), "jaccard-labels")
+
+    contracted = labelled(first)
+    groups = by_label(contracted)
+    across = links_of(docs, sets, groups, qualifying(sets, groups, percent), k, percent).select("a", "b")
+    return labelled(first.unionByName(across))
+
+
+def by_label(classes: DataFrame) -> DataFrame:
+    """Groups of bounded size of the classes of each component, with ``label``."""
+    return stored(cut(classes, ["label", "cls"]), "jaccard-groups")
+
+
+def numbers_of_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(cls, others): documents of other classes that each class is linked with; those without links are left out."""
+    groups = by_label(classes)
+    bins = groups.select("bin", "label").distinct()
+    other = bins.select(F.col("bin").alias("b"), F.col("label").alias("b_label"))
+    # All groups of a component; links never leave it.
+    apart = bins.join(other, (F.col("label") == F.col("b_label")) & (F.col("bin") < F.col("b"))).select(F.col("bin").alias("a"), "b")
+    pairs = stored(apart.unionByName(inside(groups)), "jaccard-count-pairs")
+    counted = links_of(docs, sets, groups, pairs, k, percent, counted=True)
+    return counted.groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("others"))
+
+
+def similar_documents(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, key (md5 of the text), n_shingles, n_links, component_id of every document.
 
     Two documents are linked when 100 * intersection >= ``percent`` * union of their sets of ``k``-word shingles.
     n_links counts linked documents, copies included; component_id is the smallest doc_id that links reach (null if
-    all of them are null); label tells components apart that share this id. Texts without words (null, empty, blank) have no shingles and no links; with fewer than ``k``
+    all of them are null). Texts without words (null, empty, blank) have no shingles and no links; with fewer than ``k``
     words the whole sequence is the shingle. Repeated rows are linked with each other. An empty table gives an empty
     result; other columns are ignored.
     """
     sets = sets_of(docs, k, percent)
-    groups = grouped(sets)
-    opened = within_reach(sets, groups, qualifying(sets, groups, percent), percent)
-    links = opened_links(opened, rebuilt(docs, groups, opened, k), percent)
-    labels = components(links.filter(F.col("b").isNotNull()).select("a", "b"))
-    degrees = links.filter(F.col("b").isNull()).groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("others"))
-    classes = sets.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
-    named = stored(
-        classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").join(degrees, "cls", "left")
-        .select("cls", "low", F.coalesce("label", "cls").alias("label"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")),
-        "jaccard-classes",
-    )
-    heads = named.groupBy("label").agg(F.min("low").alias("component_id"))
-    known = named.join(heads, "label").select("cls", "n_links", "component_id", "label")
+    classes = labelled_classes(docs, sets, k, percent)
+    degrees = numbers_of_links(docs, sets, classes, k, percent)
+    return documents_of(sets, classes.join(degrees, "cls", "left").withColumn("n_links", F.coalesce("others", F.lit(0)) + F.col("copies") - 1)).drop("label")
+
+
+def documents_of(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """doc_id, key, n_shingles, n_links, component_id, label of every document; label tells components apart that share
+    their smallest id."""
+    heads = classes.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    known = stored(classes.select("cls", "n_links", "label").join(heads, "label"), "jaccard-classes")
     rows = sets.select("doc_id", "key", "cls", F.col("n").alias("n_shingles"))
     full = rows.filter("n_shingles > 0").join(known, "cls").select("doc_id", "key", "n_shingles", "n_links", "component_id", "label")
     bare = rows.filter("n_shingles = 0").select("doc_id", "key", "n_shingles", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"), F.lit(None).cast("string").alias("label"))
@@ -405,11 +467,15 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     Documents without words have no duplicates and stay. Of rows that repeat in id and text one stays.
     """
-    found = stored(labelled_documents(docs, k, percent).filter("n_shingles > 0"), "near-duplicates")
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("label").agg(F.min("key").alias("key"), F.first("component_id").alias("head"))
-    marked = docs.withColumns({"j_key": F.md5(F.coalesce("text", F.lit(""))), "j_bare": ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")})
-    heads = kept.select(F.col("key").alias("h_key"), F.col("head").alias("h_id"))
-    chosen = marked.filter(~F.col("j_bare")).join(
-        heads.hint("shuffle_hash"), (F.col("j_key") == F.col("h_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("h_id")), "left_semi"
+    sets = sets_of(docs, k, percent)
+    heads = stored(
+        labelled_classes(docs, sets, k, percent).groupBy("label").agg(F.min(first_row()).alias("head")).select("head.*"), "near-duplicates"
+    )
+    text = F.coalesce(F.col("text"), F.lit(""))
+    marked = docs.select(
+        F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"), F.md5(text).alias("key"), (~text.rlike(r"[^\x20\x09-\x0D]")).alias("bare"),
     )
-    return chosen.dropDuplicates(["doc_id", "j_key"]).unionByName(marked.filter("j_bare")).drop("j_key", "j_bare")
+    named = heads.select(F.col("doc_id").alias("h_id"), F.col("key").alias("h_key")).hint("shuffle_hash")
+    chosen = marked.filter(~F.col("bare")).join(named, (F.col("key") == F.col("h_key")) & F.col("id").eqNullSafe(F.col("h_id")), "left_semi")
+    kept = chosen.dropDuplicates(["id", "key"]).unionByName(marked.filter("bare"))
+    return kept.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))

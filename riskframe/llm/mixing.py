@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import WORD, stored
 
+BROADCAST_SOURCES = 100_000
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_EPOCHS = 2
@@ -120,6 +121,13 @@ def in_epoch() -> Column:
     )
 
 
+def with_cuts(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Rows with their source's cut. The cuts, one row per source, are broadcast after a check of their number; with more
+    sources than that none is joined by hash alone either, adaptive execution splits a large one."""
+    few = cuts.count() <= BROADCAST_SOURCES
+    return rows.join(F.broadcast(cuts) if few else cuts, F.col("m_source").eqNullSafe(F.col("t_source")))
+
+
 def mix_documents(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most_epochs: int = MOST_EPOCHS, seed: int = SEED
 ) -> DataFrame:
@@ -132,9 +140,9 @@ def mix_documents(
     """
     slim = stored(sized(docs, seed), "mix-sizes")
     targets = stored(source_targets(slim, weights, share, most_epochs), "mix-targets")
-    cuts = source_cuts(slim, targets)
+    cuts = stored(source_cuts(slim, targets), "mix-cuts")
     taken = F.col("m_epochs") * F.col("size") + in_epoch()
-    return slim.join(cuts, slim["m_source"].eqNullSafe(cuts["t_source"])).select(
+    return with_cuts(slim, cuts).select(
         "doc_id", "size", "source_size", "target", taken.alias("taken")
     )
 
@@ -150,17 +158,14 @@ def mixed_rows(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     targets = stored(source_targets(slim, **options), "mix-targets")
     cuts = stored(source_cuts(slim, targets), "mix-cuts")
     added = ["size", "source_size", "target", "epoch", "taken"]
-    kept = [c for c in docs.columns if c not in added]
+    kept = [F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c not in added]
     rows = docs.select(
-        *kept, F.col("source").cast("string").alias("m_source"), mix_key(F.col("doc_id"), F.col("text"), seed).alias("m_key"),
+        F.struct("*").alias("doc"), F.col("source").cast("string").alias("m_source"), mix_key(F.col("doc_id"), F.col("text"), seed).alias("m_key"),
         word_count(F.col("text")).alias("size"),
     )
     takes = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("m_epochs")),
         lambda e: F.struct(e.alias("epoch"), F.when(e < F.col("m_epochs"), F.col("size")).otherwise(in_epoch()).alias("taken")),
     )
-    return (
-        rows.join(cuts, rows["m_source"].eqNullSafe(cuts["t_source"]))
-        .select(*kept, "size", "source_size", "target", F.inline(takes))
-        .filter("taken > 0")
-    )
+    taken = with_cuts(rows, cuts).select("doc", "size", "source_size", "target", F.inline(takes)).filter("taken > 0")
+    return taken.select(*kept, *added)

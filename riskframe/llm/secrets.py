@@ -32,12 +32,14 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]+", 0, 24, r"[0-9a-f]{24}"),
 )
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    # To the END line or, without one, over the lines of the key.
+    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*(?:-[^-]+){0,4}-----END [A-Z ]{0,40}PRIVATE KEY-----|(?:[\x20\x09-\x0D]*[A-Za-z0-9+/=]{16,}){0,60})",
+         test=r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30),
 )
 RULES = BASE_RULES + MORE_RULES
-RULE_VERSION = "1"
+RULE_VERSION = "2"
 FINDINGS = "array<struct<start:long,rank:int,end:long,kind:string>>"
 LEDGER = f"blob string, rule_version string, findings {FINDINGS}"
 #: Replaces a secret in a text.
@@ -161,18 +163,19 @@ def redacted(text: Column, spans: Column) -> Column:
     )
 
 
-def redact(docs: DataFrame, **options) -> DataFrame:
+def redact(docs: DataFrame, rule_version: str = RULE_VERSION, **options) -> DataFrame:
     """All rows and columns of ``docs``; secrets in ``text`` are replaced and ``n_chars`` follows changed texts.
 
-    The same columns in the same order; rows without findings stay as they are.
+    The same columns in the same order, whatever their names; rows without findings stay as they are. Of an older ledger
+    only findings of this rule version count.
     """
-    _, ledger = scan(docs, **options)
-    hits = ledger.filter(F.size("findings") > 0).select(F.col("blob").alias("s_blob"), F.col("findings").alias("s_found"))
-    rows = docs.withColumn("s_key", blob_id(F.col("text"))).join(hits, F.col("s_key") == F.col("s_blob"), "left")
-    changed = F.col("s_found").isNotNull()
-    out = {"text": F.when(changed, redacted(F.col("text"), F.col("s_found"))).otherwise(F.col("text"))}
-    columns = [out.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns]
-    new = rows.select(*columns, changed.alias("s_changed"))
+    _, ledger = scan(docs, rule_version=rule_version, **options)
+    hits = ledger.filter((F.col("rule_version") == rule_version) & (F.size("findings") > 0)).select("blob", "findings")
+    rows = docs.select(F.struct("*").alias("doc"), blob_id(F.col("text")).alias("blob")).join(hits, "blob", "left")
+    changed = F.col("findings").isNotNull()
+    clean = rows.select("doc", changed.alias("changed"), F.when(changed, redacted(F.col("doc.text"), F.col("findings"))).otherwise(F.col("doc.text")).alias("clean"))
+    out = {"text": F.col("clean")}
     if "n_chars" in docs.columns:
-        new = new.withColumn("n_chars", F.when(F.col("s_changed"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return new.drop("s_changed")
+        kind = docs.schema["n_chars"].dataType
+        out["n_chars"] = F.when(F.col("changed"), F.length("clean").cast(kind)).otherwise(F.col("doc.n_chars"))
+    return clean.select(*(out.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))

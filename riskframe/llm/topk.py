@@ -3,8 +3,8 @@
 Vectors near the same pivot stand in document-range blocks of bounded size. A block keeps its forward index (ids and
 components) and the least and greatest value of each component; their products with a query, summed over the components,
 bound every score inside. The queries of a block first score their own block, which gives each a k-th score to beat.
-Then groups of queries meet shards of blocks: inside, blocks are taken in the order of their summed bounds and scored
-only for the queries whose bound still reaches the k-th score; a group stops where no bound does.
+Then groups of queries meet shards of blocks: every query takes the blocks of the shard in the order of its own bounds and
+stops where they fall below its k-th score. Queries that take the same block at the same step are scored together.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ GROUP_QUERIES = 1024
 PIVOTS = 64
 
 LEAST = np.iinfo(np.int64).min
-BLOCK = "block long, ids array<long>, rows array<array<long>>, queries array<long>, kth array<long>"
+BLOCK = "block long, ids array<long>, nums array<long>, rows array<array<long>>, queries array<long>, kth array<long>"
 
 
 def quantised(embedding: Column) -> Column:
@@ -59,7 +59,7 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
 def blocks_of(vectors: DataFrame, every: int, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per block: ids, vectors, and its queries with the k-th score each has inside the block (LEAST: fewer others)."""
     # A bounded sample; any pivots give the same results.
-    pivots = matrix([r[0] for r in vectors.orderBy(F.xxhash64("vec_id")).limit(PIVOTS).select("v").collect()])
+    pivots = matrix([r[0] for r in vectors.orderBy(F.xxhash64("num")).limit(PIVOTS).select("v").collect()])
     if not len(pivots):
         pivots = np.zeros((1, 0), np.int64)
 
@@ -67,22 +67,22 @@ def blocks_of(vectors: DataFrame, every: int, k: int, block_rows: int = BLOCK_RO
         for b in batches:
             m = matrix(b["v"], pivots.shape[1]).astype(np.float64)
             near = ((pivots.astype(np.float64) ** 2).sum(1)[None, :] - 2 * m @ pivots.T.astype(np.float64)).argmin(1)
-            yield pd.DataFrame({"vec_id": b["vec_id"], "v": b["v"], "pivot": near})
+            yield b.assign(pivot=near)
 
-    placed = vectors.mapInPandas(nearest, "vec_id long, v array<long>, pivot long")
-    sizes = vectors.select("vec_id", "v").mapInPandas(nearest, "vec_id long, v array<long>, pivot long").groupBy("pivot").agg(F.count(F.lit(1)).alias("n"))
+    placed = stored(vectors.mapInPandas(nearest, "num long, vec_id long, v array<long>, pivot long"), "topk-placed")
+    sizes = placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"))
     pieces = F.ceil(F.col("n") / block_rows)
-    blocked = placed.join(F.broadcast(sizes), "pivot").withColumn("block", F.col("pivot") + PIVOTS * F.pmod(F.xxhash64("vec_id"), pieces))
+    blocked = placed.join(F.broadcast(sizes), "pivot").withColumn("block", F.col("pivot") + PIVOTS * F.pmod(F.xxhash64("num"), pieces))
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("vec_id")
+        rows = rows.sort_values("num")
         ids, m = rows["vec_id"].to_numpy(), matrix(rows["v"])
         queries = np.flatnonzero(ids % every == 0)
         kth = []
         for q in queries:
             score = np.delete(products(m[q : q + 1], m)[0], q)
             kth.append(int(np.partition(score, len(score) - k)[len(score) - k]) if len(score) >= k else LEAST)
-        return pd.DataFrame({"block": [rows["block"].iloc[0]], "ids": [ids], "rows": [list(rows["v"])], "queries": [ids[queries]], "kth": [kth]})
+        return pd.DataFrame({"block": [rows["block"].iloc[0]], "ids": [ids], "nums": [rows["num"].to_numpy()], "rows": [list(rows["v"])], "queries": [rows["num"].to_numpy()[queries]], "kth": [kth]})
 
     return stored(blocked.groupBy("block").applyInPandas(pack, BLOCK), "topk-blocks")
 
@@ -92,40 +92,44 @@ def block_bounds(queries: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.n
     return products(np.maximum(queries, 0), high) + products(np.minimum(queries, 0), low)
 
 
-def search(ids: np.ndarray, queries: np.ndarray, kth: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray]], k: int):
-    """(query, vec_id, score) of the best k per query in these blocks that reach the query's k-th score; blocks scored."""
-    bounds = block_bounds(queries, np.array([b.max(0) for _, b in blocks]), np.array([b.min(0) for _, b in blocks]))
+def search(nums: np.ndarray, queries: np.ndarray, kth: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int):
+    """(query's number, vec_id, score) of the best k per query in these blocks (ids, numbers, vectors) that reach the
+    query's k-th score; blocks scored."""
+    bounds = block_bounds(queries, np.array([m.max(0) for _, _, m in blocks]), np.array([m.min(0) for _, _, m in blocks]))
+    order = np.argsort(-bounds, axis=1, kind="stable")
     floor_ = kth.copy()
-    held_ids: list[np.ndarray] = [np.zeros(0, np.int64)] * len(ids)
-    held: list[np.ndarray] = [np.zeros(0, np.int64)] * len(ids)
-    scored = 0
-    for b in np.argsort(-bounds.sum(0), kind="stable"):
-        open_ = np.flatnonzero(bounds[:, b] >= floor_)
-        if not len(open_):
-            continue
-        block_ids, rows = blocks[b]
-        scored += len(open_)
-        scores = products(queries[open_], rows)
-        for place, q in enumerate(open_):
-            use = (scores[place] >= floor_[q]) & (block_ids != ids[q])
-            if use.any():
-                held_ids[q], held[q] = best(np.concatenate([held[q], scores[place][use]]), np.concatenate([held_ids[q], block_ids[use]]), k)
-                if len(held[q]) == k:
-                    floor_[q] = max(floor_[q], held[q][-1])
-    return [(int(ids[q]), int(i), int(s)) for q in range(len(ids)) for i, s in zip(held_ids[q], held[q], strict=True)], scored
+    held_ids: list[np.ndarray] = [np.zeros(0, np.int64)] * len(nums)
+    held: list[np.ndarray] = [np.zeros(0, np.int64)] * len(nums)
+    scored, going = 0, np.arange(len(nums))
+    for step in range(len(blocks)):
+        going = going[bounds[going, order[going, step]] >= floor_[going]]  # no later block has a greater bound
+        if not len(going):
+            break
+        for b in np.unique(order[going, step]):
+            open_ = going[order[going, step] == b]
+            block_ids, block_nums, rows = blocks[b]
+            scored += len(open_)
+            scores = products(queries[open_], rows)
+            for place, q in enumerate(open_):
+                use = (scores[place] >= floor_[q]) & (block_nums != nums[q])
+                if use.any():
+                    held_ids[q], held[q] = best(np.concatenate([held[q], scores[place][use]]), np.concatenate([held_ids[q], block_ids[use]]), k)
+                    if len(held[q]) == k:
+                        floor_[q] = max(floor_[q], held[q][-1])
+    return [(int(nums[q]), int(i), int(s)) for q in range(len(nums)) for i, s in zip(held_ids[q], held[q], strict=True)], scored
 
 
 def top_inner_products(embeddings: DataFrame, k: int = 5, every: int = 50, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all other rows for every row whose id is divisible by ``every``.
 
     Vectors that are null, hold null or non-finite components or have no id take no part; shorter vectors count as
-    filled with zeros, empty ones score 0. Rows that repeat an id count once, with the smallest vector. Ties go to the
-    smaller id; with fewer than k others all are returned. An empty table gives an empty result; other columns are
-    ignored.
+    filled with zeros, empty ones score 0. Rows that repeat an id, wholly or not, are rows of their own: each is a candidate
+    for every other row, and each such query is answered. Ties go to the smaller id; with fewer than k others all are
+    returned. An empty table gives an empty result; other columns are ignored.
     """
     vectors = stored(
         embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), quantised(F.col("embedding")).alias("v"))
-        .filter(F.col("v").isNotNull() & F.col("vec_id").isNotNull()).groupBy("vec_id").agg(F.min("v").alias("v")),
+        .filter(F.col("v").isNotNull() & F.col("vec_id").isNotNull()).select(F.monotonically_increasing_id().alias("num"), "vec_id", "v"),
         "topk-vectors",
     )
     blocks = blocks_of(vectors, every, k, block_rows)
@@ -137,21 +141,23 @@ def top_inner_products(embeddings: DataFrame, k: int = 5, every: int = 50, block
     shards, groups = (max(1, math.ceil(total / x)) for x in (SHARD_BLOCKS, group_blocks))
     numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     placed = blocks.join(places, "block")
-    asks = placed.select("g", F.explode(F.arrays_zip("queries", "kth")).alias("q"), "ids", "rows").select(
-        "g", F.col("q.queries").alias("id"), F.col("q.kth").alias("kth"),
-        F.element_at("rows", F.array_position("ids", F.col("q.queries")).cast("int")).alias("v"),
+    asks = placed.select("g", F.explode(F.arrays_zip("queries", "kth")).alias("q"), "nums", "rows").select(
+        "g", F.col("q.queries").alias("num"), F.col("q.kth").alias("kth"),
+        F.element_at("rows", F.array_position("nums", F.col("q.queries")).cast("int")).alias("v"),
     ).withColumn("shard", numbers(shards))
-    answers = placed.select("shard", "ids", "rows").withColumn("g", numbers(groups))
+    answers = placed.select("shard", "ids", "nums", "rows").withColumn("g", numbers(groups))
 
     def run(ask: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(ask) and len(answer):
             width = max(max(map(len, ask["v"])), max(len(r) for rows in answer["rows"] for r in rows))
-            forward = [(np.asarray(i), matrix(r, width)) for i, r in zip(answer["ids"], answer["rows"], strict=True)]
-            out, _ = search(ask["id"].to_numpy(), matrix(ask["v"], width), ask["kth"].to_numpy(), forward, k)
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+            forward = [(np.asarray(i), np.asarray(n), matrix(r, width)) for i, n, r in zip(answer["ids"], answer["nums"], answer["rows"], strict=True)]
+            out, _ = search(ask["num"].to_numpy(), matrix(ask["v"], width), ask["kth"].to_numpy(), forward, k)
+        return pd.DataFrame(out, columns=["query", "vec_id", "score"])
 
     pairs = asks.groupBy("g", "shard").cogroup(answers.groupBy("g", "shard"))
-    found = pairs.applyInPandas(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = pairs.applyInPandas(run, "query long, vec_id long, score long")
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
+    first = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    named = vectors.filter(F.col("vec_id") % every == 0).select(F.col("num").alias("query"), F.col("vec_id").alias("query_id"))
+    return first.join(named, "query").select("query_id", "rank", "vec_id", "score")

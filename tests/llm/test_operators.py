@@ -115,7 +115,7 @@ def test_secrets_of_edge_rows(docs, none):
     assert found.count() == len(ROWS) and secrets.scan(none)[0].count() == 0
     assert ledger.count() == len({r[1] or "" for r in ROWS})
     assert secrets.scan_unseen(docs, ledger, ["doc_id"]).count() == 0
-    assert secrets.scan_unseen(docs, ledger, ["doc_id"], rule_version="2").count() == ledger.count()
+    assert secrets.scan_unseen(docs, ledger, ["doc_id"], rule_version="next").count() == ledger.count()
 
 
 def test_redaction_keeps_rows_and_columns(docs):
@@ -125,6 +125,40 @@ def test_redaction_keeps_rows_and_columns(docs):
     assert "abcdef123" not in text and "AKIA" not in text and text.startswith(line(100))
 
 
+CLASH = "doc_id long, text string, source string, n_chars long, s_key string, s_blob string, s_found string, s_changed int, blob string, findings string, doc string, j_key string, j_bare int, h_key string, h_id int, m_key string, m_source string, m_cut string, t_source string"
+
+
+def test_columns_of_the_user_stay(spark):
+    """Stages of the pipeline hand on columns whose names they use themselves."""
+    rows = [(i, line(30 * i, 20) + (" password=abcdef123" if i == 1 else ""), "a", 5, *[f"u{i}"] * 3, 7, "b", "f", "d", "jk", 1, "hk", 2, "mk", "ms", "mc", "ts") for i in range(4)]
+    clash = spark.createDataFrame(rows, CLASH)
+    out = secrets.redact(clash)
+    assert out.columns == clash.columns and out.schema["n_chars"].dataType == clash.schema["n_chars"].dataType
+    assert out.drop("text", "n_chars").exceptAll(clash.drop("text", "n_chars")).isEmpty()
+    assert {r.doc_id for r in out.join(clash.select("doc_id", F.col("text").alias("old")), "doc_id").filter("text <> old").collect()} == {1}
+    kept = jaccard.keep_one(clash)
+    assert kept.columns == clash.columns and kept.exceptAll(clash).isEmpty() and kept.count() == 4
+    mixed = mixing.mixed_rows(clash)
+    assert mixed.columns[: len(clash.columns)] == clash.columns
+    assert mixed.select(clash.columns).distinct().exceptAll(clash).isEmpty()
+
+
+def test_redaction_goes_by_rule_version(spark, docs):
+    _, old = secrets.scan(docs, rule_version="1")
+    assert secrets.redact(docs, ledger=old, rule_version="2").count() == docs.count()
+    stale = old.withColumn("findings", F.expr(f"cast(array(named_struct('start', 0L, 'rank', 0L, 'end', 3L, 'kind', 'x')) as {secrets.FINDINGS})"))
+    assert sorted(map(tuple, secrets.redact(docs, ledger=stale, rule_version="2").collect()), key=repr) == sorted(map(tuple, secrets.redact(docs).collect()), key=repr)
+
+
+def test_private_keys_go_whole(spark):
+    body = "\n".join("MIIEvQ" + c * 58 for c in "ABCDEF")
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    texts = [f"x\n{begin}\n{body}\nshort==\n{end}\ny", f"x {begin}\n{body}\n and some words", f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES,0\n\n{body}\n{end}", f"see {begin} in the manual"]
+    out = {r.doc_id: r.text for r in secrets.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    m = secrets.MARK
+    assert out == {0: f"x\n{m}\ny", 1: f"x {m}\n and some words", 2: m, 3: f"see {m} in the manual"}
+
+
 # --- 3 --------------------------------------------------------------------------------------------
 
 
@@ -199,16 +233,34 @@ def test_topk_with_ties_and_gaps(spark):
     rows = [(i, [float(x) for x in rng.normal(size=4)], 1) for i in range(300)] + [(300 + i, [1.0, 0.5, -0.25, 0.0], 2) for i in range(150)]
     rows += [(450, None, 0), (451, [1.0, None, 0.0, 0.0], 0), (452, [float("nan"), 0.0, 0.0, 0.0], 0), (500, [9.0, 9.0], 0), (550, [], 0), (300, [1.0, 0.5, -0.25, 0.0], 2)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank int").repartition(5)
-    ints = {i: np.floor(np.array((v + [0] * 4)[:4], np.float32).astype(float) * 256).astype(int) for i, v, _ in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    rows += [(300, [5.0, 0.5, -0.25, 0.0], 2), (7, [50.0, 0.0, 0.0, 0.0], 2), (None, [1.0] * 4, 0)]  # ids on different vectors
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank int").repartition(5)
+    ints = [(i, np.floor(np.array((v + [0] * 4)[:4], np.float32).astype(float) * 256).astype(int)) for i, v, _ in rows
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = []
-    for q in (i for i in ints if i % 50 == 0):
-        ranked = sorted((-int(ints[q] @ ints[c]), c) for c in ints if c != q)[:5]
-        want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(ranked)]
+    for at, (q, x) in enumerate(ints):
+        if q % 50 == 0:
+            ranked = sorted((-int(x @ y), c) for place, (c, y) in enumerate(ints) if place != at)[:5]
+            want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(ranked)]
     for block in (16, 1024):
         assert sorted(map(tuple, topk.top_inner_products(frame, block_rows=block).collect())) == sorted(want)
     assert topk.top_inner_products(frame.limit(0)).count() == 0
 
 
+def test_topk_keeps_rows_that_share_an_id(spark):
+    frame = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [5.0, 0.0]), (2, [0.5, 0.0])], "vec_id long, embedding array<float>")
+    assert [tuple(r) for r in topk.top_inner_products(frame).orderBy("rank").collect()] == [(0, 1, 1, 327680), (0, 2, 1, 65536), (0, 3, 2, 32768)]
+
+
+def test_topk_stops_per_query():
+    """Blocks of far clusters are not scored."""
+    rng = np.random.default_rng(4)
+    blocks = [(np.arange(20) + 100 * b, np.arange(20) + 100 * b, (np.eye(6, dtype=int)[b] * 1000 + rng.integers(-5, 5, size=(20, 6)))) for b in range(6)]
+    queries = np.array([m[0] for _, _, m in blocks])
+    out, scored = topk.search(np.array([100 * b for b in range(6)]), queries, np.full(6, topk.LEAST), blocks, 5)
+    assert scored == 6 and {(q, i // 100 * 100) for q, i, _ in out} == {(100 * b, 100 * b) for b in range(6)}
+
+
 # --- 7 --------------------------------------------------------------------------------------------
 
 
