@@ -4,8 +4,8 @@ Documents of equal shingle sets form one class. First, classes with an equal min
 bounded size and are linked inside them; a full group shares one class with the next. What is linked so far is contracted:
 from here on, groups hold classes of one component. The matrix says which groups hold a token. It is kept for the tokens of
 every set's prefix only: in an order of all tokens with the most frequent last, two sets similar enough share one of their
-first few tokens, so a group that shares none with a query group cannot qualify, and groups of one component need not meet,
-however many near copies they hold. Parities of tokens by hash bound how many tokens two sets can share; of a pair of
+first few tokens, so a group that shares none with a query group, or only such as leave too few behind them, cannot qualify,
+and groups of one component need not meet, however many near copies they hold. Parities of tokens by hash bound how many tokens two sets can share; of a pair of
 groups, the sets that this leaves are opened: the tokens that a set shares with the union of the other group bound its
 overlap with any member, and what remains is counted exactly, as products of incidence matrices. Numbers of links, where
 they are asked for, are counted at the end between the groups of each final component.
@@ -192,14 +192,15 @@ def classes_of(sets: DataFrame) -> DataFrame:
     return stored(classes.select("cls", "head.doc_id", "head.key", "copies", "n", "m0", "m1", "m2"), "jaccard-heads")
 
 
-def cut(classes: DataFrame, order: list[str], first: int = 0, alone: bool = True, chained: bool = False) -> DataFrame:
-    """(cls, doc_id, key, copies, bin): groups of bounded size of classes that are equal in the first column of ``order``.
+def cut(classes: DataFrame, same: list[str], then: list[str], alone: bool = True, chained: bool = False) -> DataFrame:
+    """(bin, and the columns of classes that members need): groups of bounded size of classes that are equal in ``same``,
+    in the order of ``then``.
 
-    ``first`` tells the groups of several calls apart. Without ``alone`` a class on its own is left out; ``chained`` groups
-    begin with the last class of the group before if both are equal in that column.
+    Without ``alone`` a class on its own is left out; ``chained`` groups begin with the last class of the group before if
+    both are equal.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number = first << 56 | TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 32
         held: list[tuple[str, int]] = []
         tokens, last = 0, None
 
@@ -208,7 +209,7 @@ def cut(classes: DataFrame, order: list[str], first: int = 0, alone: bool = True
 
         for b in batches:
             out = []
-            for name, n, low in zip(b["cls"], b["n"].tolist(), b["low"], strict=True):
+            for name, n, *low in zip(b["cls"], b["n"].tolist(), *(b[c] for c in same), strict=True):
                 if held and (low != last or len(held) >= GROUP_SETS or tokens + n > GROUP_TOKENS):
                     out += group()
                     number += 1
@@ -219,9 +220,9 @@ def cut(classes: DataFrame, order: list[str], first: int = 0, alone: bool = True
             yield pd.DataFrame(out, columns=["cls", "bin"])
         yield pd.DataFrame(group(), columns=["cls", "bin"])
 
-    ranged = classes.repartitionByRange(*order).sortWithinPartitions(*order).select("cls", "n", F.col(order[0]).alias("low"))
-    rest = [c for c in ("cls", "doc_id", "key", "copies", "label") if c in classes.columns]
-    return ranged.mapInPandas(run, "cls string, bin long").join(classes.select(*rest), "cls")
+    order = [*same, *then]
+    ranged = classes.repartitionByRange(*order).sortWithinPartitions(*order).select("cls", "n", *(c for c in same if c != "cls"))
+    return ranged.mapInPandas(run, "cls string, bin long")
 
 
 def members(sets: DataFrame, groups: DataFrame, *columns: str) -> DataFrame:
@@ -238,16 +239,23 @@ def qualifying(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     token = Window.partitionBy("token")
     # A rare token is in fewer than FREQUENT documents, or in fewer than each of the MOST_FREQUENT listed ones.
     rare = (
-        members(sets, groups, "rare", "n").select(F.explode("rare").alias("token"), "bin", "label", "n")
-        .select("*", F.min("label").over(token).alias("x"), F.max("label").over(token).alias("y")).filter("x < y").select("token", "bin", "label", "n")
+        members(sets, groups, "rare", "n").select("bin", "label", "n", F.posexplode("rare").alias("at", "token"))
+        .select("*", F.min("label").over(token).alias("x"), F.max("label").over(token).alias("y")).filter("x < y").drop("x", "y")
+    )
+    often = members(sets.filter(F.size("often") > 0), groups, "often", "n", "rare").select(
+        "bin", "label", "n", F.size("rare").alias("before"), F.posexplode("often").alias("at", "token")
+    ).withColumn("at", F.col("at") + F.col("before")).drop("before")
+    # How many tokens of a set follow its token at place ``at``: what two sets share after their first common token.
+    held = lambda rows: rows.groupBy("token", "bin", "label").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("at")).alias("rest")
     )
-    often = members(sets.filter(F.size("often") > 0), groups, "often", "n").select(F.explode("often").alias("token"), "bin", "label", "n")
-    held = lambda rows: rows.groupBy("token", "bin", "label").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     shared = stored(held(rare).unionByName(held(often)), "jaccard-matrix")
-    side = lambda x: shared.select("token", *(F.col(c).alias(f"{x}_{c}") for c in ("bin", "lo", "hi", "label")))
+    side = lambda x: shared.select("token", *(F.col(c).alias(f"{x}_{c}") for c in ("bin", "lo", "hi", "rest", "label")))
     left, right = side("a"), side("b")
     fits = (F.col("a_hi") * 100 >= F.col("b_lo") * percent) & (F.col("b_hi") * 100 >= F.col("a_lo") * percent)
-    across = left.join(right, (left["token"] == right["token"]) & (F.col("a_bin") < F.col("b_bin")) & (F.col("a_label") != F.col("b_label")) & fits)
+    enough = F.least("a_rest", "b_rest") * (100 + percent) >= (F.col("a_lo") + F.col("b_lo")) * percent
+    apart = (F.col("a_bin") < F.col("b_bin")) & (F.col("a_label") != F.col("b_label"))
+    across = left.join(right, (left["token"] == right["token"]) & apart & fits & enough)
     return stored(across.select(F.col("a_bin").alias("a"), F.col("b_bin").alias("b")).distinct(), "jaccard-pairs")
 
 
@@ -404,24 +412,29 @@ def links_of(docs: DataFrame, sets: DataFrame, groups: DataFrame, pairs: DataFra
 def labelled_classes(docs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
     """(cls, doc_id, key, copies, n, label): every class with the component that links reach."""
     classes = classes_of(sets)
-    hashed = [cut(classes, [f"m{i}", f"m{(i + 1) % 3}", f"m{(i + 2) % 3}", "cls"], i, alone=False, chained=True) for i in range(3)]
-    near = stored(hashed[0].unionByName(hashed[1]).unionByName(hashed[2]), "jaccard-near")
+    by_hash = F.inline(F.array(*(F.struct(F.lit(i).alias("way"), F.col(f"m{i}").alias("low")) for i in range(3))))
+    ways = classes.select("cls", "n", "m0", "m1", "m2", by_hash)
+    near = stored(cut(ways, ["way", "low"], ["m0", "m1", "m2", "cls"], alone=False, chained=True).join(classes.select("cls", "doc_id", "key", "copies"), "cls"), "jaccard-near")
     first = links_of(docs, sets, near, inside(near), k, percent).select("a", "b")
 
-    def labelled(edges: DataFrame) -> DataFrame:
-        found = components(edges).select(F.col("node").alias("l_cls"), F.col("label").alias("l_label"))
-        rows = classes.join(found, F.col("cls") == F.col("l_cls"), "left")
-        return stored(rows.select("cls", "doc_id", "key", "copies", "n", F.coalesce("l_label", "cls").alias("label")), "jaccard-labels")
+    def labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
+        """Rows whose label is that of the component their label belongs to, by edges between labels."""
+        found = components(edges).select(F.col("node").alias("l_node"), F.col("label").alias("l_label"))
+        moved = rows.join(found, F.col("label") == F.col("l_node"), "left")
+        return stored(moved.select("cls", "doc_id", "key", "copies", "n", F.coalesce("l_label", "label").alias("label")), "jaccard-labels")
 
-    contracted = labelled(first)
+    contracted = labelled(classes.withColumn("label", F.col("cls")), first)
     groups = by_label(contracted)
-    across = links_of(docs, sets, groups, qualifying(sets, groups, percent), k, percent).select("a", "b")
-    return labelled(first.unionByName(across))
+    across = links_of(docs, sets, groups, qualifying(sets, groups, percent), k, percent)
+    of = lambda x: contracted.select(F.col("cls").alias(x), F.col("label").alias(f"{x}_label"))
+    between = across.select("a", "b").join(of("a"), "a").join(of("b"), "b").select(F.col("a_label").alias("a"), F.col("b_label").alias("b"))
+    return labelled(contracted, between)
 
 
 def by_label(classes: DataFrame) -> DataFrame:
     """Groups of bounded size of the classes of each component, with ``label``."""
-    return stored(cut(classes, ["label", "cls"]), "jaccard-groups")
+    bins = cut(classes.select("cls", "n", "label"), ["label"], ["cls"])
+    return stored(bins.join(classes.select("cls", "doc_id", "key", "copies", "label"), "cls"), "jaccard-groups")
 
 
 def numbers_of_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
