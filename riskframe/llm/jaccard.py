@@ -35,6 +35,8 @@ GROUP_TOKENS = 400_000
 FREQUENT = 32
 MOST_FREQUENT = 1_000_000
 SEGMENT_CHARS = 8_000_000
+#: Keys of opened texts are broadcast up to this number, after a count.
+BROADCAST_KEYS = 200_000
 MATRIX_COLUMNS = 16_384
 #: Sets are handed on in batches of so many.
 SET_ROWS = 1_000
@@ -307,9 +309,10 @@ def within_reach(sets: DataFrame, groups: DataFrame, pairs: DataFrame, percent:
 
 def rebuilt(docs: DataFrame, groups: DataFrame, opened: DataFrame, k: int) -> DataFrame:
     """(cls, copies, tokens) of every set that some pair opens, from one text per class."""
-    wanted = groups.join(opened.select("cls").distinct(), "cls", "left_semi").select("key", "cls", "copies").distinct()
+    wanted = stored(groups.join(opened.select("cls").distinct(), "cls", "left_semi").select("key", "cls", "copies").distinct(), "jaccard-wanted")
     texts = docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("key"), "text")
-    rows = texts.join(wanted.hint("shuffle_hash"), "key")
+    # Few texts are opened as a rule; the others then stay where they are.
+    rows = texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted.hint("shuffle_hash"), "key")
 
     def token_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

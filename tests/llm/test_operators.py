@@ -297,6 +297,12 @@ def test_jaccard_links(request, table, k, percent):
     assert sorted(map(tuple, got), key=repr) == brute_links([(r.doc_id, r.text) for r in rows.select("doc_id", "text").collect()], k, percent)
 
 
+def test_jaccard_with_routed_texts(docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "BROADCAST_KEYS", -1)
+    got = jaccard.similar_documents(docs, 3, 90).select("doc_id", "n_shingles", "n_links", "component_id").collect()
+    assert sorted(map(tuple, got), key=repr) == brute_links([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], 3, 90)
+
+
 def test_jaccard_large_group(spark):
     base = [f"b{i}" for i in range(120)]
     rows = [(i, " ".join([*base[: i % 100], f"edit{i}", *base[i % 100 :]])) for i in range(600)]
