@@ -3,15 +3,16 @@
 A string of ``LENGTH`` bytes that also starts earlier is removed, wherever it stands. Positions picked by content, so that
 any two equal strings hold the same picks at the same places, route the work: picks whose bytes occur once take no
 further part; of the others, the bytes around each go to the shard of the pick. A shard keeps each distinct context with
-its earliest place, sorts the suffixes of these contexts by Larsson-Sadakane refinement, and finds by common prefixes of
-neighbours which strings are equal; all but the earliest are marked. Picks with very many occurrences have more
-contexts than a shard should hold: their strings are merged across tasks by digest instead.
-Exact copies of a text count once; all but the first are removed whole.
+its earliest place, sorts the suffixes of these contexts by Larsson-Sadakane refinement, and finds by Kasai's common
+prefixes which strings are equal; all but the earliest are marked. Where a pick has more contexts than a shard should
+hold, they are dealt to several shards; each passes on its sorted distinct strings, and these are merged across shards
+by binary search. What repeats within the texts that a task holds at once is settled there and travels once, so a
+passage that stands in every text gives one row per such lot. Exact copies of a text count once; all but the first are
+removed whole.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 
@@ -24,11 +25,14 @@ from riskframe.llm.common import mix, stored
 
 LENGTH = 100
 GRAM = 40
-#: Text bytes per range of pick digests, occurrences per shard, and occurrences of a pick from which it counts as hot.
-SEGMENT_BYTES = 64_000_000
+#: Text bytes per range of pick digests, and contexts that a shard should hold.
+SEGMENT_BYTES = 16_000_000
 SHARD_PICKS = 40_000
-HOT_PICKS = 200_000
+#: Picks and contexts that a task holds at once, contexts in a row, and strings per range when shards are merged.
 FLUSH_PICKS = 200_000
+FLUSH_CONTEXTS = 60_000
+ROW_CONTEXTS = 5_000
+MERGE_STRINGS = 300_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 LOW, HALF = np.uint64(0xFFFFFFFF), np.uint64(32)
@@ -76,53 +80,63 @@ def _sliding(x: np.ndarray, width: int, op) -> np.ndarray:
     return op(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Positions in the order of their suffixes' first ``depth`` bytes (at least): Larsson-Sadakane refinement.
+def suffix_order(text: np.ndarray) -> np.ndarray:
+    """Positions in the order of their suffixes: Larsson-Sadakane refinement.
 
     Ranks of h bytes give those of 2h bytes; only groups of more than one suffix are sorted again.
     """
-    n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
+    n, h = len(text), 7
+    padded = np.concatenate([text, np.zeros(h, np.uint8)]).astype(np.uint64)
     key = np.zeros(n, np.uint64)
-    for j in range(8):
+    for j in range(h):
         key = (key << np.uint64(8)) | padded[j : n + j]
-    order = np.argsort(key, kind="stable")
-    fresh = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+    key = (key << np.uint64(8)) | np.minimum(h, n - np.arange(n)).astype(np.uint64)  # an ended suffix is the smaller one
+    order = np.argsort(key)
+    fresh = _changes(key[order])
+    del key, padded
     # A group's rank is the place of its first member.
-    place = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
     rank = np.empty(n, np.int64)
-    rank[order] = place
-    h = 8
-    while h < depth:
-        last = np.concatenate([fresh[1:], [True]])
-        open_ = np.flatnonzero(~(fresh & last))
-        if not len(open_):
-            break
+    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+    open_ = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))
+    while len(open_):
         at = order[open_]
-        ahead = np.where(at + h < n, rank[np.minimum(at + h, n - 1)], -1)
-        own = rank[at]
-        again = np.lexsort((ahead, own))
-        order[open_] = at[again]
-        own, ahead = own[again], ahead[again]
-        new = np.concatenate([[True], (own[1:] != own[:-1]) | (ahead[1:] != ahead[:-1])])
-        fresh[open_] = new
-        rank[order[open_]] = open_[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        ahead = np.where(at + h < n, rank[np.minimum(at + h, n - 1)] + 1, 0)
+        both = rank[at] * (n + 1) + ahead
+        again = np.argsort(both)
+        order[open_] = at = at[again]
+        new = _changes(both[again])
+        rank[at] = open_[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        open_ = open_[~(new & np.append(new[1:], True))]
         h *= 2
     return order
 
 
-def common_at_least(text: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
-    """Whether the suffixes at a and b share ``length`` bytes; they get shorter lists as comparisons go on."""
-    same = np.arange(len(a))
-    for start in range(0, length, 16):
-        x, y = a[same], b[same]
-        equal = np.ones(len(same), bool)
-        for j in range(start, min(length, start + 16)):
-            equal &= text[x + j] == text[y + j]
-        same = same[equal]
-    out = np.zeros(len(a), bool)
-    out[same] = True
-    return out
+def _changes(x: np.ndarray) -> np.ndarray:
+    """Whether each value differs from the one before it."""
+    return np.concatenate([np.ones(min(1, len(x)), bool), x[1:] != x[:-1]])
+
+
+def common_prefixes(text: np.ndarray, order: np.ndarray, width: int, rows: int, length: int) -> np.ndarray:
+    """Bytes, ``length`` at most, that the suffix at each place of the first ``rows`` rows shares with the one before it in order.
+
+    Kasai's recurrence: the next suffix of a row shares at most one byte less. All rows take their steps together.
+    """
+    before = np.full(len(text), -1, np.int64)
+    before[order[1:]] = order[:-1]
+    padded = np.concatenate([text, np.zeros(length, np.uint8)])
+    common = np.zeros(len(text), np.int32)
+    start, shared = np.arange(rows) * width, np.zeros(rows, np.int64)
+    for j in range(width):
+        at = start + j
+        other = before[at]
+        shared = np.where(other < 0, 0, np.maximum(shared - 1, 0))
+        live = np.flatnonzero((other >= 0) & (shared < length))
+        while len(live):
+            live = live[padded[at[live] + shared[live]] == padded[other[live] + shared[live]]]
+            shared[live] += 1
+            live = live[shared[live] < length]
+        common[at] = shared
+    return common
 
 
 def runs(starts: np.ndarray, length: int) -> np.ndarray:
@@ -133,84 +147,161 @@ def runs(starts: np.ndarray, length: int) -> np.ndarray:
     return np.stack([starts[np.concatenate([[0], apart + 1])], starts[np.concatenate([apart, [len(starts) - 1]])] + length], 1)
 
 
-def repeated_starts(doc: np.ndarray, pos: np.ndarray, pad_left: np.ndarray, pad_right: np.ndarray, contexts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, start): strings of the occurrences' contexts that an earlier occurrence has, too.
+Strings = tuple[np.ndarray, np.ndarray, np.ndarray]
+
 
-    doc, pos: place of the first byte of each context's row; pads: bytes at its sides that are not the text's.
+def repeated_starts(doc: np.ndarray, pos: np.ndarray, left: np.ndarray, right: np.ndarray, contexts: np.ndarray, length: int, alone: bool) -> tuple[np.ndarray, np.ndarray, Strings | None]:
+    """(row, start) of strings that an earlier place has, too; if not ``alone``, also (bytes, row, start) of the earliest
+    place of each distinct string, sorted by bytes.
+
+    doc, pos: place of the first byte of each context; left, right: bytes at its sides that are not the text's. ``alone``:
+    no other shard has contexts of these picks.
     """
     n, width = contexts.shape
-    order = np.lexsort((pos, doc))
-    marked = np.concatenate([pad_left[:, None], pad_right[:, None], contexts], 1).astype(np.uint8)[order]
-    _, first, back = np.unique(np.ascontiguousarray(marked).view(f"V{width + 2}").ravel(), return_index=True, return_inverse=True)
-    back = back.ravel()
-    out_row, out_start = [], []
+    order, later = first_contexts(doc, pos, left, right, contexts)
     offsets = np.arange(width - length + 1)
 
     def all_starts(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        row = np.repeat(rows, len(offsets))
-        at = np.tile(offsets, len(rows))
-        valid = (at >= pad_left[row]) & (at + length <= width - pad_right[row])
+        row, at = np.repeat(rows, len(offsets)), np.tile(offsets, len(rows))
+        valid = (at >= left[row]) & (at + length <= width - right[row])
         return row[valid], at[valid]
 
-    # Later occurrences of one context repeat it whole.
-    later = order[np.flatnonzero(first[back] != np.arange(n))]
-    row, at = all_starts(later)
-    out_row.append(row), out_start.append(at)
-    heads = order[first]
-    # A pick with one context only has no other place left to compare. Its bytes stand in the middle of the context.
-    middle = np.ascontiguousarray(contexts[heads, width - length : length]).view(f"V{2 * length - width}").ravel()
-    _, which, count = np.unique(middle, return_inverse=True, return_counts=True)
-    heads = heads[count[which.ravel()] > 1]
-    if len(heads) > 1:
-        text = np.concatenate([contexts[heads].ravel(), np.zeros(length, np.uint8)])
-        head_row, head_at = all_starts(heads)
-        number = np.empty(n, np.int64)
-        number[heads] = np.arange(len(heads))
-        begins = number[head_row] * width + head_at
-        valid = np.full(len(text), -1, np.int64)
-        valid[begins] = np.arange(len(begins))
-        sorted_ = suffix_order(text, length)
-        entry = valid[sorted_]
-        keep = entry >= 0
-        sorted_, entry = sorted_[keep], entry[keep]
-        if len(entry) > 1:
-            same = np.concatenate([[False], common_at_least(text, sorted_[:-1], sorted_[1:], length)])
-            group = np.cumsum(~same) - 1
-            place_doc, place_start = doc[head_row[entry]], pos[head_row[entry]] + head_at[entry]
-            by = np.lexsort((place_start, place_doc, group))
-            lead = by[np.concatenate([[True], group[by][1:] != group[by][:-1]])]
-            late = (place_doc != place_doc[lead][group]) | (place_start != place_start[lead][group])
-            out_row.append(head_row[entry[late]]), out_start.append(head_at[entry[late]])
-    row, at = np.concatenate(out_row), np.concatenate(out_start)
-    return row, pos[row] + at
+    heads, (out_row, out_start) = order, all_starts(later)
+    if alone and len(heads):
+        # A pick with one context only has no other place left to compare. Its bytes stand in the middle of the context.
+        middle = np.ascontiguousarray(contexts[heads, width - length : length]).view(f"V{2 * length - width}").ravel()
+        _, which, count = np.unique(middle, return_inverse=True, return_counts=True)
+        heads = heads[count[which.ravel()] > 1]
+    if not len(heads):
+        return out_row, pos[out_row] + out_start, None
+    text = np.concatenate([contexts[heads].ravel(), np.zeros(length, np.uint8)])
+    number = np.empty(n, np.int64)
+    number[heads] = np.arange(len(heads))
+    head_row, head_at = all_starts(heads)
+    place = np.full(len(text), -1, np.int64)
+    place[number[head_row] * width + head_at] = np.arange(len(head_row))
+    sorted_ = suffix_order(text)
+    group = np.cumsum(common_prefixes(text, sorted_, width, len(heads), length)[sorted_] < length)
+    entry = place[sorted_]
+    group, entry = group[entry >= 0], entry[entry >= 0]
+    row, start = head_row[entry], pos[head_row[entry]] + head_at[entry]
+    # Places of one group in their order; the first one leads.
+    by = np.lexsort((start, doc[row], group))
+    group, entry, row, start = group[by], entry[by], row[by], start[by]
+    lead = _changes(group)
+    which = np.cumsum(lead) - 1
+    late = (doc[row] != doc[row][lead][which]) | (start != start[lead][which])
+    rows, starts = np.concatenate([out_row, row[late]]), np.concatenate([pos[out_row] + out_start, start[late]])
+    if alone:
+        return rows, starts, None
+    windows = np.lib.stride_tricks.sliding_window_view(text, length)
+    return rows, starts, (windows[number[row[lead]] * width + head_at[entry[lead]]], row[lead], start[lead])
+
+
+def first_contexts(doc: np.ndarray, pos: np.ndarray, left: np.ndarray, right: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the earliest place of each distinct context, and all other rows."""
+    order = np.lexsort((pos, doc))
+    marked = np.concatenate([left[:, None], right[:, None], contexts], 1).astype(np.uint8)[order]
+    _, first, back = np.unique(marked.view(f"V{marked.shape[1]}").ravel(), return_index=True, return_inverse=True)
+    return order[first], order[np.flatnonzero(first[back.ravel()] != np.arange(len(order)))]
+
+
+def merged_runs(found: list[tuple[np.ndarray, np.ndarray]], length: int) -> np.ndarray:
+    """Places (doc, ref, start) of strings for which another run has an earlier place.
+
+    found: runs of distinct strings, sorted by bytes, with a place each. Two runs at a time become one: each string of
+    the smaller run is searched in the larger one.
+    """
+    late, kind = [], f"S{length}"
+    held = [(np.ascontiguousarray(x).view(kind).ravel(), p) for x, p in found if len(x)]
+    while len(held) > 1:
+        held.sort(key=lambda x: -len(x[0]))
+        nxt = []
+        for (a, pa), (b, pb) in zip(held[::2], held[1::2], strict=False):
+            at = np.searchsorted(a, b)
+            hit = np.flatnonzero(a[np.minimum(at, len(a) - 1)] == b)
+            mine, theirs = pa[at[hit]], pb[hit]
+            sooner = _before(theirs, mine)
+            differ = (mine != theirs).any(1)
+            late.append(np.where(sooner[:, None], mine, theirs)[differ])
+            pa = pa.copy()
+            pa[at[hit][sooner]] = theirs[sooner]
+            new = np.ones(len(b), bool)
+            new[hit] = False
+            nxt.append((np.insert(a, at[new], b[new]), np.insert(pa, at[new], pb[new], axis=0)))
+        held = nxt + ([held[-1]] if len(held) % 2 else [])
+    return np.concatenate(late) if late else np.zeros((0, 3), np.int64)
+
+
+def _before(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether rows of ``a`` come before those of ``b``, column by column."""
+    out = np.zeros(len(a), bool)
+    for j in reversed(range(a.shape[1])):
+        out = (a[:, j] < b[:, j]) | ((a[:, j] == b[:, j]) & out)
+    return out
+
+
+def _by_row(ids: np.ndarray) -> Iterator[tuple[int, int]]:
+    """[begin, end) of runs of equal rows."""
+    if len(ids):
+        cuts = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]).any(1), [True]]))
+        yield from zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+
+
+def span_rows(doc: np.ndarray, ref: np.ndarray, start: np.ndarray, length: int) -> list[tuple[int, int, bytes]]:
+    """(doc, ref, packed runs) of the strings at these starts."""
+    order = np.lexsort((start, ref, doc))
+    ids, start = np.stack([doc, ref], 1)[order], start[order]
+    return [(int(ids[a, 0]), int(ids[a, 1]), runs(start[a:b], length).astype("<i8").tobytes()) for a, b in _by_row(ids)]
+
+
+def byte_keys(rows: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each row of bytes."""
+    words = -(-rows.shape[1] // 8)
+    padded = np.zeros((len(rows), 8 * words), np.uint8)
+    padded[:, : rows.shape[1]] = rows
+    padded = padded.view("<u8")
+    key = np.full(len(rows), rows.shape[1], np.uint64)
+    for j in range(words):
+        key = mix(key + padded[:, j])
+    return key
 
 
 def repeated_picks(rows: DataFrame, segments: int, length: int, gram: int) -> DataFrame:
-    """(ref, picks): positions (u4) with the number of occurrences (u4) of the picks of a text that occur again."""
+    """(ref, picks, n): positions (u4) of the picks of a text that occur again; a text may have several rows.
+
+    Picks that repeat within a lot of texts are given out at once, and one row each goes on, marked as repeated.
+    """
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        picks, held, size = Picks(length, gram), [], 0
+        picks, held, size = Picks(length, gram), {}, 0
 
         def flush() -> pd.DataFrame:
-            refs = np.array([r for r, _, _ in held], "<i8")
-            at, digest = np.concatenate([p for _, p, _ in held]), np.concatenate([d for _, _, d in held])
-            index = np.repeat(np.arange(len(held)), [len(p) for _, p, _ in held])
+            refs = np.array(list(held), "<i8")
+            at, digest = (np.concatenate(x) for x in zip(*held.values(), strict=True))
+            index = np.repeat(np.arange(len(held)), [len(p) for p, _ in held.values()])
             held.clear()
-            segment = ((digest >> HALF) * np.uint64(segments) >> HALF).astype(np.int64)
-            order = np.argsort(segment, kind="stable")
-            bounds = np.searchsorted(segment[order], np.arange(segments + 1))
-            out = []
+            order = np.argsort(digest)
+            fresh = _changes(digest[order])
+            lone = fresh & np.append(fresh[1:], True)
+            again = np.sort(order[~lone])
+            out = [(None, None, None, None, None, None, *x) for x in _positions(refs[index[again]], at[again])]
+            order, many = order[fresh], ~lone[fresh]
+            # In order of digest, so ranges of digests are runs of rows.
+            bounds = np.searchsorted(((digest[order] >> HALF) * np.uint64(segments) >> HALF).astype(np.int64), np.arange(segments + 1))
             for s in np.flatnonzero(bounds[1:] > bounds[:-1]):
                 part = order[bounds[s] : bounds[s + 1]]
                 used, local = np.unique(index[part], return_inverse=True)
-                out.append((int(s), refs[used].tobytes(), local.astype("<u4").tobytes(), at[part].astype("<u4").tobytes(), (digest[part] & LOW).astype("<u4").tobytes()))
-            return pd.DataFrame(out, columns=["segment", "refs", "local", "at", "low"])
+                out.append((int(s), refs[used].tobytes(), local.astype("<u4").tobytes(), at[part].astype("<u4").tobytes(), (digest[part] & LOW).astype("<u4").tobytes(), many[bounds[s] : bounds[s + 1]].astype("u1").tobytes(), None, None, None))
+            return pd.DataFrame(out, columns=PICK_COLUMNS, dtype=object)
 
         for b in batches:
             for ref, text in zip(b["ref"], b["text"], strict=True):
+                if ref in held:
+                    continue
                 at, digest = picks.of(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8))
                 if len(at):
-                    held.append((ref, at, digest))
+                    held[ref] = at, digest
                     size += len(at)
                 if size >= FLUSH_PICKS:
                     yield flush()
@@ -221,83 +312,130 @@ def repeated_picks(rows: DataFrame, segments: int, length: int, gram: int) -> Da
     def again(parts: pd.DataFrame) -> pd.DataFrame:
         get = lambda c, t: [np.frombuffer(x, t) for x in parts[c]]
         ref = np.concatenate([r[i] for r, i in zip(get("refs", "<i8"), get("local", "<u4"), strict=True)])
-        at, low = np.concatenate(get("at", "<u4")), np.concatenate(get("low", "<u4"))
+        at, low, many = (np.concatenate(get(c, t)) for c, t in (("at", "<u4"), ("low", "<u4"), ("many", "u1")))
         order = np.lexsort((at, ref, low))
-        ref, at, low = ref[order], at[order], low[order]
+        ref, at, low, many = ref[order], at[order], low[order], many[order] > 0
+        fresh = _changes(low)
         # Copies have the same picks at the same places and count once.
-        own = np.concatenate([[True], (ref[1:] != ref[:-1]) | (at[1:] != at[:-1]) | (low[1:] != low[:-1])])
-        ref, at, low = ref[own], at[own], low[own]
-        first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
-        count = np.diff(np.append(first, len(low)))
-        many = np.repeat(count, count)
-        use = np.flatnonzero(many > 1)
-        use = use[np.argsort(ref[use], kind="stable")]
-        cut = np.flatnonzero(np.concatenate([[True], ref[use][1:] != ref[use][:-1]])) if len(use) else np.zeros(0, np.int64)
-        ends = np.append(cut, len(use))
-        data = np.stack([at[use], many[use].astype("<u4")], 1).astype("<u4")
-        return pd.DataFrame({"ref": ref[use][cut], "picks": [data[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)], "n": np.diff(ends)})
-
-    parts = rows.select("ref", "text").mapInPandas(pick, "segment long, refs binary, local binary, at binary, low binary")
-    return stored(parts.groupBy("segment").applyInPandas(again, "ref long, picks binary, n long"), "suffix-picks")
-
-
-def around_picks(texts: DataFrame, shards: int, length: int, gram: int, hot: int) -> DataFrame:
-    """What shards need: (shard, doc, ref, pos, left, right, context) of the picks in blobs; hot picks' strings by digest."""
+        other = fresh | (ref != np.roll(ref, 1)) | (at != np.roll(at, 1))
+        first = np.flatnonzero(fresh)
+        repeated = (np.add.reduceat(other.astype(np.int64), first) > 1) | np.logical_or.reduceat(many, first)
+        use = np.flatnonzero(repeated[np.cumsum(fresh) - 1] & other & ~many)
+        return pd.DataFrame(_positions(ref[use], at[use]), columns=["ref", "picks", "n"])
+
+    parts = stored(rows.select("ref", "text").mapInPandas(pick, PICK_SCHEMA), "suffix-parts")
+    lone = parts.filter("segment is not null").select("segment", "refs", "local", "at", "low", "many").groupBy("segment")
+    return stored(lone.applyInPandas(again, "ref long, picks binary, n long").unionByName(parts.filter("segment is null").select("ref", "picks", "n")), "suffix-picks")
+
+
+PICK_COLUMNS = ["segment", "refs", "local", "at", "low", "many", "ref", "picks", "n"]
+PICK_SCHEMA = "segment long, refs binary, local binary, at binary, low binary, many binary, ref long, picks binary, n long"
+
+
+def _positions(ref: np.ndarray, at: np.ndarray) -> list[tuple[int, bytes, int]]:
+    order = np.argsort(ref, kind="stable")
+    ref, at = ref[order], at[order].astype("<u4")
+    return [(int(ref[a]), at[a:b].tobytes(), b - a) for a, b in _by_row(ref[:, None])]
+
+
+def around_picks(texts: DataFrame, shards: int, length: int, gram: int) -> DataFrame:
+    """What shards need: (shard, n, docs, refs, pos, left, right, contexts) of picks, and (doc, ref, spans) of contexts that
+    an earlier place of the same lot has, too."""
     side, width = length - gram, 2 * length - gram
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+
+        def flush() -> pd.DataFrame:
+            doc, ref, pos, left, right, context = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            first, later = first_contexts(place_ranks(doc, ref), pos, left, right, context)
+            later = later[left[later] + length <= width - right[later]]
+            begin, end = pos[later] + left[later], pos[later] + width - right[later]
+            order = np.lexsort((begin, ref[later], doc[later]))
+            ids, spans = np.stack([doc[later], ref[later]], 1)[order], np.stack([begin, end], 1)[order].astype("<i8")
+            out = [(*[None] * 8, int(ids[a, 0]), int(ids[a, 1]), spans[a:b].tobytes()) for a, b in _by_row(ids)]
+            shard = (byte_keys(context[first, side : side + gram]) % np.uint64(shards)).astype(np.int64)
+            first, shard = first[order := np.argsort(shard, kind="stable")], shard[order]
+            for x, y in _by_row(shard[:, None]):
+                for z in range(x, y, ROW_CONTEXTS):
+                    p = first[z : min(y, z + ROW_CONTEXTS)]
+                    out.append((int(shard[x]), len(p), doc[p].astype("<i8").tobytes(), ref[p].astype("<i8").tobytes(), pos[p].astype("<i8").tobytes(), left[p].astype("u1").tobytes(), right[p].astype("u1").tobytes(), context[p].tobytes(), None, None, None))
+            return pd.DataFrame(out, columns=CONTEXT_COLUMNS, dtype=object)  # whole numbers beside nulls stay whole
+
         for b in batches:
-            held, strings = [], []
             for doc, ref, text, found in zip(b["doc"], b["ref"], b["text"], b["picks"], strict=True):
                 raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-                picks = np.unique(np.concatenate([np.frombuffer(x, "<u4").reshape(-1, 2) for x in found]), axis=0).astype(np.int64)
+                every = np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in found])).astype(np.int64)
+                every = every[every + gram <= len(raw)]
                 padded = np.concatenate([np.zeros(side, np.uint8), raw, np.zeros(side + width, np.uint8)])
                 windows = np.lib.stride_tricks.sliding_window_view(padded, width)
-                near = [np.arange(max(0, at - side), min(at, len(raw) - length) + 1) for at in picks[picks[:, 1] > hot, 0]]
-                if near:
-                    strings.append((doc, ref, raw, np.unique(np.concatenate(near))))
-                at = picks[picks[:, 1] <= hot, 0]
-                at = at[at + gram <= len(raw)]
-                if len(at):
-                    left, right = np.maximum(0, side - at), np.maximum(0, at + gram + side - len(raw))
-                    gram_key = mix(np.array([_gram_key(raw, p, gram) for p in at], np.uint64))
-                    held.append((np.full(len(at), doc), np.full(len(at), ref), at - side, left, right, gram_key, windows[at]))
-            out = []
-            if held:
-                doc, ref, pos, left, right, key, context = (np.concatenate(x) for x in zip(*held, strict=True))
-                shard = (key % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                bounds = np.flatnonzero(np.concatenate([[True], np.diff(shard[order]) > 0, [True]]))
-                for x, y in zip(bounds, bounds[1:], strict=False):
-                    p = order[x:y]
-                    out.append((int(shard[p[0]]), doc[p].astype("<i8").tobytes(), ref[p].astype("<i8").tobytes(), pos[p].astype("<i8").tobytes(), left[p].astype("u1").tobytes(), right[p].astype("u1").tobytes(), context[p].tobytes(), *[None] * 5))
-            # Of equal strings here only the earliest goes on; the others have an earlier one already.
-            seen: set[bytes] = set()
-            for doc, ref, raw, starts in sorted(strings, key=lambda x: x[:2]):
-                late = []
-                for at in starts.tolist():
-                    digest = hashlib.md5(raw[at : at + length].tobytes()).digest()
-                    if digest in seen:
-                        late.append(at)
-                    else:
-                        seen.add(digest)
-                        out.append((*[None] * 7, doc, ref, at, digest, None))
-                if late:
-                    out.append((*[None] * 7, doc, ref, None, None, runs(np.array(late), length).astype("<i8").tobytes()))
-            yield pd.DataFrame(out, columns=CONTEXT_COLUMNS, dtype=object)  # whole numbers beside nulls stay whole
+                for a in range(0, len(every), FLUSH_CONTEXTS):
+                    at = every[a : a + FLUSH_CONTEXTS]
+                    held.append((np.full(len(at), doc), np.full(len(at), ref), at - side, np.maximum(0, side - at), np.maximum(0, at + gram + side - len(raw)), windows[at]))
+                    size += len(at)
+                    if size >= FLUSH_CONTEXTS:
+                        yield flush()
+                        size = 0
+        if held:
+            yield flush()
 
     return stored(texts.mapInPandas(cut, CONTEXT_SCHEMA), "suffix-contexts")
 
 
-CONTEXT_COLUMNS = ["shard", "docs", "refs", "pos", "left", "right", "contexts", "h_doc", "h_ref", "h_start", "h_digest", "h_spans"]
-CONTEXT_SCHEMA = "shard long, docs binary, refs binary, pos binary, left binary, right binary, contexts binary, h_doc long, h_ref long, h_start long, h_digest binary, h_spans binary"
+CONTEXT_COLUMNS = ["shard", "n", "docs", "refs", "pos", "left", "right", "contexts", "doc", "ref", "spans"]
+CONTEXT_SCHEMA = "shard long, n long, docs binary, refs binary, pos binary, left binary, right binary, contexts binary, doc long, ref long, spans binary"
+
 
+def place_ranks(doc: np.ndarray, ref: np.ndarray) -> np.ndarray:
+    """Ranks of (doc, ref)."""
+    return np.unique(np.stack([doc, ref], 1), axis=0, return_inverse=True)[1].ravel()
 
-def _gram_key(raw: np.ndarray, at: int, gram: int) -> int:
-    return int.from_bytes(hashlib.blake2b(raw[at : at + gram].tobytes(), digest_size=8).digest(), "little")
 
+def late_spans(parts: DataFrame, length: int, gram: int, shard_picks: int) -> DataFrame:
+    """(doc, ref, spans) of strings that have an earlier place."""
+    width = 2 * length - gram
+    contexts = parts.filter("shard is not null").drop("doc", "ref", "spans")
+    # Shards that hold much more than their share, as one of their picks is frequent, are divided.
+    loads = contexts.groupBy("shard").agg(F.sum("n").alias("load")).filter(F.col("load") > 2 * shard_picks)
+    loads = stored(loads.select("shard", F.ceil(F.col("load") / shard_picks).alias("subs"), "load"), "suffix-loads")
+    strings = (loads.agg(F.sum("load")).first()[0] or 0) * (length - gram + 1)
+    buckets = max(1, math.ceil(strings / MERGE_STRINGS))
+    dealt = contexts.join(loads.drop("load"), "shard", "left").withColumn("sub", F.coalesce(F.pmod(F.xxhash64("docs", "pos"), "subs"), F.lit(0)))
+
+    def settle(blobs: pd.DataFrame) -> pd.DataFrame:
+        get = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in blobs[c]])
+        doc, ref, pos = get("docs", "<i8"), get("refs", "<i8"), get("pos", "<i8")
+        left, right = get("left", "u1").astype(np.int64), get("right", "u1").astype(np.int64)
+        alone = bool(pd.isna(blobs["subs"].iloc[0]))
+        row, start, distinct = repeated_starts(place_ranks(doc, ref), pos, left, right, get("contexts", "u1").reshape(-1, width), length, alone)
+        out = [(*x, *[None] * 3) for x in span_rows(doc[row], ref[row], start, length)]
+        if distinct:
+            found, row, start = distinct
+            places = np.stack([doc[row], ref[row], start], 1).astype("<i8")
+            bucket = (byte_keys(found) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")  # strings of a bucket stay sorted
+            out += [(None, None, None, int(bucket[order[a]]), found[order[a:b]].tobytes(), places[order[a:b]].tobytes()) for a, b in _by_row(bucket[order][:, None])]
+        return pd.DataFrame(out, columns=["doc", "ref", "spans", "bucket", "strings", "places"], dtype=object)
+
+    settled = stored(
+        dealt.groupBy("shard", "sub").applyInPandas(settle, "doc long, ref long, spans binary, bucket long, strings binary, places binary"), "suffix-settled"
+    )
+
+    def merge(found: pd.DataFrame) -> pd.DataFrame:
+        held = [
+            (np.frombuffer(x, "u1").reshape(-1, length), np.frombuffer(p, "<i8").reshape(-1, 3))
+            for x, p in zip(found["strings"], found["places"], strict=True)
+        ]
+        late = merged_runs(held, length)
+        return pd.DataFrame(span_rows(late[:, 0], late[:, 1], late[:, 2], length), columns=["doc", "ref", "spans"])
+
+    across = settled.filter("bucket is not null").select("bucket", "strings", "places").groupBy("bucket").applyInPandas(merge, "doc long, ref long, spans binary")
+    here = [x.filter("doc is not null").select("doc", "ref", "spans") for x in (parts, settled)]
+    return here[0].unionByName(here[1]).unionByName(across)
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT_PICKS) -> DataFrame:
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_picks: int = SHARD_PICKS) -> DataFrame:
     """doc_id, n_bytes, spans (begin, end of the maximal removed runs) and kept (the remaining bytes) of every document.
 
     Removed is each byte that a string of ``length`` bytes covers which also starts earlier: in a document of smaller
@@ -320,33 +458,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     wanted = firsts.join(per_text, "ref").select("key", "doc", "picks")
     # Rows that repeat in id and text come once: at equal places none of them is the later one.
     texts = rows.select("key", "doc", "ref", "text").join(wanted.hint("shuffle_hash"), ["key", "doc"]).dropDuplicates(["key", "doc"])
-    parts = around_picks(texts, max(1, math.ceil(total / SHARD_PICKS)), length, gram, hot)
-    width = 2 * length - gram
-
-    def settle(blobs: pd.DataFrame) -> pd.DataFrame:
-        get = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in blobs[c]])
-        doc, key, pos = get("docs", "<i8"), get("refs", "<i8"), get("pos", "<i8")
-        rank_doc = np.unique(np.stack([doc, key], 1), axis=0, return_inverse=True)[1].ravel()
-        row, start = repeated_starts(rank_doc, pos, get("left", "u1").astype(np.int64), get("right", "u1").astype(np.int64), get("contexts", "u1").reshape(-1, width), length)
-        order = np.lexsort((start, rank_doc[row]))
-        row, start = row[order], start[order]
-        cut = np.flatnonzero(np.concatenate([[True], np.diff(rank_doc[row]) > 0, [True]])) if len(row) else np.zeros(0, np.int64)
-        spans = [(doc[row[a]], key[row[a]], runs(start[a:b], length).astype("<i8").tobytes()) for a, b in zip(cut, cut[1:], strict=False)]
-        return pd.DataFrame(spans, columns=["doc", "ref", "spans"])
-
-    settled = parts.filter("shard is not null").groupBy("shard").applyInPandas(settle, "doc long, ref long, spans binary")
-    strings = parts.filter("h_digest is not null").select("h_doc", "h_ref", "h_start", "h_digest")
-    earliest = strings.groupBy("h_digest").agg(F.min(F.struct("h_doc", "h_ref", "h_start")).alias("e"))
-    late = strings.join(earliest, "h_digest").filter(F.struct("h_doc", "h_ref", "h_start") != F.col("e"))
-
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            spans = [np.array([[s, s + length]], "<i8").tobytes() for s in b["h_start"]]
-            yield pd.DataFrame({"doc": b["h_doc"], "ref": b["h_ref"], "spans": spans})
-
-    late = late.select("h_doc", "h_ref", "h_start").mapInPandas(pairs, "doc long, ref long, spans binary")
-    known = parts.filter("h_spans is not null").select(F.col("h_doc").alias("doc"), F.col("h_ref").alias("ref"), F.col("h_spans").alias("spans"))
-    removed = settled.unionByName(late).unionByName(known).groupBy("doc", "ref").agg(F.collect_list("spans").alias("spans"))
+    parts = around_picks(texts, max(1, math.ceil(total / shard_picks)), length, gram)
+    removed = late_spans(parts, length, gram, shard_picks).groupBy("doc", "ref").agg(F.collect_list("spans").alias("spans"))
     removed = stored(removed, "suffix-spans").select(F.col("doc").alias("r_doc"), F.col("ref").alias("r_ref"), "spans")
     status = firsts.join(removed, (F.col("doc") == F.col("r_doc")) & (F.col("ref") == F.col("r_ref")), "left").select(
         F.col("key").alias("f_key"), F.col("doc").alias("f_doc"), "same", "spans"

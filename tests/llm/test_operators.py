@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -348,17 +349,22 @@ def brute_repeats(rows, length):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize(("table", "hot"), [("docs", suffixes.HOT_PICKS), ("docs", 2), ("small", suffixes.HOT_PICKS)])
-def test_repeated_strings(request, table, hot):
+@pytest.mark.parametrize(("table", "shard"), [("docs", suffixes.SHARD_PICKS), ("docs", 2), ("small", suffixes.SHARD_PICKS), ("small", 3_000)])
+def test_repeated_strings(request, monkeypatch, table, shard):
+    """Small shards are divided and merged; small lots leave less to settle inside tasks."""
+    if shard < suffixes.SHARD_PICKS:
+        for name in ("FLUSH_PICKS", "FLUSH_CONTEXTS", "ROW_CONTEXTS"):
+            monkeypatch.setattr(suffixes, name, shard // 2)
+        monkeypatch.setattr(suffixes, "MERGE_STRINGS", 20 * shard)
     rows = request.getfixturevalue(table)
-    got = suffixes.digest_columns(suffixes.remove_repeats(rows, hot=hot)).collect()
+    got = suffixes.digest_columns(suffixes.remove_repeats(rows, shard_picks=shard)).collect()
     assert sorted(map(tuple, got), key=repr) == brute_repeats([(r.doc_id, r.text) for r in rows.select("doc_id", "text").collect()], suffixes.LENGTH)
 
 
-@pytest.mark.parametrize("hot", [suffixes.HOT_PICKS, 2])
-def test_repeated_first_row_keeps_its_strings(spark, hot):
+@pytest.mark.parametrize("shard", [suffixes.SHARD_PICKS, 2])
+def test_repeated_first_row_keeps_its_strings(spark, shard):
     rows = [(5, line(0)), (5, line(0)), (9, line(30))]
-    got = suffixes.digest_columns(suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot)).collect()
+    got = suffixes.digest_columns(suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), shard_picks=shard)).collect()
     assert sorted(map(tuple, got), key=repr) == brute_repeats(rows, suffixes.LENGTH)
 
 
@@ -368,9 +374,29 @@ def test_no_strings(none):
 
 def test_suffix_order():
     text = np.frombuffer(b"abracadabra" * 9 + b"xabracad", np.uint8)
-    order = suffixes.suffix_order(text, 100)
     raw = text.tobytes()
-    assert [raw[i : i + 100] for i in order] == sorted(raw[i : i + 100] for i in range(len(raw)))
+    assert suffixes.suffix_order(text).tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+    zeros = np.zeros(50, np.uint8)
+    assert suffixes.suffix_order(zeros).tolist() == list(range(50))[::-1]
+
+
+def test_common_prefixes():
+    text = np.frombuffer(b"abracadabra" * 9 + b"xabracad" + b"\0" * 10, np.uint8)
+    raw, order = text.tobytes(), suffixes.suffix_order(text)
+    want = {int(b): min(10, len(os.path.commonprefix([raw[a:], raw[b:]]))) for a, b in zip(order, order[1:], strict=False)}
+    for width in (11, 107):
+        rows = 107 // width
+        got = suffixes.common_prefixes(text, order, width, rows, 10)
+        assert all(got[p] == want.get(p, 0) for p in range(rows * width))
+
+
+def test_runs_merged_by_search():
+    def run(*items):
+        return np.array([list(x) for x, _ in items], np.uint8), np.array([p for _, p in items], np.int64)
+
+    runs = [run((b"aa", (1, 1, 5)), (b"bb", (7, 0, 0))), run((b"aa", (1, 1, 4)), (b"c\0", (2, 2, 2))), run((b"aa", (1, 1, 4)), (b"bb", (6, 9, 9)), (b"zz", (0, 0, 0)))]
+    assert sorted(map(tuple, suffixes.merged_runs(runs, 2).tolist())) == [(1, 1, 5), (7, 0, 0)]
+    assert len(suffixes.merged_runs([], 2)) == 0
 
 
 # --- 9 --------------------------------------------------------------------------------------------
