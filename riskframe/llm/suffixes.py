@@ -68,7 +68,7 @@ class Picks:
         # The greatest of the least values of all strings around a gram equals its own digest where it is one of them.
         around = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
         at = np.flatnonzero(_sliding(around, width, np.maximum) == digest)
-        return at, digest[at]
+        return at, mix(digest[at])  # least digests are small; spread again, they fill ranges evenly
 
 
 def _sliding(x: np.ndarray, width: int, op) -> np.ndarray:
@@ -452,27 +452,31 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     picks = repeated_picks(rows, max(1, math.ceil(size / SEGMENT_BYTES)), length, gram)
     total = picks.agg(F.sum("n")).first()[0] or 0
     per_text = picks.groupBy("ref").agg(F.collect_list("picks").alias("picks"))
-    # The first row of every text, and how many rows share its id.
-    ids = rows.groupBy("key", "ref", "doc").agg(F.count(F.lit(1)).alias("same"))
-    firsts = stored(ids.groupBy("key", "ref").agg(F.min("doc").alias("doc"), F.min_by("same", "doc").alias("same")), "suffix-texts")
+    # How many rows share id and text; texts too short for a string are kept beside them.
+    ids = stored(
+        rows.groupBy("key", "ref", "doc", "doc_id").agg(
+            F.count(F.lit(1)).alias("same"), F.first("n_bytes").alias("n_bytes"), F.first(F.when(F.col("n_bytes") < length, F.col("text"))).alias("short")
+        ),
+        "suffix-ids",
+    )
+    firsts = stored(ids.groupBy("key", "ref").agg(F.min(F.struct("doc", "doc_id")).alias("f")).select("key", "ref", "f.doc", "f.doc_id"), "suffix-texts")
     wanted = firsts.join(per_text, "ref").select("key", "doc", "picks")
     # Rows that repeat in id and text come once: at equal places none of them is the later one.
     texts = rows.select("key", "doc", "ref", "text").join(wanted.hint("shuffle_hash"), ["key", "doc"]).dropDuplicates(["key", "doc"])
     parts = around_picks(texts, max(1, math.ceil(total / shard_picks)), length, gram)
     removed = late_spans(parts, length, gram, shard_picks).groupBy("doc", "ref").agg(F.collect_list("spans").alias("spans"))
     removed = stored(removed, "suffix-spans").select(F.col("doc").alias("r_doc"), F.col("ref").alias("r_ref"), "spans")
-    status = firsts.join(removed, (F.col("doc") == F.col("r_doc")) & (F.col("ref") == F.col("r_ref")), "left").select(
-        F.col("key").alias("f_key"), F.col("doc").alias("f_doc"), "same", "spans"
-    )
-    first, whole = F.col("doc") == F.col("f_doc"), F.col("n_bytes") >= length
-    marked = rows.join(status.hint("shuffle_hash"), F.col("key") == F.col("f_key")).select(
-        "doc_id", "key", "n_bytes", "text", "same", first.alias("first"), (~first & whole).alias("whole"), F.when(first, F.col("spans")).alias("spans")
-    )
-    # Rows that repeat in id and text: one is the first.
-    repeated = F.col("first") & (F.col("same") > 1) & whole
-    once = marked.filter(repeated).dropDuplicates(["key"])
-    others = once.select("doc_id", "key", "n_bytes", F.lit("").alias("text"), "same", "first", F.lit(True).alias("whole"), F.lit(None).cast("array<binary>").alias("spans"), F.explode(F.sequence(F.lit(2).cast("long"), F.col("same"))).alias("i")).drop("i")
-    marked = marked.filter(~repeated).unionByName(once).unionByName(others)
+    status = firsts.join(removed, (F.col("doc") == F.col("r_doc")) & (F.col("ref") == F.col("r_ref")), "left").select("key", "doc", F.col("doc_id").alias("f_id"), "spans")
+    first = rows.select("key", "doc", "n_bytes", "text").join(status.hint("shuffle_hash"), ["key", "doc"]).dropDuplicates(["key", "doc"])
+    first = first.select(F.col("f_id").alias("doc_id"), "n_bytes", "text", F.lit(False).alias("whole"), "spans")
+    # All other rows need no texts: strings of theirs all have an earlier place.
+    own = firsts.select(F.col("key").alias("f_key"), F.col("doc").alias("f_doc"), F.col("doc_id").alias("f_id"))
+    kept = (F.col("key") == F.col("f_key")) & (F.col("doc") == F.col("f_doc")) & F.col("doc_id").eqNullSafe(F.col("f_id"))
+    more = F.col("same") - F.when(F.col("f_key").isNotNull(), 1).otherwise(0)
+    others = ids.join(own, kept, "left").filter(more > 0).select(
+        "doc_id", "n_bytes", F.coalesce("short", F.lit("")).alias("text"), (F.col("n_bytes") >= length).alias("whole"), F.lit(None).cast("array<binary>").alias("spans"),
+        F.explode(F.sequence(F.lit(1).cast("long"), more)).alias("i"),
+    ).drop("i")
 
     def strip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -481,7 +485,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
                 out.append(([{"begin": 0, "end": n}], b"") if whole else kept_bytes(text.encode("utf-8", "surrogatepass"), spans))
             yield pd.concat([b[["doc_id", "n_bytes"]].reset_index(drop=True), pd.DataFrame(out, columns=["spans", "kept"])], axis=1)
 
-    return marked.select("doc_id", "n_bytes", F.when(F.col("whole"), F.lit("")).otherwise(F.col("text")).alias("text"), "whole", "spans").mapInPandas(
+    return first.unionByName(others).mapInPandas(
         strip, "doc_id long, n_bytes long, spans array<struct<begin:long,end:long>>, kept binary"
     )
 

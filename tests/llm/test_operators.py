@@ -349,7 +349,7 @@ def brute_repeats(rows, length):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize(("table", "shard"), [("docs", suffixes.SHARD_PICKS), ("docs", 2), ("small", suffixes.SHARD_PICKS), ("small", 3_000)])
+@pytest.mark.parametrize(("table", "shard"), [("docs", suffixes.SHARD_PICKS), ("docs", 50), ("small", suffixes.SHARD_PICKS), ("small", 3_000)])
 def test_repeated_strings(request, monkeypatch, table, shard):
     """Small shards are divided and merged; small lots leave less to settle inside tasks."""
     if shard < suffixes.SHARD_PICKS:
