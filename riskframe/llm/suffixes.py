@@ -268,9 +268,10 @@ def byte_keys(rows: np.ndarray) -> np.ndarray:
 
 
 def repeated_picks(rows: DataFrame, segments: int, length: int, gram: int) -> DataFrame:
-    """(ref, picks, n): positions (u4) of the picks of a text that occur again; a text may have several rows.
+    """(ref, picks, at): picks of a text that occur again, as packed positions (u4) or as one position in a row.
 
-    Picks that repeat within a lot of texts are given out at once, and one row each goes on, marked as repeated.
+    Picks that repeat within a lot of texts are given out at once, packed, and one of each goes on, marked as repeated.
+    The others come singly: rows packed by text would grow with texts times ranges of digests.
     """
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -285,14 +286,14 @@ def repeated_picks(rows: DataFrame, segments: int, length: int, gram: int) -> Da
             fresh = _changes(digest[order])
             lone = fresh & np.append(fresh[1:], True)
             again = np.sort(order[~lone])
-            out = [(None, None, None, None, None, None, *x) for x in _positions(refs[index[again]], at[again])]
+            out = [(*[None] * 6, *x) for x in _positions(refs[index[again]], at[again])]
             order, many = order[fresh], ~lone[fresh]
             # In order of digest, so ranges of digests are runs of rows.
             bounds = np.searchsorted(((digest[order] >> HALF) * np.uint64(segments) >> HALF).astype(np.int64), np.arange(segments + 1))
             for s in np.flatnonzero(bounds[1:] > bounds[:-1]):
                 part = order[bounds[s] : bounds[s + 1]]
                 used, local = np.unique(index[part], return_inverse=True)
-                out.append((int(s), refs[used].tobytes(), local.astype("<u4").tobytes(), at[part].astype("<u4").tobytes(), (digest[part] & LOW).astype("<u4").tobytes(), many[bounds[s] : bounds[s + 1]].astype("u1").tobytes(), None, None, None))
+                out.append((int(s), refs[used].tobytes(), local.astype("<u4").tobytes(), at[part].astype("<u4").tobytes(), (digest[part] & LOW).astype("<u4").tobytes(), many[bounds[s] : bounds[s + 1]].astype("u1").tobytes(), None, None))
             return pd.DataFrame(out, columns=PICK_COLUMNS, dtype=object)
 
         for b in batches:
@@ -321,21 +322,22 @@ def repeated_picks(rows: DataFrame, segments: int, length: int, gram: int) -> Da
         first = np.flatnonzero(fresh)
         repeated = (np.add.reduceat(other.astype(np.int64), first) > 1) | np.logical_or.reduceat(many, first)
         use = np.flatnonzero(repeated[np.cumsum(fresh) - 1] & other & ~many)
-        return pd.DataFrame(_positions(ref[use], at[use]), columns=["ref", "picks", "n"])
+        return pd.DataFrame({"ref": ref[use], "at": at[use].astype(np.int64)})
 
     parts = stored(rows.select("ref", "text").mapInPandas(pick, PICK_SCHEMA), "suffix-parts")
     lone = parts.filter("segment is not null").select("segment", "refs", "local", "at", "low", "many").groupBy("segment")
-    return stored(lone.applyInPandas(again, "ref long, picks binary, n long").unionByName(parts.filter("segment is null").select("ref", "picks", "n")), "suffix-picks")
+    single = lone.applyInPandas(again, "ref long, at long")
+    return stored(single.unionByName(parts.filter("segment is null").select("ref", "picks"), allowMissingColumns=True), "suffix-picks")
 
 
-PICK_COLUMNS = ["segment", "refs", "local", "at", "low", "many", "ref", "picks", "n"]
-PICK_SCHEMA = "segment long, refs binary, local binary, at binary, low binary, many binary, ref long, picks binary, n long"
+PICK_COLUMNS = ["segment", "refs", "local", "at", "low", "many", "ref", "picks"]
+PICK_SCHEMA = "segment long, refs binary, local binary, at binary, low binary, many binary, ref long, picks binary"
 
 
-def _positions(ref: np.ndarray, at: np.ndarray) -> list[tuple[int, bytes, int]]:
+def _positions(ref: np.ndarray, at: np.ndarray) -> list[tuple[int, bytes]]:
     order = np.argsort(ref, kind="stable")
     ref, at = ref[order], at[order].astype("<u4")
-    return [(int(ref[a]), at[a:b].tobytes(), b - a) for a, b in _by_row(ref[:, None])]
+    return [(int(ref[a]), at[a:b].tobytes()) for a, b in _by_row(ref[:, None])]
 
 
 def around_picks(texts: DataFrame, shards: int, length: int, gram: int) -> DataFrame:
@@ -364,9 +366,9 @@ def around_picks(texts: DataFrame, shards: int, length: int, gram: int) -> DataF
             return pd.DataFrame(out, columns=CONTEXT_COLUMNS, dtype=object)  # whole numbers beside nulls stay whole
 
         for b in batches:
-            for doc, ref, text, found in zip(b["doc"], b["ref"], b["text"], b["picks"], strict=True):
+            for doc, ref, text, found, single in zip(b["doc"], b["ref"], b["text"], b["picks"], b["at"], strict=True):
                 raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-                every = np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in found])).astype(np.int64)
+                every = np.unique(np.concatenate([np.asarray(single, np.int64), *[np.frombuffer(x, "<u4") for x in found]]).astype(np.int64))
                 every = every[every + gram <= len(raw)]
                 padded = np.concatenate([np.zeros(side, np.uint8), raw, np.zeros(side + width, np.uint8)])
                 windows = np.lib.stride_tricks.sliding_window_view(padded, width)
@@ -450,8 +452,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     rows = rows.withColumn("ref", ref)
     size = rows.agg(F.sum("n_bytes")).first()[0] or 0
     picks = repeated_picks(rows, max(1, math.ceil(size / SEGMENT_BYTES)), length, gram)
-    total = picks.agg(F.sum("n")).first()[0] or 0
-    per_text = picks.groupBy("ref").agg(F.collect_list("picks").alias("picks"))
+    total = picks.agg(F.sum(F.when(F.col("at").isNotNull(), 1).otherwise(F.octet_length("picks") / 4))).first()[0] or 0
+    per_text = picks.groupBy("ref").agg(F.collect_list("picks").alias("picks"), F.collect_list("at").alias("at"))
     # How many rows share id and text; texts too short for a string are kept beside them.
     ids = stored(
         rows.groupBy("key", "ref", "doc", "doc_id").agg(
@@ -460,7 +462,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
         "suffix-ids",
     )
     firsts = stored(ids.groupBy("key", "ref").agg(F.min(F.struct("doc", "doc_id")).alias("f")).select("key", "ref", "f.doc", "f.doc_id"), "suffix-texts")
-    wanted = firsts.join(per_text, "ref").select("key", "doc", "picks")
+    wanted = firsts.join(per_text, "ref").select("key", "doc", "picks", "at")
     # Rows that repeat in id and text come once: at equal places none of them is the later one.
     texts = rows.select("key", "doc", "ref", "text").join(wanted.hint("shuffle_hash"), ["key", "doc"]).dropDuplicates(["key", "doc"])
     parts = around_picks(texts, max(1, math.ceil(total / shard_picks)), length, gram)
