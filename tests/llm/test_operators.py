@@ -6,6 +6,7 @@ import os
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -458,16 +459,97 @@ def test_common_lines():
 # --- pipeline ---------------------------------------------------------------------------------------
 
 
-def test_pipeline_against_brute_force(spark):
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    good = corpus_pipeline.good_quality(spark, docs, SMALL).select("doc_id", "text").collect()
-    marks = {(d, c) for (d, *_, c) in brute_links([(r.doc_id, r.text) for r in good], 5, 80)}
-    kept = {d for d, c in marks if d == c}
-    items = [tokens(r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
-    texts = {r.doc_id: " ".join(tokens(r.text)) for r in good}
-    leaks = {d for d in kept if any(" ".join(i) in texts[d] for i in items)}
-    out = corpus_pipeline.run(spark, SMALL)
-    ids = {r.doc_id for r in out.select("doc_id").distinct().collect()}
-    assert ids <= kept - leaks and len(ids) > 0.7 * len(kept - leaks)
-    assert out.filter(F.col("text").rlike(r"AKIA[A-Z0-9]{16}")).count() == 0
-    assert corpus_pipeline.run(spark, SMALL).agg(F.sum("taken")).first() == out.agg(F.sum("taken")).first()
+def brute_leaks(rows, items):
+    """(row, item) pairs whose best window of item size holds 0.8 of the item's shingle weight."""
+    trim = str.maketrans("", "", decontaminate.TRIM.decode())
+    words = lambda t: [w for w in (t or "").translate(trim).lower().split(" ") for w in w.split()]
+    out = set()
+    weights = []
+    for i, text in items:
+        w = words(text)
+        k = min(decontaminate.SHINGLE, len(w))
+        if w:
+            weights.append((i, len(w), k, {tuple(w[j : j + k]): sum(map(len, w[j : j + k])) for j in range(len(w) - k + 1)}))
+    for d, text in rows:
+        w = words(text)
+        runs = {k: [tuple(w[j : j + k]) for j in range(len(w) - k + 1)] for k in {x[2] for x in weights}}
+        for i, n, k, weight in weights:
+            least = 0.8 * sum(weight.values()) - 1e-6
+            held = [(j, s) for j, s in enumerate(runs[k]) if s in weight]
+            if sum(weight[s] for s in {s for _, s in held}) < least:
+                continue
+            width = min(n, len(w)) - k + 1
+            if any(sum(weight[s] for s in {s for j, s in held if a <= j < a + width}) >= least for a, _ in held):
+                out.add((d, i))
+    return out
+
+
+def brute_redacted(text):
+    spans = []
+    for rank, rule in enumerate(secrets.RULES):
+        spans += [(m.start(), rank, m.end()) for m in re.finditer(rule.pattern, text or "") if len(m.group(rule.group)) >= rule.least]
+    at, parts = 0, []
+    for start, _, end in sorted(spans):
+        if start >= at:
+            parts += [text[at:start], secrets.MARK]
+        at = max(at, end)
+    return "".join([*parts, text[at:]]) if spans else text
+
+
+def brute_targets(sizes):
+    """Words of each source in the mix: all of them share by weight, none above twice its size."""
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
+    left, target, free = Fraction(3, 2) * sum(sizes.values()), {}, set(sizes)
+    while free:
+        rate = left / sum(weight[s] for s in free)
+        full = {s for s in free if rate * weight[s] > 2 * sizes[s]}
+        if not full:
+            return target | {s: rate * weight[s] for s in free}
+        target |= {s: Fraction(2 * sizes[s]) for s in full}
+        left, free = left - sum(target[s] for s in full), free - full
+    return target
+
+
+def brute_mix(rows):
+    """(doc_id, epoch, taken, text) of (doc_id, text, source) rows."""
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    by_source = {}
+    for d, text, source in rows:
+        by_source.setdefault(source, []).append((md5(f"{d}:{md5('~' if text is None else text)}:{mixing.SEED}"), d, text, len(tokens(text))))
+    targets = brute_targets({s: sum(x[3] for x in held) for s, held in by_source.items()})
+    out = []
+    for source, held in by_source.items():
+        left, epoch = math.floor(targets[source] + Fraction(1, 10**9)), 0
+        while left and any(x[3] for x in held):
+            for _, d, text, size in sorted(held):
+                if (taken := min(size, left)) > 0:
+                    out.append((d, epoch, taken, text))
+                    left -= taken
+            epoch += 1
+    return sorted(out)
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Every row of the mix, with its text: nothing else may be lost, kept or changed."""
+    given, labels, benchmark = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels", "benchmark"))
+    with_key = F.concat("text", F.lit(" api_key = 'abcdef12345' and more"))
+    given.withColumn("text", F.when(F.col("doc_id") % 3 == 0, with_key).otherwise(F.col("text"))).withColumn(
+        "source", F.when(F.col("doc_id") % 17 != 0, F.col("source"))
+    ).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    good = {r.doc_id for r in quality.score_documents(docs, labels).filter("score >= 0.3").select("doc_id").collect()}
+    rows = {r.doc_id: r for r in docs.collect() if r.doc_id in good}
+    assert 0 < len(rows) < docs.count()
+    one = {d for d, *_, low in brute_links([(d, r.text) for d, r in rows.items()], 5, 80) if d == low or not tokens(rows[d].text)}
+    items = [(r.item_id, r.text) for r in benchmark.collect()]
+    leaks = {d for d, _ in brute_leaks([(d, rows[d].text) for d in one], items)}
+    assert len(one) < len(rows) and leaks
+    clean = {d: brute_redacted(rows[d].text) for d in one - leaks}
+    assert any(clean[d] != rows[d].text for d in clean)
+    want = brute_mix([(d, t, rows[d].source) for d, t in clean.items()])
+    for _ in range(2):
+        out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+        assert sorted((r.doc_id, r.epoch, r.taken, r.text) for r in out) == want
+        assert all(r.n_chars == (len(r.text) if clean[r.doc_id] != rows[r.doc_id].text else rows[r.doc_id].n_chars) for r in out)
