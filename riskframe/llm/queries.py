@@ -18,7 +18,10 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secrets.scan(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    # Every row is in one of two deliveries; the second is scanned over the ledger of the first.
+    delivery = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    found, _ = secrets.scan_history([docs.filter(delivery == i) for i in range(2)])
     return secrets.digest_columns(found)
 
 

@@ -8,6 +8,7 @@ scanned, each once however many paths and versions carry the blob; findings are
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -131,6 +132,18 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
     return found_in(docs, ledger, ["doc_id"], rule_version=rule_version), ledger
 
 
+def scan_history(deliveries: list[DataFrame], ledger: DataFrame | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, blob, findings) of every row of all deliveries, in turn over one ledger, and the ledger after the last.
+
+    A blob that an earlier delivery, or the given ledger, holds for this rule version is not scanned again.
+    """
+    found = []
+    for docs in deliveries:
+        rows, ledger = scan(docs, ledger, **options)
+        found.append(rows)
+    return reduce(DataFrame.unionByName, found), ledger
+
+
 def joined(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))

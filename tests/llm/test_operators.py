@@ -120,6 +120,17 @@ def test_secrets_of_edge_rows(docs, none):
     assert secrets.scan_unseen(docs, ledger, ["doc_id"], rule_version="next").count() == ledger.count()
 
 
+def test_deliveries_over_one_ledger(docs, none):
+    """Blobs of earlier deliveries are not scanned again; findings are those of one scan."""
+    first, second = docs.filter("doc_id <= 6"), docs.filter("doc_id > 6 or doc_id is null or doc_id in (1, 10)")
+    found, ledger = secrets.scan_history([first, second, none, first])
+    once, _ = secrets.scan(first.unionByName(second).unionByName(first))
+    rows = lambda x: Counter(map(tuple, secrets.digest_columns(x).collect()))
+    assert rows(found) == rows(once)
+    assert ledger.count() == ledger.select("blob").distinct().count() == len({r[1] or "" for r in ROWS})
+    assert secrets.scan_history([first], ledger)[1].count() == ledger.count()
+
+
 def test_redaction_keeps_rows_and_columns(docs):
     out = secrets.redact(docs)
     assert out.columns == docs.columns and out.count() == len(ROWS)
