@@ -56,6 +56,7 @@ parsed AS (
 )"""
 add("parse_payload", "SELECT * FROM parsed", PARSED_SQL, t="timestamp", i="timestamp_ms execution_time_ms",
     s="databricks_request_id Id model_name", d="prediction")
+add("payload_read_back", "SELECT * FROM credit", CREDIT_SQL, s="Id", d=FEATURES)
 add("parse_payload_multi", """
     SELECT date_trunc('second', make_timestamp(epoch_us(ts) // 1000 * 1000)) AS "timestamp",
            epoch_us(ts) // 1000 AS timestamp_ms, concat('req-', CAST(event_id AS VARCHAR)) AS databricks_request_id,

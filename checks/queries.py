@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 
 from checks.views import credit, credit_raw, part, payload, table
 from riskframe.operators import balance, clean, features, metrics, models, monitor, ordered, profile, scale, split, synth
-from riskframe.operators.payload import parse_payload, payload_json, quarantine
+from riskframe.operators.payload import parse_bodies, parse_payload, payload_json, quarantine
 from riskframe.operators.projections import near_by_projections
 from riskframe.plans import compare, ingest, prepare, refresh
-from riskframe.schemas import REQUEST_ID, feature_table_schema, log_schema
+from riskframe.schemas import RECORDS, REQUEST_ID, feature_table_schema, log_schema
 from riskframe.session import scratch_path
 from riskframe.sources import scan, tables
 from riskframe.spec import CREDIT, FEATURES, RAW_TARGET, ROBUST
@@ -175,6 +175,13 @@ def _(spark, d):
     return payload_json(credit(spark, d))
 
 
+@register("payload_read_back")
+def _(spark, d):
+    """The records of the request bodies, as the log parser reads them."""
+    log = payload_json(credit(spark, d)).select("request", F.lit(None).cast("string").alias("response"))
+    return parse_bodies(log).select(F.inline(f"request_body.{RECORDS}"))
+
+
 # --- scanning, cleaning, gates ------------------------------------------------------------------
 
 
