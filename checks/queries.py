@@ -371,9 +371,12 @@ def _(spark, d):
 
 @register("feature_insert")
 def _(spark, d):
-    """Only keys of the train and test tables were loaded; the source has others, too."""
+    """Every new row of the source was loaded, into train or test."""
     source, train, test = loaded(spark, d)
-    return ingest.feature_rows(source, part(source, "train"), part(source, "test"), features.high_water_mark(train, test))
+    batch = ingest.incoming(source, train, test)
+    of = {p: batch.filter(F.col("split") == p).drop("split") for p in ("train", "test")}
+    mark = features.high_water_mark(train, test)
+    return ingest.feature_rows(source, train.unionByName(of["train"]), test.unionByName(of["test"]), mark)
 
 
 @register("insert_delta")

@@ -3,12 +3,14 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import QUERIES, loaded
 from checks.views import part
 from riskframe.operators import features
 from riskframe.plans import ingest, prepare
 from riskframe.schemas import feature_table_schema
 from riskframe.sources import scan, tables
 from riskframe.spec import CREDIT
+from tests.conftest import SMALL
 
 
 def test_append_and_insert_match_by_name(spark):
@@ -104,6 +106,14 @@ def test_semi_join_equals_inner_join_form(credit_rows):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+def test_features_of_every_new_row(spark):
+    source, train, test = loaded(spark, SMALL)
+    got = QUERIES["feature_insert"](spark, SMALL)
+    want = features.new_rows(source, train, test).select("Id")
+    assert got.select("Id").exceptAll(want).isEmpty() and want.exceptAll(got.select("Id")).isEmpty()
+    assert {r[0][-1] for r in got.select("Id").collect()} >= {"7", "8", "9"}
+
+
 def test_change_feed_with_nulls_and_upsert(spark):
     old = spark.createDataFrame([("1", 1.0), ("2", None), ("3", 3.0), ("4", None)], "Id string, x double")
     new = spark.createDataFrame([("1", 1.0), ("2", None), ("4", 4.0), ("5", None)], "Id string, x double")
