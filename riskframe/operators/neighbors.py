@@ -1,16 +1,16 @@
-"""Exact k nearest neighbours without comparing all pairs.
+"""Exact k nearest neighbours, block against block.
 
-Equal vectors are collapsed first. A bounded sample of vectors serves as pivots; every vector belongs
-to the cell of its nearest pivot. Searching a block of the own cell gives each vector an upper bound on
-its k-th distance; it then visits only those cells that the triangle inequality cannot rule out. Crowded
-cells are cut into blocks and crowds of visitors into chunks, so the work of one task is limited.
-Distances add up squared differences column by column; ties go to the smaller key.
+Equal vectors are collapsed first. A bounded sample of vectors serves as pivots; vectors of the same pivot stand together in
+blocks of bounded size, packed as one row each, with their centre and radius. Searching the own block gives each vector an
+upper bound on its k-th distance. Then groups of blocks meet each other, one task a pair of groups: a vector visits only
+blocks whose ball reaches into its bound, matrix products leave out what is surely beyond it, and the bound shrinks on the
+way. What is left is measured exactly: distances add up squared differences column by column; ties go to the smaller key.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,10 +22,12 @@ from riskframe.operators.skew import salted_join
 from riskframe.session import cut_lineage
 from riskframe.spec import CREDIT, SEED, SMOTE_NEIGHBOURS
 
-MAX_PIVOTS = 32_768
-BLOCK = 4_096
-CHUNK = 16_384
-SLACK = 1e-9
+MAX_PIVOTS = 4_096
+BLOCK = 2_048
+CHUNK = 65_536
+#: Blocks, and groups of blocks, that a table is cut into if it has so many rows.
+PARTS = 12
+PACKED = "block long, names array<string>, copies binary, vecs binary, limits binary, centre binary, radius double"
 
 
 def distinct_vectors(df: DataFrame, columns: Sequence[str], key: str, k: int) -> DataFrame:
@@ -40,13 +42,11 @@ def distinct_vectors(df: DataFrame, columns: Sequence[str], key: str, k: int) ->
     return few.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
 
 
-def pick_pivots(vectors: DataFrame, seed: int, at_most: int = MAX_PIVOTS) -> np.ndarray:
-    """About sqrt(rows) vectors, at most ``at_most``: those with the smallest digests.
+def pick_pivots(vectors: DataFrame, n: int, wanted: int, seed: int) -> np.ndarray:
+    """The ``wanted`` vectors of ``n`` with the smallest digests.
 
     Only about twice as many pass the filter, so the ordering is over a few rows however many tasks there are.
     """
-    n = vectors.count()
-    wanted = min(at_most, max(1, math.isqrt(n)))
     drawn = vectors.select("vec", digest(F.element_at("ids", 1), "pivot", seed).alias("draw"))
     if n > 4 * wanted + 64:
         drawn = drawn.filter(prefix_share(F.col("draw"), (2 * wanted + 32) / n))
@@ -54,183 +54,166 @@ def pick_pivots(vectors: DataFrame, seed: int, at_most: int = MAX_PIVOTS) -> np.
     return np.array([r["vec"] for r in rows], dtype="float64")
 
 
+def pieces(n: int, size: int = 1_024) -> Iterator[slice]:
+    return (slice(i, i + size) for i in range(0, n, size))
+
+
+def products(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances of rows of x and y by a matrix product, and how far each row of them may be off."""
+    a, b = np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", y, y)
+    out = x @ y.T
+    out *= -2
+    out += a[:, None]
+    out += b[None, :]
+    return out, 4 * (x.shape[1] + 8) * np.finfo("float64").eps * (a + b.max())
+
+
+def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distances row by row, added up column by column."""
+    out = np.zeros(len(x))
+    for j in range(x.shape[1]):
+        out += (x[:, j] - y[:, j]) ** 2
+    return out
+
+
+def bounds(x: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
+    """Upper bounds on the squared distance of the (k + 1)-th row of y from the rows of x."""
+    out = np.full(len(x), np.inf)
+    if len(y) > k:
+        for s in pieces(len(x)):
+            d, off = products(x[s], y)
+            out[s] = np.partition(d, k, axis=1)[:, k] + off
+    return out
+
+
+class Best:
+    """The k + 1 smallest (distance, place of the key) of every row of a block, and the bound they set."""
+
+    def __init__(self, limits: np.ndarray, k: int):
+        self.limits, self.k = limits.copy(), k
+        self.d2 = np.full((len(limits), k + 1), np.inf)
+        self.place = np.full((len(limits), k + 1), np.iinfo("int64").max)
+
+    def add(self, row: np.ndarray, d2: np.ndarray, place: np.ndarray) -> None:
+        known = np.unique(row)
+        row = np.concatenate([row, np.repeat(known, self.k + 1)])
+        d2, place = np.concatenate([d2, self.d2[known].ravel()]), np.concatenate([place, self.place[known].ravel()])
+        order = np.lexsort((place, d2, row))
+        row = row[order]
+        at = np.arange(len(row)) - np.searchsorted(row, row)
+        first = at <= self.k
+        self.d2[row[first], at[first]], self.place[row[first], at[first]] = d2[order[first]], place[order[first]]
+        self.limits[known] = np.minimum(self.limits[known], self.d2[known, self.k])
+
+
+def meet(best: Best, x: np.ndarray, y: np.ndarray, copies: np.ndarray, places: np.ndarray, centre: np.ndarray, radius: float) -> int:
+    """Bring the keys of one block of vectors y into the best of x; returns how many pairs were measured exactly."""
+    away, off = products(x, centre[None, :])
+    reach = radius + np.sqrt(best.limits)
+    near = np.flatnonzero(~(away[:, 0] - off > reach**2 * (1 + 1e-9)))
+    starts, measured = np.cumsum(copies) - copies, 0
+    for s in pieces(len(near)):
+        at = near[s]
+        d, off = products(x[at], y)
+        limits = best.limits[at]
+        if len(y) > best.k and not (known := np.isfinite(limits)).all():
+            limits = np.where(known, limits, np.inf)
+            limits[~known] = np.partition(d[~known], best.k, axis=1)[:, best.k] + off[~known]
+        row, col = np.nonzero(~(d > (limits + off)[:, None]))
+        exact = squared(x[at[row]], y[col])
+        measured += len(row)
+        use = exact <= best.limits[at[row]]
+        row, col, exact = at[row[use]], col[use], exact[use]
+        if len(row):
+            times = copies[col]
+            step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            best.add(np.repeat(row, times), np.repeat(exact, times), places[np.repeat(starts[col], times) + step])
+    return measured
+
+
 def nearest(df: DataFrame, columns: Sequence[str], key: str = CREDIT.key, k: int = SMOTE_NEIGHBOURS,
             seed: int = SEED, max_pivots: int = MAX_PIVOTS, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
     """(key, rank, neighbour, distance) for the k nearest other rows of every row; keys are unique."""
     columns = list(columns)
+    width = len(columns)
     # Read several times below; the checkpoint also survives lost executors.
-    vectors = cut_lineage(distinct_vectors(df, columns, key, k))
-    pivots = pick_pivots(vectors, seed, max_pivots)
+    vectors = cut_lineage(distinct_vectors(df, columns, key, k).select("vec", F.col("ids").cast("array<string>").alias("ids")))
+    n, held_keys = vectors.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()
+    if held_keys <= k:
+        raise ValueError(f"{held_keys} rows are too few for {k} neighbours")
+    size = min(block, max(256, math.ceil(n / PARTS)))
+    pivots = pick_pivots(vectors, n, max(1, min(max_pivots, n // size)), seed)
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(pivots)  # at most MAX_PIVOTS vectors
 
-    def to_pivots(x):
-        """Distances from the rows of x to all pivots."""
-        p = shared.value
-        out = np.zeros((len(x), len(p)))
-        for j in range(p.shape[1]):
-            out += (x[:, j, None] - p[None, :, j]) ** 2
-        return np.sqrt(out)
-
-    def pieces(x, size=256):
-        return (slice(i, i + size) for i in range(0, len(x), size))
-
-    def squared(x, y):
-        out = np.zeros((len(x), len(y)))
-        for j in range(x.shape[1]):
-            out += (x[:, j, None] - y[None, :, j]) ** 2
-        return out
-
     def assign(frames):
         for pdf in frames:
-            if not len(pdf):
-                continue
-            x = np.stack(pdf["vec"].to_numpy())
-            cell, reach = np.empty(len(x), "int32"), np.empty(len(x))
-            for s in pieces(x):
-                d = to_pivots(x[s])
-                cell[s] = d.argmin(axis=1)
-                reach[s] = d.min(axis=1)
-            yield pdf.assign(cell=cell, reach=reach)
-
-    placed_schema = "vec array<double>, ids array<string>, cell int, reach double"
-    placed = cut_lineage(vectors.select("vec", F.col("ids").cast("array<string>").alias("ids"))
-                         .mapInPandas(assign, placed_schema))
-
-    # One row per pivot.
-    stats = placed.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.size("ids")).alias("keys"),
-        F.min("reach").alias("near"), F.max("reach").alias("far"),
-    ).collect()
-    held, keys = np.zeros(len(pivots), "int64"), np.zeros(len(pivots), "int64")
-    near, far = np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf)
-    for r in stats:
-        held[r["cell"]], keys[r["cell"]], near[r["cell"]], far[r["cell"]] = r["n"], r["keys"], r["near"], r["far"]
-    blocks = np.maximum(1, -(-held // block))
-    if keys.sum() <= k:
-        raise ValueError(f"{int(keys.sum())} rows are too few for {k} neighbours")
-
-    layout = spark.sparkContext.broadcast({"keys": keys, "near": near, "far": far, "blocks": blocks})
+            if len(pdf):
+                x = np.stack(pdf["vec"].to_numpy())
+                yield pdf.assign(cell=np.concatenate([products(x[s], shared.value)[0].argmin(axis=1) for s in pieces(len(x))]))
+
+    placed_schema = "vec array<double>, ids array<string>, cell int"
+    placed = cut_lineage(vectors.mapInPandas(assign, placed_schema))
+
+    # One row per pivot. A crowded cell is cut into several blocks.
+    blocks = np.zeros(len(pivots), "int64")
+    for r in placed.groupBy("cell").count().collect():
+        blocks[r["cell"]] = -(-r["count"] // size)
+    layout = spark.sparkContext.broadcast((blocks, np.cumsum(blocks) - blocks))
+    total = int(blocks.sum())
+    groups = max(min(total, PARTS), math.ceil(total * size / chunk))
 
     def number(frames):
         """Put every vector into a block of its cell."""
+        count, first = layout.value
         for pdf in frames:
             if len(pdf):
                 spread = pd.util.hash_array(pdf["ids"].str[0].to_numpy(dtype=object)) >> np.uint64(8)
-                count = layout.value["blocks"][pdf["cell"].to_numpy()]
-                yield pdf.assign(block=(spread % count.astype("uint64")).astype("int32"))
-
-    numbered = placed.mapInPandas(number, placed_schema + ", block int")
+                cell = pdf["cell"].to_numpy()
+                yield pdf[["vec", "ids"]].assign(block=first[cell] + (spread % count[cell].astype("uint64")).astype("int64"))
 
-    def bound(pdf):
-        """Upper bound on the squared k-th distance, from the vector's own block."""
+    def pack(pdf):
         x = np.stack(pdf["vec"].to_numpy())
-        copies = pdf["ids"].str.len().to_numpy()
-        limit = np.full(len(x), np.inf)
-        if copies.sum() > k:
-            for s in pieces(x):
-                d = squared(x[s], x)
-                order = np.argsort(d, axis=1, kind="stable")[:, : k + 1]
-                enough = (np.cumsum(copies[order], axis=1) > k).argmax(axis=1)
-                full = np.cumsum(copies[order], axis=1)[:, -1] > k
-                rows = np.arange(len(d))
-                limit[s] = np.where(full, d[rows, order[rows, enough]], np.inf)
-        return pdf.assign(limit=limit)
-
-    bounded = numbered.groupBy("cell", "block").applyInPandas(bound, placed_schema + ", block int, limit double")
-
-    def route(frames):
-        """One row per vector and cell that may hold one of its neighbours."""
-        p, at = shared.value, layout.value
-        for pdf in frames:
-            if not len(pdf):
-                continue
-            x = np.stack(pdf["vec"].to_numpy())
-            own = pdf["cell"].to_numpy()
-            for s in pieces(x):
-                d = to_pivots(x[s])
-                # Cells taken in the order of their farthest point until k other keys are covered.
-                worst = d + at["far"][None, :]
-                worst[:, at["keys"] == 0] = np.inf
-                order = np.argsort(worst, axis=1)
-                covered = np.cumsum(at["keys"][order], axis=1) > k
-                rows = np.arange(len(d))
-                reach = worst[rows, order[rows, covered.argmax(axis=1)]]
-                reach = np.minimum(reach, np.sqrt(pdf["limit"].to_numpy()[s])) * (1 + SLACK)
-                gaps = to_pivots(p[own[s]])
-                mine = d[rows, own[s]]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    plane = np.where(gaps > 0, (d**2 - mine[:, None] ** 2) / (2 * gaps), 0.0)
-                least = np.maximum(plane, np.maximum(d - at["far"][None, :], at["near"][None, :] - d))
-                scale = SLACK * (1 + d)
-                visit = (least - scale <= reach[:, None]) & (at["keys"] > 0)[None, :]
-                who, where = np.nonzero(visit)
-                part = pdf.iloc[s]
-                yield pd.DataFrame({
-                    "qid": part["ids"].str[0].to_numpy()[who],
-                    "qvec": part["vec"].to_numpy()[who],
-                    "limit": (reach[who] ** 2) * (1 + SLACK),
-                    "cell": where.astype("int32"),
-                })
-
-    visit_schema = "qid string, qvec array<double>, limit double, cell int"
-    visits = cut_lineage(bounded.mapInPandas(route, visit_schema))
-
-    # One row per pivot.
-    crowd = np.zeros(len(pivots), "int64")
-    for r in visits.groupBy("cell").count().collect():
-        crowd[r["cell"]] = r["count"]
-    chunks = np.maximum(1, -(-crowd // chunk))
-    grid = spark.sparkContext.broadcast({"blocks": blocks, "chunks": chunks})
-
-    def repeat(pdf, times):
-        copy = np.repeat(np.arange(len(pdf)), times)
-        step = np.arange(len(copy)) - np.repeat(np.cumsum(times) - times, times)
-        return pdf.iloc[copy], step.astype("int32")
-
-    def over_blocks(frames):
-        for pdf in frames:
-            if len(pdf):
-                spread = pd.util.hash_array(pdf["qid"].to_numpy(dtype=object)) >> np.uint64(8)
-                count = grid.value["chunks"][pdf["cell"].to_numpy()].astype("uint64")
-                pdf = pdf.assign(chunk=(spread % count).astype("int32"))
-                out, step = repeat(pdf, grid.value["blocks"][pdf["cell"].to_numpy()])
-                yield out.assign(block=step)
-
-    def over_chunks(frames):
-        for pdf in frames:
-            if len(pdf):
-                out, step = repeat(pdf, grid.value["chunks"][pdf["cell"].to_numpy()])
-                yield out.assign(chunk=step)
-
-    def search(visitors, held_here):
-        """The k + 1 best keys for every visitor among the vectors of one block, its own copies included."""
+        centre = x.mean(axis=0)
+        copies = pdf["ids"].str.len().to_numpy(dtype="int64")
+        radius = float(np.sqrt(squared(x, np.broadcast_to(centre, x.shape)).max()) * (1 + 1e-9))
+        return pd.DataFrame({
+            "block": [pdf["block"].iloc[0]], "names": [np.concatenate(pdf["ids"].to_numpy())], "copies": [copies.tobytes()],
+            "vecs": [x.tobytes()], "limits": [bounds(x, x, k).tobytes()], "centre": [centre.tobytes()], "radius": [radius],
+        })
+
+    packed = cut_lineage(placed.mapInPandas(number, "vec array<double>, ids array<string>, block long").groupBy("block").applyInPandas(pack, PACKED))
+
+    def search(asks, answers):
+        """The k + 1 best keys for every vector of some blocks among the vectors of other blocks, its own copies included."""
         parts = [pd.DataFrame({"qid": [], "nid": [], "d2": []}, dtype="object")]
-        if len(visitors) and len(held_here):
-            y = np.stack(held_here["vec"].to_numpy())
-            q = np.stack(visitors["qvec"].to_numpy())
-            ids, copies = held_here["ids"].to_numpy(), held_here["ids"].str.len().to_numpy()
-            names, limits = visitors["qid"].to_numpy(), visitors["limit"].to_numpy()
-            for s in pieces(q):
-                d = squared(q[s], y)
-                row, col = np.nonzero(d <= limits[s][:, None])
-                if not len(row):
-                    continue
-                close = pd.DataFrame({
-                    "row": np.repeat(row, copies[col]),
-                    "d2": np.repeat(d[row, col], copies[col]),
-                    "nid": np.concatenate(ids[col]),
-                }).sort_values(["row", "d2", "nid"])
-                close = close[close.groupby("row").cumcount() <= k]
-                parts.append(close.assign(qid=names[s][close["row"].to_numpy()])[["qid", "nid", "d2"]])
-        return pd.concat(parts[1:] or parts, ignore_index=True)
-
-    left = visits.mapInPandas(over_blocks, visit_schema + ", chunk int, block int")
-    right = numbered.mapInPandas(over_chunks, placed_schema + ", block int, chunk int")
-    place = ["cell", "block", "chunk"]
-    found = left.groupBy(*place).cogroup(right.groupBy(*place)).applyInPandas(
-        search, "qid string, nid string, d2 double"
-    )
+        if not len(asks) or not len(answers):
+            return parts[0]
+        names = np.concatenate([np.asarray(x, dtype=object) for x in answers["names"]])
+        order = np.argsort(names)
+        names, places = names[order], np.argsort(order)
+        held, done = [], 0
+        for a in answers.itertuples():
+            held.append((np.frombuffer(a.vecs).reshape(-1, width), np.frombuffer(a.copies, "int64"), places[done : done + len(a.names)], np.frombuffer(a.centre), a.radius))
+            done += len(a.names)
+        centres = np.array([h[3] for h in held])
+        for q in asks.itertuples():
+            x = np.frombuffer(q.vecs).reshape(-1, width)
+            copies = np.frombuffer(q.copies, "int64")
+            best = Best(np.frombuffer(q.limits), k)
+            for i in products(np.frombuffer(q.centre)[None, :], centres)[0][0].argsort():
+                meet(best, x, *held[i])
+            row, at = np.nonzero(np.isfinite(best.d2))
+            own = np.asarray(q.names, dtype=object)[np.cumsum(copies) - copies]
+            parts.append(pd.DataFrame({"qid": own[row], "nid": names[best.place[row, at]], "d2": best.d2[row, at]}))
+        return pd.concat(parts[1:], ignore_index=True)
+
+    other = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    own_group = (F.col("block") % groups).cast("int")
+    asks = packed.select(own_group.alias("asking"), other.alias("asked"), "names", "copies", "vecs", "limits", "centre")
+    answers = packed.select(other.alias("asking"), own_group.alias("asked"), "names", "copies", "vecs", "centre", "radius")
+    place = ["asking", "asked"]
+    found = asks.groupBy(*place).cogroup(answers.groupBy(*place)).applyInPandas(search, "qid string, nid string, d2 double")
     best = Window.partitionBy("qid").orderBy("d2", "nid")
     top = found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
 

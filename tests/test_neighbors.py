@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.balance import smote_balance
 from riskframe.operators.projections import near_by_projections
-from riskframe.operators.neighbors import nearest
+from riskframe.operators.neighbors import Best, bounds, meet, nearest
 from riskframe.spec import FEATURES
 
 
@@ -60,6 +60,20 @@ def test_ties_go_to_the_smaller_key(spark):
     same(grid, ["x", "y"], k=4)
 
 
+def test_few_pairs_are_measured():
+    """On independent columns no block can be left out, but few pairs need more than the matrix product."""
+    x, k = np.random.default_rng(3).normal(size=(4000, 64)), 5
+    best, measured = Best(bounds(x[:500], x[:500], k), k), 0
+    for i in range(0, 4000, 500):
+        y = x[i : i + 500]
+        centre = y.mean(axis=0)
+        radius = np.sqrt(((y - centre) ** 2).sum(axis=1).max())
+        measured += meet(best, x[:500], y, np.ones(500, int), np.arange(i, i + 500), centre, radius)
+    d = sum((x[:500, j, None] - x[None, :, j]) ** 2 for j in range(64))
+    assert (best.d2 == np.sort(d, axis=1)[:, : k + 1]).all() and (best.place == np.argsort(d, axis=1)[:, : k + 1]).all()
+    assert measured < 0.02 * d.size
+
+
 def test_few_rows(spark):
     same(cloud(spark, 6), ["x", "y", "z"])
     with pytest.raises(ValueError, match="too few"):
