@@ -1,11 +1,11 @@
 """HTML extraction by nearest-URL page differencing.
 
-Pages are cut into text blocks inside tasks. What the markup names outright is settled there: text of menus, headers,
-footers, asides, forms, adverts, notices, comments, scripts and styles goes; text of an article (or, without one, of
-the main element) stays, and then nothing else of the page does. Blocks of pages without such an element are open. They
-are decided by comparison: pages stand by URL path within each host, copies counting once, and each page's lines are
-aligned with those of the pages before and after it by longest common subsequence; open lines that the two share are
-deleted, unless the pages are copies of each other in nearly all their open text.
+Pages are cut into text blocks inside tasks, those of menus, headers, footers and adverts too. Pages stand by URL path within
+each host, copies counting once, and the lines of every page are aligned with those of the pages before and after it by
+longest common subsequence: what two pages share is their frame and goes, what differs stays, unless the pages are copies of
+each other in nearly all their text. A check by markup follows: text that differs from page to page but stands in an element
+that names it as no article goes, and text of an article (or, without one, of the main element) that neighbours repeat
+comes back. Pages without such an element are left as the differences have them.
 """
 
 from __future__ import annotations
@@ -81,7 +81,7 @@ def _element_kind(tag: str, attributes: str, outer: int) -> int:
 
 
 def blocks_of(html: str | None) -> list[tuple[int, str]]:
-    """(kind, text) of every block that is no noise, in page order; white space is one space, references are decoded."""
+    """(kind, text) of every block, in page order; white space is one space, references are decoded."""
     out: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = []
     kind, pieces, at = OPEN, [], 0
@@ -89,7 +89,7 @@ def blocks_of(html: str | None) -> list[tuple[int, str]]:
 
     def close() -> None:
         if pieces:
-            if kind != NOISE and (text := " ".join(unescape("".join(pieces)).split())):
+            if text := " ".join(unescape("".join(pieces)).split()):
                 out.append((kind, text))
             pieces.clear()
 
@@ -128,8 +128,15 @@ def blocks_of(html: str | None) -> list[tuple[int, str]]:
     if at < len(html):
         pieces.append(html[at:])
     close()
-    best = next((k for k in (ARTICLE, MAIN) if any(x == k for x, _ in out)), OPEN)
-    return [x for x in out if x[0] == best or (best == MAIN and x[0] == ARTICLE)]
+    return out
+
+
+def checked(kinds: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Which lines stay: those of the article, or else of the main element; or else the open ones that are not shared."""
+    for best in (ARTICLE, MAIN):
+        if (kinds == best).any():
+            return kinds == best
+    return (kinds == OPEN) & ~shared
 
 
 def common_lines(a: np.ndarray, b: np.ndarray, most: int = 20_000_000) -> np.ndarray:
@@ -167,7 +174,7 @@ def _lengths(a: np.ndarray, b: np.ndarray, keep: bool = False) -> list[np.ndarra
 
 
 def deleted(lines: np.ndarray, sizes: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """Open lines shared with a neighbouring page that is no copy."""
+    """Lines shared with a neighbouring page that is no copy; ``sizes`` are those of the text that may stay."""
     gone = np.zeros(len(lines), bool)
     for other in others:
         shared = common_lines(lines, other)
@@ -177,12 +184,12 @@ def deleted(lines: np.ndarray, sizes: np.ndarray, others: list[np.ndarray]) -> n
 
 
 def neighbours(pages: DataFrame) -> DataFrame:
-    """(host, content, before, after): line digests of the pages next to each distinct page of a host, by path.
+    """(host, content, lines, sizes, before, after): line digests of each distinct page of a host and of those next to it, by path.
 
     Pages are sorted by ranges; the first and last page of a range look into the ranges beside them. So a host's
     pages may fill many ranges.
     """
-    classes = pages.groupBy("host", "content").agg(F.min(F.struct("path", "page_id")).alias("place"), F.first("lines").alias("lines"))
+    classes = pages.groupBy("host", "content").agg(F.min(F.struct("path", "page_id")).alias("place"), F.first("lines").alias("lines"), F.first("sizes").alias("sizes"))
     ordered = stored(
         classes.repartitionByRange("host", "place", "content").sortWithinPartitions("host", "place", "content")
         .withColumn("part", F.spark_partition_id()).withColumn("seq", F.monotonically_increasing_id()),
@@ -197,21 +204,24 @@ def neighbours(pages: DataFrame) -> DataFrame:
     rows = ordered.select("*", F.lag(page).over(inside).alias("p"), F.lead(page).over(inside).alias("n")).join(ends, "part")
     own = lambda c: F.when(c["host"].eqNullSafe(F.col("host")), c["lines"])
     before, after = F.coalesce("p", "last_before"), F.coalesce("n", "first_after")
-    return rows.select("host", "content", own(before).alias("before"), own(after).alias("after"))
+    return rows.select("host", "content", "lines", "sizes", own(before).alias("before"), own(after).alias("after"))
 
 
-def parsed(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, path, content (digest of the lines), open, blocks, lines of every page."""
+def parsed(pages: DataFrame, texts: bool) -> DataFrame:
+    """page_id, url, host, path, content (digest of lines and kinds) of every page, and its blocks: kinds and texts, or line
+    digests and the sizes of those that no markup names as noise."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [blocks_of(h) for h in b["html"]]
             lines = [[xxh64_intdigest(t) - 2**63 for _, t in x] for x in found]
-            yield pd.DataFrame({
-                "page_id": b["page_id"], "url": b["url"], "host": b["host"], "path": b["path"],
-                "content": [xxh3_128_hexdigest(np.array(x, np.int64).tobytes()) for x in lines],
-                "open": [bool(x) and x[0][0] == OPEN for x in found], "blocks": [[t for _, t in x] for x in found], "lines": lines,
-            })
+            kinds = [[k for k, _ in x] for x in found]
+            content = [xxh3_128_hexdigest(np.array([*x, *k], np.int64).tobytes()) for x, k in zip(lines, kinds, strict=True)]
+            rows = pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "host": b["host"], "path": b["path"], "content": content})
+            if texts:
+                yield rows.assign(kinds=kinds, blocks=[[t for _, t in x] for x in found])
+            else:
+                yield rows.assign(lines=lines, sizes=[[0 if k == NOISE else len(t) for k, t in x] for x in found])
 
     url = F.coalesce("url", F.lit(""))
     rows = pages.select(
@@ -219,32 +229,40 @@ def parsed(pages: DataFrame) -> DataFrame:
         F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)).alias("host"),
         F.regexp_replace(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*", "").alias("path"), "html",
     )
-    return stored(
-        rows.mapInPandas(run, "page_id long, url string, host string, path string, content string, open boolean, blocks array<string>, lines array<long>"),
-        "page-blocks",
-    )
+    more = "kinds array<int>, blocks array<string>" if texts else "lines array<long>, sizes array<int>"
+    return rows.mapInPandas(run, f"page_id long, url string, host string, path string, content string, {more}")
+
+
+def differences(pages: DataFrame) -> DataFrame:
+    """(host, content, shared): which lines of each distinct page a page next to it has, too."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            shared = [
+                deleted(np.asarray(lines), np.asarray(sizes), [np.asarray(o) for o in others if o is not None])
+                for lines, sizes, *others in zip(b["lines"], b["sizes"], b["before"], b["after"], strict=True)
+            ]
+            yield b[["host", "content"]].assign(shared=shared)
+
+    return neighbours(stored(parsed(pages, texts=False), "page-lines")).mapInPandas(run, "host string, content string, shared array<boolean>")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
     Null or empty html: empty text. Null url: a host of its own without a name. Repeated rows and copies get equal
-    texts and count once as neighbours. An empty table gives an empty result; other columns are ignored.
+    texts and count once as neighbours. An empty table gives an empty result; other columns are ignored. Texts are parsed
+    again once the differences are known, so that they are not stored.
     """
-    rows = parsed(pages)
-    settled = rows.filter(~F.col("open")).select("page_id", "url", F.concat_ws("\n", "blocks").alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts = []
-            for blocks, lines, *others in zip(b["blocks"], b["lines"], b["before"], b["after"], strict=True):
-                gone = deleted(np.asarray(lines), np.array([len(x) for x in blocks]), [np.asarray(o) for o in others if o is not None])
-                texts.append("\n".join(x for x, g in zip(blocks, gone, strict=True) if not g))
+            texts = [
+                "\n".join(x for x, stays in zip(blocks, checked(np.asarray(kinds, int), np.asarray(shared, bool)), strict=True) if stays)
+                for blocks, kinds, shared in zip(b["blocks"], b["kinds"], b["shared"], strict=True)
+            ]
             yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": texts})
 
-    compared = (
-        rows.filter("open").join(neighbours(rows), ["host", "content"])
-        .select("page_id", "url", "blocks", "lines", "before", "after")
-        .mapInPandas(run, "page_id long, url string, text string")
-    )
-    return settled.unionByName(compared).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    rows = parsed(pages, texts=True).drop("path").join(differences(pages), ["host", "content"])
+    texts = rows.select("page_id", "url", "kinds", "blocks", "shared").mapInPandas(run, "page_id long, url string, text string")
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -459,6 +459,18 @@ def test_pages(spark):
     assert pages.main_text(frame.limit(0)).count() == 0
 
 
+def test_pages_are_all_compared(spark):
+    """Frames of article pages are found by differences, and an unmarked copy of the frame goes."""
+    frame = "<{0}>Menu one</{0}><{0}>Menu two</{0}>"
+    rows = [(i, f"http://h/{i}", frame.format("nav") + f"<article><p>Same start</p><p>Own {i}</p></article><div class='ad'>Buy {i}</div>") for i in range(1, 4)]
+    rows.append((4, "http://h/4", frame.format("div") + "<p>Own 4 is a longer text</p>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.main_text(df).collect()}
+    assert got == {**{i: f"Same start\nOwn {i}" for i in range(1, 4)}, 4: "Own 4 is a longer text"}
+    shared = [tuple(r.shared) for r in pages.differences(df).collect()]
+    assert sorted(shared) == [(True, True, False)] + [(True, True, True, False, False)] * 3
+
+
 def test_common_lines():
     rng = np.random.default_rng(2)
     for _ in range(30):
