@@ -554,17 +554,30 @@ def _(spark, d):
 
 
 @lru_cache(maxsize=4)
-def trained(spark: SparkSession, d: str, rate: float) -> models.RiskModel:
-    """A model per learning rate, trained once and shared by the scoring queries."""
-    return models.train(*parts(spark, d, "train"), rate=rate)
+def fit_rows(spark: SparkSession, d: str) -> tuple[DataFrame, models.Scaling]:
+    """Training rows and their scaling, fitted once for all models."""
+    (rows,) = parts(spark, d, "train")
+    return rows, models.fit_scaling(rows)
+
+
+MODELS: dict[tuple[str, str, float], models.RiskModel] = {}
+
+
+def trained(spark: SparkSession, d: str, *rates: float) -> list[models.RiskModel]:
+    """A model per learning rate, trained once and shared by the scoring queries; those still missing side by side."""
+    key = lambda rate: (spark.sparkContext.applicationId, d, rate)
+    if missing := {r: r for r in rates if key(r) not in MODELS}:
+        rows, scaling = fit_rows(spark, d)
+        MODELS.update({key(r): m for r, m in models.train_variants(rows, missing, scaling=scaling).items()})
+    return [MODELS[key(r)] for r in rates]
 
 
 def model_a(spark: SparkSession, d: str) -> models.RiskModel:
-    return trained(spark, d, 0.05)
+    return trained(spark, d, 0.05)[0]
 
 
-def model_b(spark: SparkSession, d: str) -> models.RiskModel:
-    return trained(spark, d, 0.1)
+def both_models(spark: SparkSession, d: str) -> list[models.RiskModel]:
+    return trained(spark, d, 0.05, 0.1)
 
 
 @register("train_score")
@@ -613,20 +626,21 @@ def _(spark, d):
 
 @register("ab_score")
 def _(spark, d):
-    scored = models.ab_score(parts(spark, d, "test")[0], model_a(spark, d), model_b(spark, d))
+    scored = models.ab_score(parts(spark, d, "test")[0], *both_models(spark, d))
     return scored.select("Id", "route", "prediction", "probability")
 
 
 @register("ab_compare")
 def _(spark, d):
-    both = {"A": model_a(spark, d), "B": model_b(spark, d)}
+    both = dict(zip("AB", both_models(spark, d), strict=True))
     return models.ab_compare(both, parts(spark, d, "test")[0])
 
 
 @register("model_decision")
 def _(spark, d):
     store = scan.conform(credit(spark, d), feature_table_schema())
-    return compare.compare(model_b(spark, d), model_a(spark, d), parts(spark, d, "test")[0], store)
+    a, b = both_models(spark, d)
+    return compare.compare(b, a, parts(spark, d, "test")[0], store)
 
 
 @register("prediction_table")

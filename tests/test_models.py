@@ -1,10 +1,12 @@
 import hashlib
 from datetime import datetime
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators import metrics, models, synth
+from riskframe.operators.scale import fit_scaling
 from riskframe.plans import compare
 from riskframe.schemas import feature_table_schema
 from riskframe.sources import scan
@@ -26,6 +28,15 @@ def test_training_learns_and_scores_every_row(credit_rows, pair):
     assert kept.exceptAll(credit_rows).isEmpty()
 
 
+def test_variants_are_scaled_once_and_trained_side_by_side(train, monkeypatch):
+    fitted, both, plain = [], Barrier(2, timeout=60), models.train
+    monkeypatch.setattr(models, "fit_scaling", lambda *a, **k: fitted.append(1) or fit_scaling(*a, **k))
+    monkeypatch.setattr(models, "train", lambda *a, **k: both.wait() is not None and plain(*a, **k))
+    made = models.train_variants(train, {"A": 0.05, "B": 0.1}, rounds=1)
+    assert len(fitted) == 1 and list(made) == ["A", "B"]
+    assert [m.fitted.stages[-1].getStepSize() for m in made.values()] == [0.05, 0.1]
+
+
 def test_routing_is_the_parity_of_the_digest(test_rows, pair):
     routed = models.ab_score(test_rows, pair["A"], pair["B"])
     assert routed.count() == test_rows.count()
