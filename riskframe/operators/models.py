@@ -71,7 +71,9 @@ def train(
     if validation is not None:
         flag = "held_out"
         rows = ready(df, F.lit(False).alias(flag)).unionByName(ready(validation, F.lit(True).alias(flag)))
-    return RiskModel(scaling, boosted_trees(spec, rate, rounds, flag).fit(rows), spec)
+    # Boosting passes over the rows some hundred times: every core gets an equal part of them.
+    even = rows.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return RiskModel(scaling, boosted_trees(spec, rate, rounds, flag).fit(even), spec)
 
 
 def evaluate(scored: DataFrame, label: str = CREDIT.label) -> DataFrame:

@@ -37,6 +37,13 @@ def test_variants_are_scaled_once_and_trained_side_by_side(train, monkeypatch):
     assert [m.fitted.stages[-1].getStepSize() for m in made.values()] == [0.05, 0.1]
 
 
+def test_rows_to_boost_fill_all_cores(spark, train, monkeypatch):
+    seen = []
+    monkeypatch.setattr(models, "boosted_trees", lambda *a: type("Fit", (), {"fit": lambda self, rows: seen.append(rows)})())
+    models.train(train.coalesce(1), scaling=fit_scaling(train))
+    assert seen[0].rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and seen[0].count() == train.count()
+
+
 def test_routing_is_the_parity_of_the_digest(test_rows, pair):
     routed = models.ab_score(test_rows, pair["A"], pair["B"])
     assert routed.count() == test_rows.count()
