@@ -3,9 +3,9 @@
 Counts of words and word pairs of the training texts are quantised on a geometric scale; a pair of n-gram and level is
 inserted for every level up to its own. A count is read back by probing level 1, 2, ... until a probe fails. The filter
 is cut into segments by hash range, each as large as what it holds asks for, and each beside the exact counts of its
-words, which the unigram base score needs. Up to a size limit the segments are broadcast and texts are scored where they
-are read; beyond it, blocks of texts send each segment the n-grams they hold and get levels and counts back. Both ways
-give the same scores.
+words, which the unigram base score needs. Small models are broadcast and texts are scored where they are read. Every Python
+worker holds a copy of a broadcast, so beyond a few MB lots of texts send each segment the n-grams they hold and get levels
+and counts back: a task then holds one lot or one segment, whatever the size of the table. Both ways give the same scores.
 
 The model is a bigram with a Dirichlet prior: P(w | v) = (c(v, w) + m * P(w)) / (C(v) + m), where P(w) is the add-one share of
 the quantised unigram counts and C(v) is never below the sum of the quantised counts of the pairs (v, .), so that
@@ -15,10 +15,12 @@ probabilities sum to at most one, but for false positives of the filter.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +33,11 @@ BITS = 12
 RATIO = 1.25
 PRIOR = 200.0
 SEGMENT_CHARS = 4_000_000
-BLOCK_CHARS = 24_000_000
-#: Bytes of all segments that may be broadcast.
-BROADCAST_BYTES = 256 * 2**20
+LOT_CHARS = 4_000_000
+#: Bytes of all segments that may be broadcast: the driver holds them several times, every Python worker once.
+BROADCAST_BYTES = 16 * 2**20
 FLUSH_TOKENS = 2_000_000
-SCORE_TOKENS = 500_000
+SCORE_TOKENS = 200_000
 END, START = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"", b" "))
 LOW, HALF, SIX, ONE = np.uint64(0xFFFFFFFF), np.uint64(32), np.uint64(63), np.uint64(1)
 
@@ -114,9 +116,13 @@ class Segments:
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Levels of n-grams, by probes until one fails."""
         segment = segment_of(keys, self.segments) - self.first
-        start, size, low = self.starts[segment], self.sizes[segment], keys & LOW
-        out = np.zeros(len(keys), np.int64)
-        alive = np.arange(len(keys))
+        return self.probe(keys & LOW, segment)
+
+    def probe(self, low: np.ndarray, segment: np.ndarray) -> np.ndarray:
+        """Levels of n-grams by the low halves of their keys, in segments counted from the first."""
+        start, size = self.starts[segment], self.sizes[segment]
+        out = np.zeros(len(low), np.int64)
+        alive = np.arange(len(low))
         for level in range(1, len(LEVELS) + 1):
             held = np.ones(len(alive), bool)
             for at, mask in _places(low[alive], level, size[alive]):
@@ -136,10 +142,10 @@ class Segments:
 
 
 class Answers:
-    """Looked-up levels and counts of the n-grams of one block."""
+    """Looked-up levels and counts of the n-grams of one lot."""
 
     def __init__(self, keys: np.ndarray, levels: np.ndarray, counts: np.ndarray) -> None:
-        order = np.argsort(keys)
+        order = np.argsort(keys, kind="stable")
         self.own, self.level, self.count = keys[order], levels[order], counts[order]
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
@@ -228,7 +234,7 @@ class Scorer:
 
     def score(self, texts: list[np.ndarray], source) -> pd.DataFrame:
         """n_tokens, n_known, base_score, score of each text (word hashes)."""
-        flat = np.concatenate([x for t in texts for x in ([START], t, [END])]).astype(np.uint64)
+        flat = framed(texts)
         lengths = np.array([len(t) + 1 for t in texts])
         use, pairs = self.keys(flat)
         distinct, place = np.unique(flat, return_inverse=True)
@@ -247,9 +253,14 @@ class Scorer:
         })
 
 
-def _batches_of_texts(texts, most: int = SCORE_TOKENS) -> Iterator[list[np.ndarray]]:
+def framed(texts: list[np.ndarray]) -> np.ndarray:
+    """Word hashes of all texts, each between a start and an end."""
+    return np.concatenate([x for t in texts for x in ([START], t, [END])]).astype(np.uint64)
+
+
+def _batches(hashed: Iterable[np.ndarray], most: int = SCORE_TOKENS) -> Iterator[list[np.ndarray]]:
     batch, size = [], 0
-    for _, hashes in hashed_texts(texts):
+    for hashes in hashed:
         batch.append(hashes)
         size += len(hashes) + 2
         if size >= most:
@@ -268,49 +279,83 @@ def _broadcast_scores(rows: DataFrame, scorer: Scorer, model: DataFrame, segment
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            scores = [scorer.score(t, shared.value) for t in _batches_of_texts(b["text"])]
+            scores = [scorer.score(t, shared.value) for t in _batches(h for _, h in hashed_texts(b["text"], SCORE_TOKENS))]
             if scores:
                 yield pd.concat([b[["doc_id", "held_out"]].reset_index(drop=True), pd.concat(scores, ignore_index=True)], axis=1)
 
     return rows.mapInPandas(run, f"doc_id long, held_out boolean, {SCORES}")
 
 
-def _routed_scores(rows: DataFrame, scorer: Scorer, model: DataFrame, segments: int, blocks: int) -> DataFrame:
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))
-    # Repeated rows are scored once: a row that fills a large part of the table would fill its block.
-    distinct = rows.groupBy("doc_id", "held_out", "text").agg(F.count(F.lit(1)).alias("times")).withColumn("block", block)
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Repeated rows of a batch become one row with their number, as a row that fills a large part of the table would fill its lot."""
+    for b in batches:
+        if pc.count_distinct(b.column("doc_id"), mode="all").as_py() == b.num_rows:
+            yield b.append_column("times", pa.array(np.ones(b.num_rows, np.int64)))
+        else:
+            counted = pa.Table.from_batches([b]).group_by(b.schema.names, use_threads=False).aggregate([([], "count_all")])
+            yield from counted.rename_columns([*b.schema.names, "times"]).to_batches()
 
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for number, part in b.groupby("block"):
-                for texts in _batches_of_texts(part["text"]):
-                    flat = np.concatenate([x for t in texts for x in ([START], t, [END])]).astype(np.uint64)
-                    keys = np.unique(np.concatenate([flat, scorer.keys(flat)[1]]))
-                    bounds = np.searchsorted(segment_of(keys, segments), np.arange(segments + 1))
-                    full = np.flatnonzero(bounds[1:] > bounds[:-1])
-                    yield pd.DataFrame({"block": number, "segment": full, "keys": [keys[bounds[s] : bounds[s + 1]].tobytes() for s in full]})
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """np.unique by sorting; its hash table takes many times longer where most keys differ."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
+def _lot_keys(scorer: Scorer, hashed: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words and pairs of a lot in order, so that both who asks and who scores know the order of the answers."""
+    flat = framed(hashed)
+    return _distinct(flat), _distinct(scorer.keys(flat)[1])
+
+
+def _routed_scores(rows: DataFrame, scorer: Scorer, model: DataFrame, segments: int, lots: int) -> DataFrame:
+    dealt = rows.withColumn("lot", F.pmod(F.xxhash64("doc_id", "text"), F.lit(lots))).mapInArrow(
+        _counted, "doc_id long, held_out boolean, text string, lot long, times long"
+    )
+
+    def hashed(part: pd.DataFrame) -> list[np.ndarray]:
+        return [h for _, h in hashed_texts(part["text"], SCORE_TOKENS)]
+
+    def ask(part: pd.DataFrame) -> pd.DataFrame:
+        words, pairs = _lot_keys(scorer, hashed(part))
+        at, to = (np.searchsorted(segment_of(k, segments), np.arange(segments + 1)) for k in (words, pairs))
+        full = np.flatnonzero((at[1:] > at[:-1]) | (to[1:] > to[:-1]))
+        words, pairs = words.astype("<u8"), (pairs & LOW).astype("<u4")
+        return pd.DataFrame({
+            "lot": part["lot"].iloc[0], "segment": full, "words": [words[at[s] : at[s + 1]].tobytes() for s in full],
+            "pairs": [pairs[to[s] : to[s + 1]].tobytes() for s in full],
+        })
 
     def answer(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if asked.empty:
-            return pd.DataFrame(columns=["block", "keys", "levels", "counts"])
+            return pd.DataFrame(columns=["lot", "segment", "words", "pairs", "counts"])
         s = int(asked["segment"].iloc[0])
         source = _segments(held.to_dict("records"), segments, s, s)
-        out = []
-        for number, part in asked.groupby("block"):
-            keys = np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in part["keys"]]))
-            out.append((number, keys.tobytes(), source.levels(keys).astype("<i8").tobytes(), source.known(keys).astype("<i8").tobytes()))
-        return pd.DataFrame(out, columns=["block", "keys", "levels", "counts"])
+        words, pairs = (np.frombuffer(b"".join(asked[c]), t) for c, t in (("words", "<u8"), ("pairs", "<u4")))
+        of_words, of_pairs = (source.probe(k, np.zeros(len(k), np.int64)).astype(np.uint8) for k in (words & LOW, pairs))
+        counts = source.known(words).astype("<i8")
+        at, to = (np.concatenate([[0], np.cumsum([len(x) // n for x in asked[c]])]) for c, n in (("words", 8), ("pairs", 4)))
+        cut = lambda x, ends: [x[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:])]
+        return asked[["lot", "segment"]].assign(words=cut(of_words, at), pairs=cut(of_pairs, to), counts=cut(counts, at))
 
     def score(part: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if part.empty:
             return pd.DataFrame(columns=["doc_id", "held_out", "times", "n_tokens", "n_known", "base_score", "score"])
-        own = Answers(*(np.concatenate([np.frombuffer(x, t) for x in answers[c]]) for c, t in (("keys", "<u8"), ("levels", "<i8"), ("counts", "<i8"))))
-        scores = pd.concat([scorer.score(t, own) for t in _batches_of_texts(part["text"])], ignore_index=True)
+        texts = hashed(part)
+        words, pairs = _lot_keys(scorer, texts)
+        answers = answers.sort_values("segment")
+        of_words, of_pairs, counts = (np.frombuffer(b"".join(answers[c]), t) for c, t in (("words", np.uint8), ("pairs", np.uint8), ("counts", "<i8")))
+        if (len(of_words), len(of_pairs), len(counts)) != (len(words), len(pairs), len(words)):
+            raise ValueError("a lot has other n-grams than it asked for")
+        own = Answers(np.concatenate([words, pairs]), np.concatenate([of_words, of_pairs]), np.concatenate([counts, np.zeros(len(pairs), np.int64)]))
+        scores = pd.concat([scorer.score(t, own) for t in _batches(texts)], ignore_index=True)
         return pd.concat([part[["doc_id", "held_out", "times"]].reset_index(drop=True), scores], axis=1)
 
-    asked = distinct.mapInPandas(ask, "block long, segment long, keys binary")
-    answered = asked.groupBy("segment").cogroup(model.groupBy("segment")).applyInPandas(answer, "block long, keys binary, levels binary, counts binary")
-    scored = distinct.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(score, f"doc_id long, held_out boolean, times long, {SCORES}")
+    asked = dealt.groupBy("lot").applyInPandas(ask, "lot long, segment long, words binary, pairs binary")
+    answered = asked.groupBy("segment").cogroup(model.groupBy("segment")).applyInPandas(
+        answer, "lot long, segment long, words binary, pairs binary, counts binary"
+    )
+    scored = dealt.groupBy("lot").cogroup(answered.groupBy("lot")).applyInPandas(score, f"doc_id long, held_out boolean, times long, {SCORES}")
     once = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
     return scored.withColumn("one", once).drop("one", "times")
 
@@ -327,12 +372,12 @@ def score_documents(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, pri
         F.coalesce("text", F.lit("")).alias("text"),
     )
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    segments, blocks = (max(1, math.ceil(chars / x)) for x in (SEGMENT_CHARS, BLOCK_CHARS))
+    segments, lots = (max(1, math.ceil(chars / x)) for x in (SEGMENT_CHARS, LOT_CHARS))
     model = gather(rows.filter(~F.col("held_out")), segments)
     size, *sums = model.agg(F.sum(F.length("bits") + F.length("keys") + F.length("counts")), F.sum("tokens"), F.sum("types"), F.sum("quantised")).first()
     scorer = Scorer(*(int(x or 0) for x in sums), prior)
     if (size or 0) <= broadcast_bytes:
         scored = _broadcast_scores(rows, scorer, model, segments)
     else:
-        scored = _routed_scores(rows, scorer, model, segments, blocks)
+        scored = _routed_scores(rows, scorer, model, segments, lots)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(scorer.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -87,6 +87,25 @@ def test_lm_without_rows(none):
     assert lm.score_documents(none).count() == 0
 
 
+def test_lm_lots_and_segments(spark, docs, small, monkeypatch):
+    """Many lots meeting many segments, one row repeated often: the scores of a broadcast."""
+    monkeypatch.setattr(lm, "LOT_CHARS", 30_000)
+    monkeypatch.setattr(lm, "SEGMENT_CHARS", 50_000)
+    often = docs.filter("doc_id = 3").crossJoin(spark.range(300)).select("doc_id", "text")
+    rows = small.select("doc_id", "text").union(docs.select("doc_id", "text")).union(often).coalesce(2)
+    near, far = (lm.score_documents(rows, b).collect() for b in (lm.BROADCAST_BYTES, 0))
+    got, want = (sorted((repr(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in x) for x in (far, near))
+    assert got == want and len(got) == small.count() + len(ROWS) + 300
+
+
+def test_lm_copies_of_a_model_are_small(spark, docs, monkeypatch):
+    """A model of 24 MB is not broadcast, as the driver and every Python worker would hold copies of it."""
+    held = spark.createDataFrame([(0, bytes(24 * 2**20), b"", b"", 1, 1, 1)], "segment long, bits binary, keys binary, counts binary, tokens long, types long, quantised long")
+    monkeypatch.setattr(lm, "gather", lambda rows, segments: held)
+    monkeypatch.setattr(lm, "_broadcast_scores", lambda *a: pytest.fail("broadcast"))
+    assert lm.score_documents(docs).columns[:2] == ["doc_id", "held_out"]
+
+
 def test_filter_reads_counts_back():
     low, counts = np.arange(2000, dtype=np.uint64) * np.uint64(7919), np.arange(1, 2001)
     source = lm.Segments(1, 0, [lm.segment_filter(low, counts)], [low[:0]], [counts[:0]])
