@@ -10,11 +10,12 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.compare import duck, rows_of
-from riskframe.llm import chat, components, decontaminate, jaccard, lm, mixing, pages, quality, secrets, suffixes, topk
+from riskframe.llm import chat, common, components, decontaminate, jaccard, lm, mixing, pages, quality, secrets, suffixes, topk
 from riskframe.llm.oracles import ORACLES
 from riskframe.llm.queries import QUERIES
 
@@ -106,6 +107,13 @@ def test_lm_copies_of_a_model_are_small(spark, docs, monkeypatch):
     assert lm.score_documents(docs).columns[:2] == ["doc_id", "held_out"]
 
 
+def test_word_hashes_are_those_of_each_word():
+    words = [b"a", b"", "é\U0001F600".encode(), b"a", b"x" * 100_000, b" ", *(str(i).encode() for i in range(5000))]
+    got = common.word_hashes(words)
+    assert got.dtype == np.uint64 and got.tolist() == [xxhash.xxh64_intdigest(w) for w in words]
+    assert common.word_hashes([]).dtype == np.uint64 and len(common.word_hashes([])) == 0
+
+
 def test_filter_reads_counts_back():
     low, counts = np.arange(2000, dtype=np.uint64) * np.uint64(7919), np.arange(1, 2001)
     source = lm.Segments(1, 0, [lm.segment_filter(low, counts)], [low[:0]], [counts[:0]])
